@@ -228,14 +228,14 @@ def stale_table_audit(
     scopes are named, the candidates cannot outnumber top_n per scope; if that is few enough, they are
     broadcast and references to all other tables are dropped where they are read.
     """
-    candidates = largest_tables(scope(tables, projects, regions), scope(storage, projects, regions), top_n)
+    largest = largest_tables(scope(tables, projects, regions), scope(storage, projects, regions), top_n)
+    candidates = largest.where(floor_days(instant(as_of), F.col("creation_time")) > days)
     bounded = projects is not None and regions is not None
     small = bounded and top_n * len(projects) * len(regions) <= BROADCAST_ROWS
     usage = last_access_by_table(
         scope(jobs, projects, regions), as_of, days, only=candidates if small else None
     )
-    old = floor_days(instant(as_of), F.col("creation_time")) > days
-    unused = candidates.where(old).join(usage, [*_KEYS, "table_name"], "left_anti")
+    unused = candidates.join(usage, [*_KEYS, "table_name"], "left_anti")
     size = F.col("size_gb")
     return unused.select(
         organisation(F.col("project_id"), organisations or {}, default_organisation).alias("organisation"),

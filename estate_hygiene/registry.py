@@ -46,12 +46,16 @@ def control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     spot = (spark.sparkContext.applicationId, sf_dir)
     with _control_lock:
         if spot not in _control_roots:
-            root = f"{shared_folder(spark)}/control-{uuid4().hex}"
-            tables.write_audit(deep_history_audit(spark, sf_dir), root, version=1)
-            _control_roots[spot] = root
+            _control_roots[spot] = _stored_audit(spark, sf_dir)
     return tables.read_audit(spark, _control_roots[spot])
 
 
+def _stored_audit(spark: SparkSession, sf_dir: str) -> str:
+    root = f"{shared_folder(spark)}/control-{uuid4().hex}"
+    tables.write_audit(deep_history_audit(spark, sf_dir), root, version=1)
+    return root
+
+
 def _dataset_as(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"project_id": "project", "dataset_id": "dataset"})
 
@@ -162,7 +166,8 @@ def scope_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control_table(spark, sf_dir)
+    """A fresh audit, written and read back."""
+    return tables.read_audit(spark, _stored_audit(spark, sf_dir))
 
 
 def confirmed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
