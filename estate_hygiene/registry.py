@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from threading import Lock
+from threading import RLock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,8 +22,23 @@ OTHER_ORGANISATION = "second.example.com"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_control_roots: dict[tuple[str, str], str] = {}
-_control_lock = Lock()
+_folders: dict[tuple[str, str, str], str] = {}
+_folders_lock = RLock()
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], int]) -> str:
+    """Folder of a table that ``write`` fills once per application, in the shared folder of the cluster.
+
+    Steps of the workflow meet in stored tables, as they do in use: lifecycle, reports and summaries read the
+    audit instead of repeating it, and outcomes are reported on a plan that was written down.
+    """
+    spot = (spark.sparkContext.applicationId, sf_dir, name)
+    with _folders_lock:
+        if spot not in _folders:
+            root = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+            write(root)
+            _folders[spot] = root
+        return _folders[spot]
 
 
 def deep_history_audit(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -38,22 +53,10 @@ def deep_history_audit(spark: SparkSession, sf_dir: str, **options) -> DataFrame
 
 
 def control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The deep-history audit as stored by an audit run.
-
-    Lifecycle, reports and summaries read the control table instead of repeating the audit. It is written
-    once per application to the shared folder, which also cuts the lineage.
-    """
-    spot = (spark.sparkContext.applicationId, sf_dir)
-    with _control_lock:
-        if spot not in _control_roots:
-            _control_roots[spot] = _stored_audit(spark, sf_dir)
-    return tables.read_audit(spark, _control_roots[spot])
-
+    def write(root: str) -> int:
+        return tables.write_audit(deep_history_audit(spark, sf_dir), root, version=1)
 
-def _stored_audit(spark: SparkSession, sf_dir: str) -> str:
-    root = f"{shared_folder(spark)}/control-{uuid4().hex}"
-    tables.write_audit(deep_history_audit(spark, sf_dir), root, version=1)
-    return root
+    return tables.read_audit(spark, _stored(spark, sf_dir, "control", write))
 
 
 def _dataset_as(df: DataFrame) -> DataFrame:
@@ -167,7 +170,9 @@ def scope_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fresh audit, written and read back."""
-    return tables.read_audit(spark, _stored_audit(spark, sf_dir))
+    root = f"{shared_folder(spark)}/audit-{uuid4().hex}"
+    tables.write_audit(deep_history_audit(spark, sf_dir), root, version=1)
+    return tables.read_audit(spark, root)
 
 
 def confirmed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +241,7 @@ def labels_after_scream_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def policy_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backups of everything in the state."""
     control = control_table(spark, sf_dir)
     in_state = control.join(
@@ -245,8 +250,11 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.snapshot_policies(fx.policies(spark, sf_dir), in_state, fx.BACKUP_ROOT)
 
 
-def policy_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshots(spark, sf_dir)
+def _stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(root: str) -> int:
+        return tables.write_snapshots(policy_snapshot(spark, sf_dir), root, version=1)
+
+    return tables.read_policy_snapshot(spark, _stored(spark, sf_dir, "snapshots", write))
 
 
 def _scream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,6 +268,15 @@ def _scream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_scream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = _scream_plan(spark, sf_dir)
+
+    def write(root: str) -> int:
+        return tables.write_version(plan, root, version=1)
+
+    return tables.read_latest(spark, _stored(spark, sf_dir, "scream-plan", write), plan.schema)
+
+
 def scream_test_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scream_plan(spark, sf_dir).select(
         "key", "project", "region", "dataset", "tranche", "size_gb", "monthly_cost", "action", "reason",
@@ -268,7 +285,7 @@ def scream_test_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scream_test_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = _scream_plan(spark, sf_dir)
+    plan = _stored_scream_plan(spark, sf_dir)
     return lifecycle.scream_test_log(plan, fx.outcomes(plan))
 
 
@@ -278,7 +295,7 @@ def _state_out(state: DataFrame) -> DataFrame:
 
 
 def state_after_scream_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = _scream_plan(spark, sf_dir)
+    plan = _stored_scream_plan(spark, sf_dir)
     state = fx.state(control_table(spark, sf_dir))
     return _state_out(lifecycle.apply_outcomes(state, plan, fx.outcomes(plan), AS_OF))
 
@@ -298,7 +315,7 @@ def state_after_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _restore_plan(spark: SparkSession, sf_dir: str, **choice) -> DataFrame:
     state = fx.state(control_table(spark, sf_dir))
-    return restore.plan_restore(restore.select_restore(state, **choice), _snapshots(spark, sf_dir))
+    return restore.plan_restore(restore.select_restore(state, **choice), _stored_snapshots(spark, sf_dir))
 
 
 def _restore_out(plan: DataFrame) -> DataFrame:
