@@ -27,6 +27,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "5000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

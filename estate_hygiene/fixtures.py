@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType
 
 from estate_hygiene.functions.names import dataset_key
 from estate_hygiene.functions.timestamps import instant, utc
 from estate_hygiene.operators.selection import contains_confirmed
+from estate_hygiene.schemas import JOBS, TABLE_REF
 
 AS_OF = "2001-08-02 00:00:00"
 BACKUP_ROOT = "gs://backup"
@@ -123,25 +125,16 @@ def table_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jobs(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, days: int = 180) -> DataFrame:
     """Jobs that can fall in the look-back window.
 
+    A job's references and its destination come in rows of their own, as if the log were written in pieces:
+    no operator counts jobs, and an order with a third of all line items is never gathered into one row.
+
     A job starts within a day after its order date. The bound on the order date follows from the window
     that every reader of the job log applies, and is stated here so that it reaches the Parquet scan.
     """
     orders = _read(
         spark, sf_dir, "orders", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp"
     ).where(F.col("o_orderdate") > instant(utc(as_of) - timedelta(days=days + 1)))
-    lines = _read(spark, sf_dir, "lineitem", "l_orderkey bigint, l_partkey bigint").join(
-        orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"
-    )
-    ref = F.struct(
-        F.col("dataset_project").alias("project_id"),
-        "dataset_id",
-        F.concat(F.lit("t_"), F.col("l_partkey").cast("string")).alias("table_id"),
-    )
-    references = (
-        _with_dataset(lines, "l_partkey", spark, sf_dir)
-        .groupBy("l_orderkey")
-        .agg(F.collect_list(ref).alias("referenced_tables"), F.min_by(ref, "l_partkey").alias("first_table"))
-    )
+    lines = _read(spark, sf_dir, "lineitem", "l_orderkey bigint, l_partkey bigint")
     projects = (
         _read(spark, sf_dir, "customer", "c_custkey bigint, c_nationkey int")
         .join(_read(spark, sf_dir, "nation", "n_nationkey int, n_regionkey int"), F.expr("c_nationkey = n_nationkey"))
@@ -149,23 +142,37 @@ def jobs(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, days: int = 180)
         .select("c_custkey", "r_name")
     )
     seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod("o_orderkey", F.lit(86400)).cast("decimal(18,6)"))
-    return (
-        orders.join(references, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(projects, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").cast("string").alias("job_id"),
-            F.col("r_name").alias("project_id"),
-            F.when(F.pmod("o_orderkey", F.lit(2)) == 0, REGIONS[0]).otherwise(REGIONS[1]).alias("region"),
-            (F.col("o_orderdate") + seconds).alias("creation_time"),
-            F.when(
-                F.pmod("o_custkey", F.lit(10)) == 0,
-                F.concat(F.lit("svc"), F.col("o_custkey").cast("string"), F.lit("@x.iam.gserviceaccount.com")),
-            )
-            .otherwise(F.concat(F.lit("u"), F.col("o_custkey").cast("string"), F.lit("@example.com")))
-            .alias("user_email"),
-            "referenced_tables",
-            F.when(F.col("o_orderstatus") == "F", F.col("first_table")).alias("destination_table"),
+    started = orders.join(projects, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey",
+        F.col("o_orderkey").cast("string").alias("job_id"),
+        F.col("r_name").alias("project_id"),
+        F.when(F.pmod("o_orderkey", F.lit(2)) == 0, REGIONS[0]).otherwise(REGIONS[1]).alias("region"),
+        (F.col("o_orderdate") + seconds).alias("creation_time"),
+        F.when(
+            F.pmod("o_custkey", F.lit(10)) == 0,
+            F.concat(F.lit("svc"), F.col("o_custkey").cast("string"), F.lit("@x.iam.gserviceaccount.com")),
         )
+        .otherwise(F.concat(F.lit("u"), F.col("o_custkey").cast("string"), F.lit("@example.com")))
+        .alias("user_email"),
+    )
+    table = F.struct(
+        F.col("dataset_project").alias("project_id"),
+        "dataset_id",
+        F.concat(F.lit("t_"), F.col("l_partkey").cast("string")).alias("table_id"),
+    )
+    first_parts = (
+        lines.join(orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+        .groupBy("l_orderkey")
+        .agg(F.min("l_partkey").alias("l_partkey"))
+    )
+    same_order = F.col("o_orderkey") == F.col("l_orderkey")
+    no_table, no_tables = F.lit(None).cast(TABLE_REF), F.lit(None).cast(ArrayType(TABLE_REF))
+    reads = _with_dataset(started.join(lines, same_order), "l_partkey", spark, sf_dir)
+    writes = _with_dataset(started.join(first_parts, same_order), "l_partkey", spark, sf_dir)
+    return (
+        reads.select("*", F.array(table).alias("referenced_tables"), no_table.alias("destination_table"))
+        .unionByName(writes.select("*", no_tables.alias("referenced_tables"), table.alias("destination_table")))
+        .select(JOBS.fieldNames())
     )
 
 
