@@ -63,6 +63,14 @@ BROADCAST_ROWS = 50_000
 _KEYS = ["project_id", "region", "dataset_id"]
 
 
+def _readable(df: DataFrame, coverage: DataFrame | None) -> DataFrame:
+    """Without the scopes whose metadata could not be read, and with ``history_ok`` for the rest."""
+    if coverage is None:
+        return df
+    readable = coverage.where("metadata_ok").select("project_id", "region", "history_ok")
+    return df.join(readable, ["project_id", "region"], "inner")
+
+
 def _profiles(
     schemata: DataFrame,
     options: DataFrame,
@@ -74,10 +82,7 @@ def _profiles(
     coverage: DataFrame | None,
 ) -> DataFrame:
     """Every dataset with its metadata and its accesses. Datasets seen only in the job log are left out."""
-    metadata = dataset_metadata(schemata, options, storage)
-    if coverage is not None:
-        readable = coverage.where("metadata_ok").select("project_id", "region", "history_ok")
-        metadata = metadata.join(readable, ["project_id", "region"], "inner")
+    metadata = _readable(dataset_metadata(schemata, options, storage), coverage)
     return metadata.join(access_summary(jobs, as_of, k, days), _KEYS, "left")
 
 
@@ -221,6 +226,7 @@ def stale_table_audit(
     days: int = LOOKBACK_DAYS,
     organisations: Mapping[str, str] | None = None,
     default_organisation: str = "",
+    coverage: DataFrame | None = None,
 ) -> DataFrame:
     """Old tables among the largest of each scope that no recent job referenced; most wasteful first.
 
@@ -237,7 +243,7 @@ def stale_table_audit(
     )
     unused = candidates.join(usage, [*_KEYS, "table_name"], "left_anti")
     size = F.col("size_gb")
-    return unused.select(
+    return _readable(unused, coverage).select(
         organisation(F.col("project_id"), organisations or {}, default_organisation).alias("organisation"),
         F.col("project_id").alias("project"),
         F.concat(F.lit("region-"), F.col("region")).alias("region"),
@@ -249,6 +255,7 @@ def stale_table_audit(
         F.lit(ZOMBIE_STATUS).alias("status"),
         F.lit(ZOMBIE_ACTION).alias("action"),
         monthly_cost(size).alias("monthly_waste"),
+        *_flags(coverage),
     ).orderBy(F.col("monthly_waste").desc(), "project", "region", "dataset", "table_name")
 
 

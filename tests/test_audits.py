@@ -212,6 +212,13 @@ def test_scope_limits_the_table_audit(spark):
     assert records(got, "project", "region") == [("q", "region-eu")]
 
 
+def test_unreadable_usage_shows_in_the_table_audit(spark, covered):
+    rows = [{"table_schema": "d", "table_name": "t", "creation_time": ago(300), "project_id": p} for p in "pqrs"]
+    sizes = storage(spark, *[stored("d", 1, project_id=p) for p in "pqrs"])
+    got = audits.stale_table_audit(tables(spark, *rows), sizes, jobs(spark), NOW, coverage=covered)
+    assert records(got, "project", "history_ok") == [("p", True), ("q", False)]
+
+
 @pytest.fixture()
 def covered(spark):
     scopes = spark.createDataFrame([("p", "eu"), ("q", "eu"), ("r", "eu"), ("s", "eu")], "project_id string, region string")
