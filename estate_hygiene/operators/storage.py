@@ -8,9 +8,16 @@ from estate_hygiene.functions.names import clean_description
 from estate_hygiene.functions.numbers import bytes_to_gb
 
 TABLES_PER_SCOPE = 100
+# About 100 bytes a row.
+BROADCAST_DATASETS = 50_000
 TABLE = ("project_id", "region", "table_schema", "table_name")
 
 
+def has_few_datasets(schemata: DataFrame, at_most: int = BROADCAST_DATASETS) -> bool:
+    """Whether the catalogue is small enough to broadcast. Runs a job that stops counting at the limit."""
+    return schemata.limit(at_most + 1).count() <= at_most
+
+
 def dataset_sizes(storage: DataFrame) -> DataFrame:
     return storage.groupBy("project_id", "region", F.col("table_schema").alias("dataset_id")).agg(
         bytes_to_gb(F.sum("total_logical_bytes")).alias("size_gb"),
