@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate_hygiene.llm import line_dedup, substring_dedup
+from estate_hygiene.llm import jaccard_join, line_dedup, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,13 +20,26 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.drop_repeated_words(_read(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.drop_repeated_bytes(_read(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_shared_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op9_line_dedup": op9_line_dedup}
+    return {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op3_suffix_array_dedup": op3_suffix_array_dedup,
+        "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op9_line_dedup": op9_line_dedup,
+    }
 
 
 OP1_SQL = r"""
@@ -35,15 +48,35 @@ WITH words AS (
 ), starts AS (
   SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20
 ), seen AS (
-  SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY array_to_string(w[i:i + 19], ' ')) AS first FROM starts
+  SELECT doc_id, i, min(doc_id * 100000000 + i) OVER (PARTITION BY array_to_string(w[i:i + 19], ' ')) AS first FROM starts
 ), gone AS (
-  SELECT DISTINCT doc_id, i + k AS j FROM (SELECT doc_id, i FROM seen WHERE (doc_id, i) <> first), range(20) r(k)
-), lists AS (
-  SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id
+  SELECT DISTINCT doc_id, i + k AS j FROM (SELECT doc_id, i FROM seen WHERE doc_id * 100000000 + i <> first), range(20) r(k)
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM words
+)
+SELECT w.doc_id, len(any_value(w.w))::BIGINT AS n_words, count(g.j)::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(p.word, ' ' ORDER BY p.j) FILTER (g.j IS NULL), '')) AS kept_sha256
+FROM words w LEFT JOIN placed p USING (doc_id) LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.j = p.j GROUP BY w.doc_id
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS met FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+  ) JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * met >= 80 * (p.n + q.n - met)
+), reach AS (
+  SELECT a AS node, a AS seen FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
 )
-SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
-  sha256(coalesce(array_to_string(list_filter(w, lambda x, i: js IS NULL OR NOT list_contains(js, i)), ' '), '')) AS kept_sha256
-FROM words LEFT JOIN lists USING (doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c.component, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT node, min(seen) AS component FROM reach GROUP BY node) c ON c.node = d.doc_id
 """
 
 OP9_SQL = r"""
@@ -65,4 +98,4 @@ FROM judged GROUP BY doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op9_line_dedup": OP9_SQL}
