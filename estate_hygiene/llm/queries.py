@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate_hygiene.llm import jaccard_join, line_dedup, substring_dedup, suffix_dedup
+from estate_hygiene.llm import decontamination, embedding_dedup, jaccard_join, line_dedup, quality, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +24,26 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.drop_repeated_bytes(_read(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.with_leaks(docs, _read(spark, sf_dir, "benchmark")).drop("text")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    network = quality.trained(docs, _read(spark, sf_dir, "labels"))
+    found = quality.scored(docs, network).withColumn("held_out", quality.held_out())
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_shared_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -37,7 +53,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op3_suffix_array_dedup": op3_suffix_array_dedup,
+        "op4_benchmark_decontamination": op4_benchmark_decontamination,
+        "op5_quality_classifier": op5_quality_classifier,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_line_dedup": op9_line_dedup,
     }
 
@@ -79,6 +98,24 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c.component, d.d
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT node, min(seen) AS component FROM reach GROUP BY node) c ON c.node = d.doc_id
 """
 
+OP8_SQL = r"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= 0.95
+), reach AS (
+  SELECT a AS node, a AS seen FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+), found AS (
+  SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, e.vec_id) AS component_id
+  FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = e.vec_id
+  LEFT JOIN (SELECT node, min(seen) AS component FROM reach GROUP BY node) c ON c.node = e.vec_id
+)
+SELECT *, coalesce(vec_id = component_id, false) AS kept FROM found
+"""
+
 OP9_SQL = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -98,4 +135,4 @@ FROM judged GROUP BY doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_embedding_near_dedup": OP8_SQL, "op9_line_dedup": OP9_SQL}
