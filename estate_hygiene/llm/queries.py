@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate_hygiene.llm import decontamination, embedding_dedup, jaccard_join, line_dedup, quality, substring_dedup, suffix_dedup
+from estate_hygiene.llm import (
+    decontamination,
+    embedding_dedup,
+    html_extraction,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +31,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.drop_repeated_words(_read(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.packed_sequences(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.drop_repeated_bytes(_read(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -40,6 +56,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.with_token_counts(_read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(_read(spark, sf_dir, "embeddings"))
 
@@ -49,15 +69,23 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.with_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_retrieval_packing": op2_retrieval_packing,
         "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_quality_classifier": op5_quality_classifier,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op7_token_counts": op7_token_counts,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_line_dedup": op9_line_dedup,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
