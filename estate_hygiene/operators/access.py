@@ -12,13 +12,13 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from estate_hygiene.functions.timestamps import days_before, instant, minute_text
+from estate_hygiene.functions.timestamps import days_before, minute_text
 
 LOOKBACK_DAYS = 180
 EVENTS_KEPT = 5
 DATASET = ("project_id", "region", "dataset_id")
-MICROS_PER_HOUR = 3_600_000_000
-AGE_SLICES = 14
+# Spark cuts each map task to k rows per key only below this (spark.sql.optimizer.windowGroupLimitThreshold).
+MOST_KEPT = 999
 _NO_REFERENCES = "array<struct<project_id:string,dataset_id:string>>"
 
 
@@ -107,46 +107,14 @@ def top_k_access(
     """The first ``k`` rows per key, numbered in ``rn``.
 
     Spark cuts every map task to ``k`` rows per key before the shuffle, so a key holding a third of all
-    events sends on no more than k rows per task.
+    events sends on no more than k rows per task. It does so up to MOST_KEPT rows, which bounds ``k``.
     """
+    if not 0 < k <= MOST_KEPT:
+        raise ValueError(f"k is 1 to {MOST_KEPT}")
     ranked = Window.partitionBy(*keys).orderBy(*(order or newest_first()))
     return events.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= k)
 
 
-def _age_slice(as_of: datetime | str) -> Column:
-    """Age in slices that double in length: under 1 hour, under 3, under 7, ... and the rest. Never falls with age."""
-    hours = F.floor((F.unix_micros(instant(as_of)) - F.unix_micros("creation_time")) / MICROS_PER_HOUR)
-    slice_ = F.floor(F.log2(F.greatest(hours, F.lit(0)) + 1))
-    return F.least(slice_, F.lit(AGE_SLICES - 1)).cast("int")
-
-
-def newest_slices(
-    events: DataFrame, keys: Sequence[str], as_of: datetime | str, k: int = EVENTS_KEPT
-) -> DataFrame:
-    """Per key, the oldest slice its ``k`` newest events can lie in: ``last_slice``.
-
-    Counting is a hash aggregation and folds to one row per key in every map task.
-    """
-    counters = [F.count_if(F.col("slice") <= s).alias(f"n{s}") for s in range(AGE_SLICES)]
-    counts = events.select(*keys, _age_slice(as_of).alias("slice")).groupBy(*keys).agg(*counters)
-    enough = [F.when(F.col(f"n{s}") >= k, F.lit(s)) for s in range(AGE_SLICES)]
-    return counts.select(*keys, F.coalesce(*enough, F.lit(AGE_SLICES - 1)).alias("last_slice"))
-
-
-def drop_older_events(
-    events: DataFrame, only: DataFrame, keys: Sequence[str], as_of: datetime | str, k: int = EVENTS_KEPT
-) -> DataFrame:
-    """Events of the datasets in ``only``, without those that cannot be among the ``k`` newest of their key.
-
-    A dataset with at least k events in its newest slices needs no older ones. This spares the sort before
-    the top-k cut nearly all rows, for a second reading of the log. ``only``, which the caller vouches to be
-    small, bounds what is broadcast.
-    """
-    slices = newest_slices(events, keys, as_of, k).join(only.select(*DATASET), list(DATASET), "left_semi")
-    recent = events.join(F.broadcast(slices), list(keys)).where(_age_slice(as_of) <= F.col("last_slice"))
-    return recent.select(events.columns)
-
-
 def _numbered_line() -> Column:
     who = F.coalesce(F.col("user_email"), F.lit("None"))
     line = F.concat(minute_text(F.col("creation_time")), F.lit(" ("), who, F.lit(")"))
@@ -186,18 +154,9 @@ def access_summary(
     as_of: datetime | str,
     k: int = EVENTS_KEPT,
     days: int = LOOKBACK_DAYS,
-    only: DataFrame | None = None,
 ) -> DataFrame:
-    """Reads and writes of each dataset side by side; null where there were none.
-
-    ``only`` (project_id, region, dataset_id), if few enough to broadcast, limits the answer to those datasets
-    and lets old events go before they are sorted.
-    """
-    keys = (*DATASET, "is_write")
-    events = access_events(jobs, as_of, days)
-    if only is not None:
-        events = drop_older_events(events, only, keys, as_of, k)
-    newest = top_k_access(events, keys, k)
+    """Reads and writes of each dataset side by side; null where there were none."""
+    newest = top_k_access(access_events(jobs, as_of, days), (*DATASET, "is_write"), k)
     read, write = ~F.col("is_write"), F.col("is_write")
     per_dataset = newest.groupBy(*DATASET).agg(
         F.max(F.when(read, F.col("creation_time"))).alias("last_read_time"),
@@ -219,13 +178,11 @@ def last_access_by_table(
     as_of: datetime | str,
     days: int = LOOKBACK_DAYS,
     match_project: bool = False,
-    only: DataFrame | None = None,
 ) -> DataFrame:
     """Last reference to each table, within the scope of the job log that names it.
 
     By default the project of the reference is not looked at: a table of the same dataset and name in
-    another project counts as use. ``only`` (project_id, region, dataset_id, table_name), which the caller
-    vouches to be small, is broadcast so that references to other tables never reach the shuffle.
+    another project counts as use. References fold to one row per table in each map task.
     """
     recent = within_days(jobs, "creation_time", as_of, days)
     exploded = recent.select("project_id", "region", "creation_time", F.explode("referenced_tables").alias("ref"))
@@ -239,6 +196,4 @@ def last_access_by_table(
         F.col("ref.table_id").alias("table_name"),
         "creation_time",
     )
-    if only is not None:
-        references = references.join(F.broadcast(only.select(*keys)), list(keys), "left_semi")
     return references.groupBy(*keys).agg(F.max("creation_time").alias("last_accessed"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,9 +28,16 @@ def _entries(policy_json: Column) -> Column:
 
 def _is_kept(entry: Column, safe: Sequence[str]) -> Column:
     kept = F.coalesce(F.try_variant_get(entry, "$.role", "string") == OWNER_ROLE, F.lit(False))
-    for principal in safe:
-        kept = kept | F.to_json(entry).contains(principal)
-    return kept
+    if not safe:
+        return kept
+    # Names of fields are no principals: only what the fields hold is searched.
+    values = F.map_values(F.coalesce(F.try_variant_get(entry, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
+    mentions = F.exists(values, lambda v: _any(F.coalesce(F.to_json(v), F.lit("")).contains(p) for p in safe))
+    return kept | mentions
+
+
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
 
 
 def kept_entries(policy_json: Column, safe: Sequence[str] = ()) -> Column:

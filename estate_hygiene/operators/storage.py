@@ -6,18 +6,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from estate_hygiene.functions.names import clean_description
 from estate_hygiene.functions.numbers import bytes_to_gb
+from estate_hygiene.operators.access import MOST_KEPT
 
 TABLES_PER_SCOPE = 100
-# About 100 bytes a row.
-BROADCAST_DATASETS = 50_000
+SIZE_CLASSES = 8
 TABLE = ("project_id", "region", "table_schema", "table_name")
 
 
-def has_few_datasets(schemata: DataFrame, at_most: int = BROADCAST_DATASETS) -> bool:
-    """Whether the catalogue is small enough to broadcast. Runs a job that stops counting at the limit."""
-    return schemata.limit(at_most + 1).count() <= at_most
-
-
 def dataset_sizes(storage: DataFrame) -> DataFrame:
     return storage.groupBy("project_id", "region", F.col("table_schema").alias("dataset_id")).agg(
         bytes_to_gb(F.sum("total_logical_bytes")).alias("size_gb"),
@@ -64,10 +59,30 @@ def nonempty_tables(tables: DataFrame, storage: DataFrame) -> DataFrame:
     )
 
 
+def _at_least_top(sized: DataFrame, top_n: int) -> DataFrame:
+    """Without the tables that cannot be among the ``top_n`` largest of their scope. Every scope has one count for
+    each of a few hundred size classes, so the running total needs no large window."""
+    scope = ["project_id", "region"]
+    classed = sized.withColumn("size_class", F.floor(F.log2("size_gb") * SIZE_CLASSES))
+    counted = classed.groupBy(*scope, "size_class").agg(F.count(F.lit(1)).alias("n"))
+    larger = Window.partitionBy(*scope).orderBy(F.col("size_class").desc())
+    enough = counted.withColumn("held_before", F.sum("n").over(larger) - F.col("n")).where(F.col("held_before") < top_n)
+    least = enough.groupBy(*scope).agg(F.min("size_class").alias("least_class"))
+    return classed.join(least, scope).where(F.col("size_class") >= F.col("least_class")).drop("size_class", "least_class")
+
+
 def largest_tables(tables: DataFrame, storage: DataFrame, top_n: int = TABLES_PER_SCOPE) -> DataFrame:
-    """The ``top_n`` largest tables of each scope, numbered in ``size_rank``."""
+    """The ``top_n`` largest tables of each scope, numbered in ``size_rank``.
+
+    Up to MOST_KEPT Spark cuts each map task to the rows asked for. For more, tables are first counted by
+    their size to the nearest eighth of a doubling, and those smaller than the classes that hold ``top_n`` are
+    dropped where they are read, so that a large scope does not meet in one task.
+    """
     by_size = Window.partitionBy("project_id", "region").orderBy(
         F.col("size_gb").desc(), "dataset_id", "table_name"
     )
-    ranked = nonempty_tables(tables, storage).withColumn("size_rank", F.row_number().over(by_size))
+    sized = nonempty_tables(tables, storage)
+    if top_n > MOST_KEPT:
+        sized = _at_least_top(sized, top_n)
+    ranked = sized.withColumn("size_rank", F.row_number().over(by_size))
     return ranked.where(F.col("size_rank") <= top_n)

@@ -128,9 +128,12 @@ def tranche_overview(audit: DataFrame, subtotal_projects: Literal["summed", "dis
     """Cost, volume, datasets and projects per tranche, with a subtotal over all but the active ones.
 
     The subtotal of projects adds the counts of the tranches, or counts each project once if ``distinct``.
+    Datasets without a tranche are a row of their own, last, and no part of the subtotal: nothing says that they
+    can go.
     """
-    cleanup = F.col("tranche") != ACTIVE
-    labels = F.explode(F.array_compact(F.array(F.col("tranche"), F.when(cleanup, SUBTOTAL)))).alias("label")
+    cleanup = F.coalesce(F.col("tranche") != ACTIVE, F.lit(False))
+    own = F.array(F.col("tranche"))
+    labels = F.explode(F.when(cleanup, F.concat(own, F.array(F.lit(SUBTOTAL)))).otherwise(own)).alias("label")
     per_project = audit.groupBy("tranche", "project").agg(
         F.sum(F.col("monthly_cost").cast("decimal(28,6)")).alias("cost"),
         F.sum(F.col("size_gb").cast("decimal(28,6)")).alias("size"),

@@ -1,7 +1,8 @@
 """The four audits. Each is one lazy plan over all scopes.
 
-``few_datasets`` says that the catalogue may be broadcast, as ``storage.has_few_datasets`` checks. The job log is
-then read twice and hardly sorted, instead of read once and sorted; results are the same.
+With a ``coverage`` table, scopes whose metadata could not be read are left out, and ``history_ok`` says of the others
+whether their access log was read. ``require_history`` keeps what has no such log from being called unused: its status
+is for review, and no deletion is recommended.
 """
 
 from __future__ import annotations
@@ -61,8 +62,10 @@ TABLE_HEADERS = (
     "Status", "Action", "Monthly Waste ($)",
 )
 
-# Candidate tables are broadcast up to this many rows (about 100 bytes each); beyond it they are joined.
-BROADCAST_ROWS = 50_000
+# Said of what has no access log, if one is required.
+NO_HISTORY_STATUS = "REVIEW: access log missing"
+NO_HISTORY_PRIORITY = "Review"
+NO_HISTORY_ACTION = "REVIEW: the access log of this scope could not be read."
 
 _KEYS = ["project_id", "region", "dataset_id"]
 
@@ -84,13 +87,10 @@ def _profiles(
     k: int,
     days: int,
     coverage: DataFrame | None,
-    few_datasets: bool,
 ) -> DataFrame:
     """Every dataset with its metadata and its accesses. Datasets seen only in the job log are left out."""
     metadata = _readable(dataset_metadata(schemata, options, storage), coverage)
-    known = schemata.select("project_id", "region", F.col("schema_name").alias("dataset_id"))
-    accesses = access_summary(jobs, as_of, k, days, only=known if few_datasets else None)
-    return metadata.join(accesses, _KEYS, "left")
+    return metadata.join(access_summary(jobs, as_of, k, days), _KEYS, "left")
 
 
 def _identity() -> list[Column]:
@@ -113,6 +113,15 @@ def _flags(coverage: DataFrame | None) -> list[str]:
     return [] if coverage is None else ["history_ok"]
 
 
+def _unless_known(found: Column, otherwise: str, coverage: DataFrame | None, require_history: bool) -> Column:
+    """``found``, or ``otherwise`` where the access log is missing and its presence is required."""
+    if not require_history:
+        return found
+    if coverage is None:
+        raise ValueError("require_history needs a coverage table")
+    return F.when(F.col("history_ok"), found).otherwise(otherwise)
+
+
 def _ties() -> list[str]:
     return ["project", "region", "dataset"]
 
@@ -128,18 +137,18 @@ def access_audit(
     days: int = LOOKBACK_DAYS,
     large_gb: float = 100,
     coverage: DataFrame | None = None,
-    few_datasets: bool = False,
+    require_history: bool = False,
 ) -> DataFrame:
     """Datasets with status, priority and recommended action; most urgent and largest first."""
-    found = classify_access(_profiles(schemata, options, storage, jobs, as_of, k, days, coverage, few_datasets), large_gb)
+    found = classify_access(_profiles(schemata, options, storage, jobs, as_of, k, days, coverage), large_gb)
     return found.select(
         *_identity(),
         round2(F.col("size_gb")).alias("size_gb"),
         wall_clock(F.col("last_storage_modified")).alias("last_storage_update"),
         *_details(),
-        "status",
-        "priority",
-        "action",
+        _unless_known(F.col("status"), NO_HISTORY_STATUS, coverage, require_history).alias("status"),
+        _unless_known(F.col("priority"), NO_HISTORY_PRIORITY, coverage, require_history).alias("priority"),
+        _unless_known(F.col("action"), NO_HISTORY_ACTION, coverage, require_history).alias("action"),
         *_flags(coverage),
     ).orderBy(rank_of(F.col("priority"), PRIORITIES), F.col("size_gb").desc_nulls_last(), *_ties())
 
@@ -156,17 +165,17 @@ def tranche_audit(
     large_gb: float = 100,
     monitor_gb: float = 500,
     coverage: DataFrame | None = None,
-    few_datasets: bool = False,
+    require_history: bool = False,
 ) -> DataFrame:
     """Datasets in cleanup tranches by use in the look-back window."""
-    profiles = _profiles(schemata, options, storage, jobs, as_of, k, days, coverage, few_datasets)
+    profiles = _profiles(schemata, options, storage, jobs, as_of, k, days, coverage)
     found = classify_tranche(profiles, large_gb, monitor_gb)
     return found.select(
         *_identity(),
         F.coalesce(round2(F.col("size_gb")), F.lit(0.0)).alias("size_gb"),
         F.coalesce(monthly_cost(F.col("size_gb")), F.lit(0.0)).alias("monthly_cost"),
-        "tranche",
-        "priority",
+        _unless_known(F.col("tranche"), NO_HISTORY_STATUS, coverage, require_history).alias("tranche"),
+        _unless_known(F.col("priority"), NO_HISTORY_PRIORITY, coverage, require_history).alias("priority"),
         wall_clock(F.col("last_read_time")).alias("last_read_time"),
         wall_clock(F.col("last_write_time")).alias("last_write_time"),
         *_details(),
@@ -190,20 +199,13 @@ def deep_history_audit(
     null_storage: Literal["abandoned", "unknown"] = "abandoned",
     coverage: DataFrame | None = None,
     require_history: bool = False,
-    few_datasets: bool = False,
 ) -> DataFrame:
-    """The control table: datasets in tranches by age of the last modification, with a deletion status.
-
-    ``require_history`` keeps datasets whose access log could not be read from being confirmed.
-    """
-    profiles = _profiles(schemata, options, storage, jobs, as_of, k, days, coverage, few_datasets)
+    """The control table: datasets in tranches by age of the last modification, with a deletion status."""
+    profiles = _profiles(schemata, options, storage, jobs, as_of, k, days, coverage)
     sized = profiles.withColumn("size_gb", F.coalesce("size_gb", F.lit(0.0)))
     found = classify_deep(sized, as_of, abandon_days, stale_days, large_gb, null_storage)
     status = deletion_status(F.col("days_since_modified"), abandon_days)
-    if require_history:
-        if coverage is None:
-            raise ValueError("require_history needs a coverage table")
-        status = F.when(F.col("history_ok"), status).otherwise(REVIEW_STATUS)
+    status = _unless_known(status, REVIEW_STATUS, coverage, require_history)
     stored = second_text(F.col("last_storage_modified"))
     if null_storage == "abandoned":
         stored = F.coalesce(stored, F.lit(NEVER_STORED))
@@ -237,20 +239,15 @@ def stale_table_audit(
     organisations: Mapping[str, str] | None = None,
     default_organisation: str = "",
     coverage: DataFrame | None = None,
+    require_history: bool = False,
 ) -> DataFrame:
     """Old tables among the largest of each scope that no recent job referenced; most wasteful first.
 
-    The cut to ``top_n`` comes before the usage test, so smaller unused tables are never listed. When the
-    scopes are named, the candidates cannot outnumber top_n per scope; if that is few enough, they are
-    broadcast and references to all other tables are dropped where they are read.
+    The cut to ``top_n`` comes before the usage test, so smaller unused tables are never listed.
     """
     largest = largest_tables(scope(tables, projects, regions), scope(storage, projects, regions), top_n)
     candidates = largest.where(floor_days(instant(as_of), F.col("creation_time")) > days)
-    bounded = projects is not None and regions is not None
-    small = bounded and top_n * len(projects) * len(regions) <= BROADCAST_ROWS
-    usage = last_access_by_table(
-        scope(jobs, projects, regions), as_of, days, only=candidates if small else None
-    )
+    usage = last_access_by_table(scope(jobs, projects, regions), as_of, days)
     unused = candidates.join(usage, [*_KEYS, "table_name"], "left_anti")
     size = F.col("size_gb")
     return _readable(unused, coverage).select(
@@ -262,8 +259,8 @@ def stale_table_audit(
         round2(size).alias("size_gb"),
         offset_text(F.col("creation_time")).alias("created"),
         F.lit(NEVER_ACCESSED).alias("last_accessed"),
-        F.lit(ZOMBIE_STATUS).alias("status"),
-        F.lit(ZOMBIE_ACTION).alias("action"),
+        _unless_known(F.lit(ZOMBIE_STATUS), NO_HISTORY_STATUS, coverage, require_history).alias("status"),
+        _unless_known(F.lit(ZOMBIE_ACTION), NO_HISTORY_ACTION, coverage, require_history).alias("action"),
         monthly_cost(size).alias("monthly_waste"),
         *_flags(coverage),
     ).orderBy(F.col("monthly_waste").desc(), "project", "region", "dataset", "table_name")

@@ -104,10 +104,12 @@ def write_snapshots(snapshots: DataFrame, root: str, version: int | None = None)
 
 
 def read_policy_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Newest backup per path, over all versions: a run backs up its own targets only."""
+    """Newest backup per path, over all versions: a run backs up its own targets only. A failed backup, which holds
+    no document, hides no earlier one."""
     newest = F.max_by(F.struct("key", "policy_json"), "version").alias("newest")
     return (
         _versions(spark, root, schemas.SNAPSHOTS)
+        .where(F.col("policy_json").isNotNull())
         .groupBy("backup_path")
         .agg(newest)
         .select("newest.key", "backup_path", "newest.policy_json")

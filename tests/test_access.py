@@ -113,28 +113,6 @@ def test_table_usage_ignores_the_project_by_default(spark):
     assert records(strict, "last_accessed") == [(naive(ago(9)),)]
 
 
-def test_table_usage_restricted_to_candidates(spark):
-    df = jobs(spark, job("1", ago(1), refs=[ref("d", "t"), ref("d", "u")]))
-    only = spark.createDataFrame([("p", "eu", "d", "u")], "project_id string, region string, dataset_id string, table_name string")
-    assert records(access.last_access_by_table(df, NOW, only=only), "table_name") == [("u",)]
-
-
-def test_dropping_older_events_keeps_the_newest(spark):
-    """Every slice boundary, future events, a hot dataset, and datasets with fewer than k events."""
-    hours = [-5, 0, 1, 2, 3, 6, 7, 14, 15, 30, 31, 4000]
-    rows = [job(f"h{i}", ago(0, 600 * i), user=f"u{i % 7}", refs=[ref("hot")]) for i in range(600)]
-    rows += [job(f"e{h}{s}", ago(0, h * 3600 + s), refs=[ref("edges"), ref("gone")], dest=ref("edges")) for h in hours for s in (-1, 0, 1)]
-    rows += [job("few", ago(100), refs=[ref("few")]), job("tie", ago(100), user="a", refs=[ref("few")] * 9)]
-    log = jobs(spark, *rows)
-    only = spark.createDataFrame([("p", "eu", d) for d in ("hot", "edges", "few")], "project_id string, region string, dataset_id string")
-    for k in (1, 2, 5, 30):
-        plain = access.access_summary(log, NOW, k).where("dataset_id <> 'gone'")
-        assert sorted(records(access.access_summary(log, NOW, k, only=only))) == sorted(records(plain))
-    events = access.access_events(log, NOW).where("dataset_id = 'hot'")
-    kept = access.drop_older_events(events, only, (*access.DATASET, "is_write"), NOW)
-    assert 5 <= kept.count() <= 30
-
-
 def test_hot_dataset_stays_exact(spark):
     """A third of all events in one dataset, against a plain sort."""
     n = 3000

@@ -132,13 +132,6 @@ def test_deep_history_audit(random_estate):
     assert records(audits.deep_history_audit(**random_estate.frames(), as_of=NOW)) == expected
 
 
-def test_few_datasets_change_the_plan_and_not_the_result(random_estate):
-    frames = random_estate.frames()
-    assert storage_ops.has_few_datasets(frames["schemata"], 72) and not storage_ops.has_few_datasets(frames["schemata"], 71)
-    for audit in (audits.deep_history_audit, audits.tranche_audit, audits.access_audit):
-        assert records(audit(**frames, as_of=NOW, few_datasets=True)) == records(audit(**frames, as_of=NOW))
-
-
 def test_tranche_audit(random_estate):
     expected = []
     for d in random_estate.datasets:

@@ -63,12 +63,24 @@ def test_largest_tables_are_cut_before_the_scope_shuffle(spark):
     assert re.search(r"Exchange hashpartitioning\(project_id, region, \d+\).*\n.*WindowGroupLimit.*, 100, Partial", plan)
 
 
-@pytest.mark.parametrize("top_n,broadcast", [(100, True), (10**6, False)])
-def test_candidates_are_broadcast_only_below_a_proven_size(spark, top_n, broadcast):
+def test_many_largest_tables_are_cut_before_the_scope_shuffle(spark):
+    sized = storage(spark, stored("d"))
+    catalogue = tables(spark, {"table_schema": "d", "table_name": "t", "creation_time": ago(1)})
+    plan = physical(storage_ops.largest_tables(catalogue, sized, 5_000))
+    above, below = plan.index("size_rank"), plan.index("least_class)")
+    assert above < below and "WindowGroupLimit" not in plan
+
+
+@pytest.mark.parametrize("top_n", [100, 5_000])
+def test_no_hint_forces_a_broadcast(spark, top_n):
     args = (fixtures.tables(spark, SMALL), fixtures.table_storage(spark, SMALL), fixtures.jobs(spark, SMALL), fixtures.AS_OF)
     df = audits.stale_table_audit(*args, projects=fixtures.PROJECTS, regions=fixtures.REGIONS, top_n=top_n)
-    hints = df._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast")
-    assert (hints > 0) == broadcast
+    assert "strategy=broadcast" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_kept_events_are_bounded(spark, stored_jobs):
+    with pytest.raises(ValueError):
+        access.access_summary(stored_jobs, NOW, 1_000)
 
 
 def test_top_n_reports_use_a_bounded_heap(spark):
