@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
@@ -53,4 +54,4 @@ def starts_with_digit(text: str) -> bool:
 
 def is_number_like(text: str) -> bool:
     """Digits and dots only, as in the tranche shorthand ``1.1``."""
-    return all(c.isdigit() or c == "." for c in text)
+    return re.fullmatch(r"[\d.]*", text) is not None

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from estate_hygiene import schemas
 from estate_hygiene.functions.names import dataset_key
@@ -19,6 +19,7 @@ from estate_hygiene.operators.policy import (
     CLEANUP_LABEL,
     CLEANUP_LABEL_VALUE,
     backup_path,
+    one_document,
     restrict_policy,
 )
 
@@ -48,28 +49,27 @@ def plan_scream_test(
     """One row per target: restrict, skip or fail, with the reason.
 
     The key has no region, so it can occur twice among the targets. The first occurrence whose policy can
-    be backed up and read is restricted; later ones are skipped.
+    be backed up and read is restricted; later ones are skipped. Before a plan is carried out its policies are
+    stored (``policy.snapshots_of``) and what was stored is asked for with ``require_backup``.
     """
     documents = policies.select(
         F.col("project_id").alias("project"), "region", F.col("dataset_id").alias("dataset"), "policy_json"
     )
-    candidates = (
+    usable_position = F.when(F.col("restricted_policy").isNotNull(), F.col("sheet_position"))
+    rows = (
         targets.select("*", dataset_key(F.col("project"), F.col("dataset")).alias("key"), sheet_position().alias("sheet_position"))
         .join(documents, ["project", "region", "dataset"], "left")
         .withColumn("restricted_policy", restrict_policy(F.col("policy_json"), safe))
         .join(already_processed(state), "key", "left")
+        .withColumn("first_position", F.min(usable_position).over(Window.partitionBy("key")))
     )
-    first = candidates.groupBy("key").agg(
-        F.min(F.when(F.col("restricted_policy").isNotNull(), F.col("sheet_position"))).alias("first_position")
-    )
-    rows = candidates.join(first, "key", "left")
     done = F.col("state_status").isNotNull()
     repeated = F.col("sheet_position") > F.col("first_position")
     usable = F.col("restricted_policy").isNotNull()
     action = F.when(done | repeated, "skip").when(usable, "restrict").otherwise("fail")
     reason = (
         F.when(done, F.concat(F.lit("already processed (Status: "), F.col("state_status"), F.lit(")")))
-        .when(repeated, F.lit(f"already processed (Status: {SCREAM_TEST})"))
+        .when(repeated, F.lit("repeated key"))
         .when(usable, F.lit(None).cast("string"))
         .when(F.col("policy_json").isNull(), F.lit("no backup"))
         .otherwise(F.lit("unreadable policy"))
@@ -98,6 +98,21 @@ def plan_scream_test(
     )
 
 
+def require_backup(plan: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The plan, with a restriction failed unless the very policy it restricts was stored, as read back."""
+    stored = one_document(snapshots).select("backup_path", F.col("policy_json").alias("stored_policy"))
+    rows = plan.join(stored, "backup_path", "left")
+    lost = (F.col("action") == "restrict") & ~F.coalesce(F.col("stored_policy") == F.col("policy_json"), F.lit(False))
+    return rows.withColumns(
+        {
+            "reason": F.when(lost, "no backup").otherwise(F.col("reason")),
+            "restricted_policy": F.when(~lost, F.col("restricted_policy")),
+            "set_label": F.when(~lost, F.col("set_label")),
+            "action": F.when(lost, "fail").otherwise(F.col("action")),
+        }
+    ).select(plan.columns)
+
+
 def apply_outcomes(state: DataFrame, plan: DataFrame, outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
     """State after a scream-test run.
 

@@ -107,6 +107,22 @@ def backup_path(project: Column, dataset: Column, root: str | None) -> Column:
     return F.concat(F.lit(folder), project, F.lit("_"), dataset, F.lit("_backup.json"))
 
 
+def one_document(snapshots: DataFrame) -> DataFrame:
+    """One row per backup path. Two different documents for one path are an error: one of them would be lost."""
+    low, high = F.min("policy_json"), F.max("policy_json")
+    clash = F.raise_error(F.concat(F.lit("different policies for one backup path: "), F.col("backup_path")))
+    return snapshots.groupBy("backup_path").agg(
+        F.min("key").alias("key"),
+        F.min("region").alias("region"),
+        F.when(low.eqNullSafe(high), low).otherwise(clash.cast("string")).alias("policy_json"),
+    ).select("key", "region", "backup_path", "policy_json")
+
+
+def snapshots_of(plan: DataFrame) -> DataFrame:
+    """What has to be backed up before a plan is carried out: the policies it restricts, one for each key."""
+    return plan.where(F.col("action") == "restrict").select("key", "region", "backup_path", "policy_json")
+
+
 def snapshot_policies(policies: DataFrame, targets: DataFrame, root: str | None) -> DataFrame:
     """The policy of every target as it stands, with the path it is kept under.
 
@@ -118,6 +134,7 @@ def snapshot_policies(policies: DataFrame, targets: DataFrame, root: str | None)
     ).distinct()
     return wanted.join(policies.select(*keys, "policy_json"), keys, "left").select(
         dataset_key(F.col("project_id"), F.col("dataset_id")).alias("key"),
+        "region",
         backup_path(F.col("project_id"), F.col("dataset_id"), root).alias("backup_path"),
         "policy_json",
     )

@@ -21,6 +21,8 @@ COLUMN_LINE = "| Dataset | Tranche | Size (GB) | Monthly Cost ($) | Initiated |
 RULE_LINE = "|---|---|---|---|---|---|---|"
 EMPTY_LINE = "No entries in state.json yet — no Scream Tests have been initiated (or this is dry-run only)."
 
+SOURCE_LINE = "Source: {} (regenerate this report rather than editing it by hand)"
+
 HEAD, BODY, TOTALS = 0, 1, 2
 
 
@@ -119,7 +121,7 @@ def render_report(
             (0, F.lit(f"# {title}")),
             (1, none),
             (2, F.lit(f"Generated: {generated}")),
-            (3, F.lit(f"Source: {source} (regenerate this report rather than editing it by hand)")),
+            (3, F.lit(SOURCE_LINE.format(source))),
             (4, none),
         ],
     )
@@ -172,7 +174,9 @@ def render_report(
         F.col("ready"),
     ]
     row_line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    # A map of the few statuses, so that rows need no join on a key of three values.
     first = state.groupBy(F.coalesce("status", F.lit(UNKNOWN_STATUS)).alias("status")).agg(F.min("seq").alias("first_seq"))
-    body = _lines(rows.join(first, "status"), BODY, F.col("first_seq"), F.col("key"), [(4, row_line)])
+    section = first.agg(F.map_from_entries(F.collect_list(F.struct("status", "first_seq"))).alias("first_of")).scalar()
+    body = _lines(rows.withColumn("section", section[F.col("status")]), BODY, F.col("section"), F.col("key"), [(4, row_line)])
     order = ("block", "section", "part", "key")
     return head.unionByName(nothing).unionByName(summary).unionByName(body).orderBy(*order)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from estate_hygiene.functions.names import starts_with_digit
 from estate_hygiene.operators.lifecycle import RESTORED, SCREAM_TEST, reported_ok
+from estate_hygiene.operators.policy import one_document
 
 
 def select_restore(
@@ -38,7 +39,7 @@ def unknown_keys(state: DataFrame, keys: DataFrame) -> DataFrame:
 
 def plan_restore(targets: DataFrame, snapshots: DataFrame) -> DataFrame:
     """One row per target: restore with the full original policy, skip, or fail for want of a backup."""
-    backups = snapshots.select("backup_path", "policy_json")
+    backups = one_document(snapshots.where(F.col("policy_json").isNotNull())).select("backup_path", "policy_json")
     rows = targets.join(backups, "backup_path", "left")
     restored = F.coalesce(F.col("status") == RESTORED, F.lit(False))
     missing = F.col("policy_json").isNull()

@@ -21,7 +21,9 @@ def starts_confirmed(status: Column) -> Column:
 
 
 def confirmed(audit: DataFrame) -> DataFrame:
-    return audit.where(contains_confirmed(F.col("deletion_status")))
+    """Confirmed datasets. One whose scope has no readable access log is never one, if the audit says so."""
+    known = F.coalesce("history_ok", F.lit(True)) if "history_ok" in audit.columns else F.lit(True)
+    return audit.where(contains_confirmed(F.col("deletion_status")) & known)
 
 
 def list_tranches(audit: DataFrame) -> DataFrame:

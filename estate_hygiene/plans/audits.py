@@ -199,8 +199,12 @@ def deep_history_audit(
     null_storage: Literal["abandoned", "unknown"] = "abandoned",
     coverage: DataFrame | None = None,
     require_history: bool = False,
+    ordered: bool = True,
 ) -> DataFrame:
-    """The control table: datasets in tranches by age of the last modification, with a deletion status."""
+    """The control table: datasets in tranches by age of the last modification, with a deletion status.
+
+    Rows come in sheet order unless ``ordered`` is false, as for a table that is stored and not looked at.
+    """
     profiles = _profiles(schemata, options, storage, jobs, as_of, k, days, coverage)
     sized = profiles.withColumn("size_gb", F.coalesce("size_gb", F.lit(0.0)))
     found = classify_deep(sized, as_of, abandon_days, stale_days, large_gb, null_storage)
@@ -209,7 +213,7 @@ def deep_history_audit(
     stored = second_text(F.col("last_storage_modified"))
     if null_storage == "abandoned":
         stored = F.coalesce(stored, F.lit(NEVER_STORED))
-    return found.select(
+    sheet = found.select(
         *_identity(),
         round2(F.col("size_gb")).alias("size_gb"),
         monthly_cost(F.col("size_gb")).alias("monthly_cost"),
@@ -223,7 +227,8 @@ def deep_history_audit(
         stored.alias("last_storage_update"),
         status.alias("deletion_status"),
         *_flags(coverage),
-    ).orderBy(*sheet_order())
+    )
+    return sheet.orderBy(*sheet_order()) if ordered else sheet
 
 
 def stale_table_audit(

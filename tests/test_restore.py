@@ -3,6 +3,7 @@ import json
 import pytest
 
 from estate_hygiene.operators import lifecycle, policy, restore
+from estate_hygiene.sources import tables
 from helpers import NOW, audit, by_key, outcomes, policies, records, state
 
 T1, T11, T2 = "Tranche 1: Abandoned", "Tranche 1.1: Special", "Tranche 2: Large"
@@ -53,8 +54,8 @@ def test_several_keys_and_unknown_ones(spark, entries):
 
 def snapshots(spark, entries, *without):
     rows = entries.select("key", "backup_path").collect()
-    kept = [(r.key, r.backup_path, json.dumps({"access": [r.key]})) for r in rows if r.key not in without]
-    return spark.createDataFrame(kept, "key string, backup_path string, policy_json string")
+    kept = [(r.key, "eu", r.backup_path, json.dumps({"access": [r.key]})) for r in rows if r.key not in without]
+    return spark.createDataFrame(kept, "key string, region string, backup_path string, policy_json string")
 
 
 def test_plan(spark, entries):
@@ -102,3 +103,25 @@ def test_restrict_then_restore_gives_the_original_policy(spark):
     after = lifecycle.apply_outcomes(state(spark), plan, outcomes(spark, p__d=True), NOW)
     [row] = restore.plan_restore(restore.select_restore(after, every=True), backup).collect()
     assert row.action == "restore" and row.policy_json == text
+
+
+def test_a_restriction_waits_for_its_stored_backup(spark, tmp_path):
+    text = json.dumps({"access": [{"role": "READER", "userByEmail": "a@x"}]})
+    targets, current = audit(spark, {"dataset": "d"}, {"dataset": "e"}), policies(spark, {"p:d": text, "p:e": text})
+    plan = lifecycle.plan_scream_test(targets, state(spark), current, NOW, "gs://b")
+    tables.write_snapshots(policy.snapshots_of(plan.where("key = 'p:d'")), str(tmp_path))
+    gated = by_key(lifecycle.require_backup(plan, tables.read_policy_snapshot(spark, str(tmp_path))))
+    assert {k: (r.action, r.reason, r.restricted_policy is None) for k, r in gated.items()} == {
+        "p:d": ("restrict", None, False),
+        "p:e": ("fail", "no backup", True),
+    }
+
+
+def test_two_regions_of_one_key_keep_the_policy_that_was_restricted(spark, tmp_path):
+    targets = audit(spark, {"dataset": "d", "region": "us"}, {"dataset": "d", "region": "eu"})
+    eu = policies(spark, {"p:d": '{"access":[],"at":"eu"}'})
+    both = eu.unionByName(eu.selectExpr("project_id", "'us' region", "dataset_id", "replace(policy_json, 'eu', 'us') policy_json"))
+    plan = lifecycle.plan_scream_test(targets, state(spark), both, NOW, "gs://b")
+    tables.write_snapshots(policy.snapshots_of(plan), str(tmp_path))
+    [row] = tables.read_policy_snapshot(spark, str(tmp_path)).collect()
+    assert (row.region, json.loads(row.policy_json)["at"]) == ("eu", "eu")

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from estate_hygiene import schemas
 from estate_hygiene.operators import report
 from estate_hygiene.sources import estate, state_json, tables
-from helpers import NOW, ago, audit, job, jobs, records, ref, schemata, state
+from helpers import NOW, ago, audit, frame, job, jobs, records, ref, schemata, state
 
 
 def naive(when):
@@ -71,9 +71,28 @@ def test_state_can_be_rewritten_from_itself(spark, tmp_path):
 def test_newest_snapshot_per_path(spark, tmp_path):
     root = str(tmp_path / "snapshots")
     make = lambda *rows: spark.createDataFrame(list(rows), schemas.SNAPSHOTS)
-    tables.write_snapshots(make(("p:a", "x/a", "old"), ("p:b", "x/b", "only")), root)
-    tables.write_snapshots(make(("p:a", "x/a", "new")), root)
-    assert sorted(records(tables.read_policy_snapshot(spark, root))) == [("p:a", "x/a", "new"), ("p:b", "x/b", "only")]
+    tables.write_snapshots(make(("p:a", "eu", "x/a", "old"), ("p:b", "eu", "x/b", "only")), root)
+    tables.write_snapshots(make(("p:a", "eu", "x/a", "new")), root)
+    tables.write_snapshots(make(("p:a", "eu", "x/a", None)), root)  # a failed backup hides no earlier one
+    assert sorted(records(tables.read_policy_snapshot(spark, root))) == [("p:a", "eu", "x/a", "new"), ("p:b", "eu", "x/b", "only")]
+
+
+def test_two_policies_for_one_path_are_refused(spark, tmp_path):
+    clash = frame(spark, schemas.SNAPSHOTS, [])
+    clash = spark.createDataFrame([("p:a", "eu", "x/a", "1"), ("p:a", "us", "x/a", "2")], clash.schema)
+    with pytest.raises(Exception, match="different policies"):
+        tables.write_snapshots(clash, str(tmp_path / "clash"))
+
+
+def test_a_version_that_was_not_committed_is_not_read(spark, tmp_path):
+    root = str(tmp_path / "audit")
+    assert tables.write_audit(audit(spark, {"dataset": "a"}, {"dataset": "b"}), root) == 2
+    audit(spark, {"dataset": "c"}).write.parquet(f"{root}/version=2")
+    (tmp_path / "audit" / "version=2" / "_SUCCESS").unlink()
+    assert sorted(records(tables.read_audit(spark, root), "dataset")) == [("a",), ("b",)]
+    assert tables.next_version(spark, root) == 3
+    with pytest.raises(Exception):
+        tables.write_audit(audit(spark, {"dataset": "d"}), root, version=1)
 
 
 def write(tmp_path, text):
