@@ -34,8 +34,8 @@ from estate_hygiene.llm.workspace import stored
 
 LENGTH, REACH, GRAM = 400, 300, 16
 LEAD = LENGTH - REACH + 1
-#: The sample of splitters: so many blocks, and suffixes of each.
-SAMPLE_BLOCKS, SAMPLE_SUFFIXES = 32, 512
+#: The sample of splitters: so many suffixes of a block, and blocks at least, and so many suffixes for each range.
+SAMPLE_SUFFIXES, SAMPLE_BLOCKS, SAMPLE_OF_RANGE = 512, 32, 32
 #: A block's arrays take about 80 bytes for each of its own.
 BLOCK_BYTES = 2_000_000
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
@@ -230,7 +230,8 @@ def _placed(values: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 def _splitters(blocks_: DataFrame, shared: DataFrame, key_buckets: int, ranges: int) -> np.ndarray:
     """Cuts between ranges of about equal load, from a bounded sample of the suffixes that will be sorted."""
-    some = blocks_.select("block_id").orderBy(F.xxhash64("block_id")).limit(SAMPLE_BLOCKS)
+    n_sample = max(SAMPLE_BLOCKS, ranges * SAMPLE_OF_RANGE // SAMPLE_SUFFIXES)
+    some = blocks_.select("block_id").orderBy(F.xxhash64("block_id")).limit(n_sample)
 
     def sample(block: bl.Block, rows: list[dict]) -> list[pa.RecordBatch]:
         suffixes = Suffixes(block)
@@ -251,7 +252,8 @@ def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
     all_blocks = bl.blocks(docs, block_bytes=BLOCK_BYTES)
     buckets = bl.n_buckets(all_blocks, 0.1)
-    ranges = bl.n_buckets(all_blocks, 4)
+    # Sorting a range takes about 40 bytes for each of its own, and twice as many where classes differ.
+    ranges = bl.n_buckets(all_blocks, 16)
 
     def ask_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in bl.opened(batches):
