@@ -48,5 +48,5 @@ def thousands(x: Column, decimals: int) -> Column:
 
 
 def float_text(x: Column) -> Column:
-    """A two-decimal double without padding and never in scientific notation: 10.0, 12.5, 0.02."""
-    return F.regexp_replace(x.cast("decimal(28,2)").cast("string"), r"(\.\d)0$", "$1")
+    """A double as it stands, up to ten decimals, without padding or scientific notation: 10.0, 12.5, 1.234."""
+    return F.regexp_replace(x.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0+$", "$1")

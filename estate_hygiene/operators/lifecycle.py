@@ -27,6 +27,15 @@ from estate_hygiene.operators.policy import (
 SCREAM_TEST, DELETED, RESTORED = "scream_test", "deleted", "restored"
 RETENTION_DAYS = 7
 
+# Messages of the action log.
+SKIPPING = "Skipping %s - %s"
+NO_BACKUP = "Failed to backup %s (%s). Skipping."
+SCREAM_DONE = "Scream test applied successfully for %s"
+SCREAM_FAILED = "ERROR: Failed to apply scream test for %s - dataset access NOT modified"
+NO_LABEL = "WARNING: Failed to label %s - continuing with access restriction"
+PURGE_DONE = "Deleted %s"
+PURGE_FAILED = "ERROR: Failed to delete %s"
+
 
 def reported_ok(outcomes: DataFrame) -> DataFrame:
     """Keys that succeeded at least once; repeated reports count once."""
@@ -204,16 +213,14 @@ def scream_test_log(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
     rows = plan.select("key", "action", "reason").join(reports, "key", "left")
     acted = F.col("action") == "restrict"
     outcome = (
-        F.when(F.col("action") == "skip", F.concat(F.lit("Skipping "), "key", F.lit(" - "), "reason"))
-        .when(~acted, F.concat(F.lit("Failed to backup "), "key", F.lit(" ("), "reason", F.lit("). Skipping.")))
-        .when(F.col("ok"), F.concat(F.lit("Scream test applied successfully for "), "key"))
-        .otherwise(
-            F.concat(F.lit("ERROR: Failed to apply scream test for "), "key", F.lit(" - dataset access NOT modified"))
-        )
+        F.when(F.col("action") == "skip", F.format_string(SKIPPING, "key", "reason"))
+        .when(~acted, F.format_string(NO_BACKUP, "key", "reason"))
+        .when(F.col("ok"), F.format_string(SCREAM_DONE, "key"))
+        .otherwise(F.format_string(SCREAM_FAILED, "key"))
     )
     warning = F.when(
         acted & ~F.col("label_ok"),
-        F.concat(F.lit("WARNING: Failed to label "), "key", F.lit(" - continuing with access restriction")),
+        F.format_string(NO_LABEL, "key"),
     )
     return rows.select("key", "action", F.explode(F.array_compact(F.array(warning, outcome))).alias("message"))
 
@@ -222,8 +229,8 @@ def purge_log(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Messages of a purge run."""
     rows = plan.join(reported_ok(outcomes).withColumn("ok", F.lit(True)), "key", "left")
     message = (
-        F.when(F.col("action") == "skip", F.concat(F.lit("Skipping "), "key", F.lit(" - "), "reason"))
-        .when(F.col("ok"), F.concat(F.lit("Deleted "), "key"))
-        .otherwise(F.concat(F.lit("ERROR: Failed to delete "), "key"))
+        F.when(F.col("action") == "skip", F.format_string(SKIPPING, "key", "reason"))
+        .when(F.col("ok"), F.format_string(PURGE_DONE, "key"))
+        .otherwise(F.format_string(PURGE_FAILED, "key"))
     )
     return rows.select("key", "action", message.alias("message"))

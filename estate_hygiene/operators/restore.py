@@ -8,6 +8,11 @@ from estate_hygiene.functions.names import starts_with_digit
 from estate_hygiene.operators.lifecycle import RESTORED, SCREAM_TEST, reported_ok
 from estate_hygiene.operators.policy import one_document
 
+# Messages of the action log.
+SKIPPED = "Skipping %s - %s."
+RESTORE_DONE = "Successfully restored %s"
+RESTORE_FAILED = "ERROR: Failed to restore %s"
+
 
 def select_restore(
     state: DataFrame,
@@ -93,8 +98,8 @@ def restore_log(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Messages of a restore run: ``key, action, message``."""
     done = reported_ok(outcomes).withColumn("ok", F.lit(True))
     message = (
-        F.when(F.col("action") == "skip", F.concat(F.lit("Skipping "), "key", F.lit(" - "), "reason", F.lit(".")))
-        .when(F.col("ok") & (F.col("action") == "restore"), F.concat(F.lit("Successfully restored "), "key"))
-        .otherwise(F.concat(F.lit("ERROR: Failed to restore "), "key"))
+        F.when(F.col("action") == "skip", F.format_string(SKIPPED, "key", "reason"))
+        .when(F.col("ok") & (F.col("action") == "restore"), F.format_string(RESTORE_DONE, "key"))
+        .otherwise(F.format_string(RESTORE_FAILED, "key"))
     )
     return plan.join(done, "key", "left").select("key", "action", message.alias("message"))

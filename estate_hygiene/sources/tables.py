@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from estate_hygiene import schemas
+from estate_hygiene.functions.names import TEST_NAME_TOKENS
+from estate_hygiene.functions.numbers import COST_PER_GB_MONTH
 from estate_hygiene.functions.timestamps import instant, iso_text
+from estate_hygiene.operators.access import EVENTS_KEPT, LOOKBACK_DAYS
 from estate_hygiene.operators.policy import one_document
 
 
@@ -95,20 +98,19 @@ def write_member(df: DataFrame, bundle: str, name: str) -> None:
     df.write.mode("overwrite").parquet(f"{bundle}/{name}")
 
 
-# Fixed values.
-DATA_DICTIONARY = (
-    ("Tranche 1", "Stale Test/Temp", 'Datasets with "test/temp/tmp" in the name AND no access in 180 days. Immediate deletion candidates.'),
-    ("Tranche 2", "High Saving Stale", "Production datasets > 100GB with no access in 180 days. Primary target for cost reduction."),
-    ("Tranche 3", "Stale Production", "Small production datasets with no access in 180 days."),
-    ("Tranche 4", "Active Test/Temp", 'Datasets with "test/temp/tmp" in name but HAVE access history. Review for housekeeping.'),
-    ("Column: Description", "Dataset Metadata", "Pulled from the dataset options. Helps identify ownership/purpose."),
-    ("Column: Last 5 Access", "Audit Trail", "Shows the most recent 5 jobs (Read or Write) including the user email and time."),
-    ("Column: Monthly Cost", "Financial Impact", "Estimated based on $0.02 per GB per month (standard logical storage)."),
-)
-
-
-def data_dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DATA_DICTIONARY), "category string, definition string, detail string")
+def data_dictionary(spark: SparkSession, large_gb: int = 100, days: int = LOOKBACK_DAYS, rate: float = COST_PER_GB_MONTH) -> DataFrame:
+    """What tranches and columns mean, put together from the rules that are in force."""
+    names = "/".join(TEST_NAME_TOKENS)
+    rows = [
+        ("Tranche 1", "Stale Test/Temp", f"The name holds one of {names}, and nothing read or wrote it for {days} days. First to go."),
+        ("Tranche 2", "High Saving Stale", f"Other datasets over {large_gb} GB without access for {days} days. They save the most."),
+        ("Tranche 3", "Stale Production", f"Other datasets up to {large_gb} GB without access for {days} days."),
+        ("Tranche 4", "Active Test/Temp", f"The name holds one of {names}, but the dataset is in use. For review."),
+        ("Column: Description", "Dataset Metadata", "The description among the options of the dataset, which may name an owner or a purpose."),
+        ("Column: Last 5 Access", "Audit Trail", f"The newest {EVENTS_KEPT} jobs that read or wrote the dataset, each with its time and user."),
+        ("Column: Monthly Cost", "Financial Impact", f"An estimate at ${rate:.2f} per GB and month."),
+    ]
+    return spark.createDataFrame(rows, "category string, definition string, detail string")
 
 
 def write_bundle(audit: DataFrame, bundle: str) -> None:

@@ -45,6 +45,7 @@ def test_exact_total_ignores_nulls_and_empty_is_zero(spark):
 def test_float_text_matches_python(spark):
     values = [0.0, 10.0, 12.5, 0.02, 12345678.9, 1.25]
     assert evaluate(spark, numbers.float_text(F.col("x")), "x double", [(v,) for v in values]) == [str(v) for v in values]
+    assert evaluate(spark, numbers.float_text(F.col("x")), "x double", [(1.234,), (1e9,)]) == ["1.234", "1000000000.0"]
 
 
 @pytest.mark.parametrize(
