@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType
 
 from estate_hygiene.functions.names import dataset_key
 from estate_hygiene.functions.timestamps import instant, utc
@@ -125,8 +124,10 @@ def table_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jobs(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, days: int = 180) -> DataFrame:
     """Jobs that can fall in the look-back window.
 
-    A job's references and its destination come in rows of their own, as if the log were written in pieces:
-    no operator counts jobs, and an order with a third of all line items is never gathered into one row.
+    A job comes in pieces, as if the log were written that way: a row for each line item, which references its table
+    and the neighbouring one of the same dataset, and for closed orders a row that writes the first of their tables
+    and references it too. No operator counts jobs, and an order with a third of all line items is never gathered
+    into one row.
 
     A job starts within a day after its order date. The bound on the order date follows from the window
     that every reader of the job log applies, and is stated here so that it reaches the Parquet scan.
@@ -155,23 +156,23 @@ def jobs(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, days: int = 180)
         .otherwise(F.concat(F.lit("u"), F.col("o_custkey").cast("string"), F.lit("@example.com")))
         .alias("user_email"),
     )
-    table = F.struct(
-        F.col("dataset_project").alias("project_id"),
-        "dataset_id",
-        F.concat(F.lit("t_"), F.col("l_partkey").cast("string")).alias("table_id"),
-    )
+    def table_of(partkey: Column) -> Column:
+        name = F.concat(F.lit("t_"), partkey.cast("string"))
+        return F.struct(F.col("dataset_project").alias("project_id"), "dataset_id", name.alias("table_id"))
+
+    table, neighbour = table_of(F.col("l_partkey")), table_of(F.col("l_partkey").bitwiseXOR(F.lit(1)))
     first_parts = (
         lines.join(orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
         .groupBy("l_orderkey")
         .agg(F.min("l_partkey").alias("l_partkey"))
     )
     same_order = F.col("o_orderkey") == F.col("l_orderkey")
-    no_table, no_tables = F.lit(None).cast(TABLE_REF), F.lit(None).cast(ArrayType(TABLE_REF))
+    no_table = F.lit(None).cast(TABLE_REF)
     reads = _with_dataset(started.join(lines, same_order), "l_partkey", spark, sf_dir)
     writes = _with_dataset(started.join(first_parts, same_order), "l_partkey", spark, sf_dir)
     return (
-        reads.select("*", F.array(table).alias("referenced_tables"), no_table.alias("destination_table"))
-        .unionByName(writes.select("*", no_tables.alias("referenced_tables"), table.alias("destination_table")))
+        reads.select("*", F.array(table, neighbour).alias("referenced_tables"), no_table.alias("destination_table"))
+        .unionByName(writes.select("*", F.array(table).alias("referenced_tables"), table.alias("destination_table")))
         .select(JOBS.fieldNames())
     )
 

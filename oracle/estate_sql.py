@@ -84,14 +84,18 @@ CTES: dict[str, str] = {
       FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
       JOIN region ON r_regionkey = n_regionkey""",
     "recent": f"SELECT * FROM jobs WHERE creation_time > {CUTOFF}",
-    "refs": """
+    "lines": """
       SELECT j.job_id, j.project_id, j.region, j.creation_time, j.user_email, j.o_orderstatus,
              p.project_id AS ref_project, p.dataset_id, p.table_name, l_partkey,
              min(l_partkey) OVER (PARTITION BY j.o_orderkey) AS first_part,
              row_number() OVER (PARTITION BY j.o_orderkey ORDER BY l_partkey) AS nth
       FROM recent j JOIN lineitem ON l_orderkey = j.o_orderkey JOIN parts p ON p_partkey = l_partkey""",
+    "refs": """
+      SELECT * FROM lines UNION ALL
+      SELECT * REPLACE ('t_' || xor(l_partkey, 1) AS table_name) FROM lines UNION ALL
+      SELECT * FROM lines WHERE nth = 1 AND o_orderstatus = 'F'""",
     "read_events": "SELECT * FROM refs WHERE ref_project = project_id",
-    "write_events": "SELECT * FROM refs WHERE nth = 1 AND o_orderstatus = 'F' AND ref_project = project_id",
+    "write_events": "SELECT * FROM lines WHERE nth = 1 AND o_orderstatus = 'F' AND ref_project = project_id",
     "reads": _newest("read_events"),
     "writes": _newest("write_events"),
     "metadata": """
