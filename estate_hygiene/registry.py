@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from threading import RLock
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -14,7 +13,7 @@ from estate_hygiene.functions.timestamps import wall_clock
 from estate_hygiene.operators.ordering import sheet_order
 from estate_hygiene.operators import access, lifecycle, policy, report, restore, selection, storage, summary
 from estate_hygiene.plans import audits
-from estate_hygiene.session import shared_folder, use_utc
+from estate_hygiene.session import own_folder, use_utc
 from estate_hygiene.sources import estate, tables
 
 AS_OF = fx.AS_OF
@@ -36,7 +35,7 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     spot = (spark.sparkContext.applicationId, sf_dir, name)
     with _folders_lock:
         if spot not in _folders:
-            root = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+            root = own_folder(spark, name)
             write(root)
             _folders[spot] = root
         return _folders[spot]
@@ -171,7 +170,7 @@ def scope_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fresh audit, written and read back."""
-    root = f"{shared_folder(spark)}/audit-{uuid4().hex}"
+    root = own_folder(spark, "audit")
     tables.write_audit(deep_history_audit(spark, sf_dir, ordered=False), root, version=1)
     return tables.read_audit(spark, root)
 
@@ -280,7 +279,7 @@ def restored_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def action_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of a scream test, a purge and a restore, appended to one log and read back."""
-    root = f"{shared_folder(spark)}/log-{uuid4().hex}"
+    root = own_folder(spark, "log")
     scream, purge, back = _stored_scream_plan(spark, sf_dir), _purge_plan(spark, sf_dir), _restore_plan(spark, sf_dir, every=True)
     tables.append_log(lifecycle.scream_test_log(scream, fx.outcomes(scream)), root, AS_OF)
     tables.append_log(lifecycle.purge_log(purge, fx.outcomes(purge)), root, AS_OF)
@@ -290,7 +289,7 @@ def action_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state written twice, the second time after a purge: the newer version is read."""
-    root = f"{shared_folder(spark)}/state-{uuid4().hex}"
+    root = own_folder(spark, "state")
     state = fx.state(control_table(spark, sf_dir))
     tables.write_state(state, root)
     now = tables.read_state(spark, root)
@@ -310,7 +309,7 @@ def audit_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def estate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset metadata of two of the projects, from estate tables that were stored by scope and read back."""
-    root = f"{shared_folder(spark)}/estate-{uuid4().hex}"
+    root = own_folder(spark, "estate")
     made = {"schemata": fx.schemata, "schema_options": fx.schema_options, "table_storage": fx.table_storage}
     readers = {"schemata": estate.read_schemata, "schema_options": estate.read_schema_options, "table_storage": estate.read_table_storage}
     back = []

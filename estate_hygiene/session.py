@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, removed when the application ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/estate-hygiene/{name}-{uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
 
