@@ -66,7 +66,7 @@ def plan_scream_test(
     )
     usable_position = F.when(F.col("restricted_policy").isNotNull(), F.col("sheet_position"))
     rows = (
-        targets.select("*", dataset_key(F.col("project"), F.col("dataset")).alias("key"), sheet_position().alias("sheet_position"))
+        targets.select("*", dataset_key(F.col("project"), F.col("dataset")).alias("key"), sheet_position(targets).alias("sheet_position"))
         .join(documents, ["project", "region", "dataset"], "left")
         .withColumn("restricted_policy", restrict_policy(F.col("policy_json"), safe))
         .join(already_processed(state), "key", "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from estate_hygiene.operators.classify import DEEP_TRANCHES, UNKNOWN_RANK, rank_of
 
@@ -19,10 +19,12 @@ def sheet_order() -> list[Column]:
     ]
 
 
-def sheet_position() -> Column:
-    """The same order as one comparable value.
+def sheet_position(sheet: DataFrame) -> Column:
+    """The place of a row as one comparable value: its ``seq`` in a sheet that was read in an order of its own, the
+    order above for rows without one.
 
     Operators that need the first or last row take ``min_by`` or ``max_by`` over it, which Spark combines
     before the shuffle; numbering all rows would send the whole table through one task.
     """
-    return F.struct(*sheet_order())
+    own = [F.col("seq").isNull().alias("unnumbered"), F.col("seq").alias("number")] if "seq" in sheet.columns else []
+    return F.struct(*own, *sheet_order())

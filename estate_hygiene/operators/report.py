@@ -36,7 +36,7 @@ def status_label(status: Column) -> Column:
 
 def audit_context(audit: DataFrame) -> DataFrame:
     """Size, cost, region and description per key. Where a key repeats, the last row of the sheet counts."""
-    last = F.max_by(F.struct("size_gb", "monthly_cost", "region", "description"), sheet_position())
+    last = F.max_by(F.struct("size_gb", "monthly_cost", "region", "description"), sheet_position(audit))
     by_key = audit.groupBy(dataset_key(F.col("project"), F.col("dataset")).alias("key")).agg(last.alias("last"))
     return by_key.select("key", "last.*")
 

@@ -28,7 +28,7 @@ def confirmed(audit: DataFrame) -> DataFrame:
 
 def list_tranches(audit: DataFrame) -> DataFrame:
     """Distinct tranche labels, null included, in order of first appearance."""
-    first = audit.groupBy("tranche").agg(F.min(sheet_position()).alias("first"))
+    first = audit.groupBy("tranche").agg(F.min(sheet_position(audit)).alias("first"))
     return first.orderBy("first").select("tranche")
 
 
@@ -41,7 +41,7 @@ def resolve_tranche(audit: DataFrame, text: str) -> DataFrame:
     label = F.col("tranche")
     exact = label == text
     wanted = exact | label.startswith(f"Tranche {text}:") if is_number_like(text) else exact
-    labels = audit.where(wanted).groupBy("tranche").agg(F.min(sheet_position()).alias("first"))
+    labels = audit.where(wanted).groupBy("tranche").agg(F.min(sheet_position(audit)).alias("first"))
     return labels.orderBy(exact.desc(), "first").select("tranche").limit(1)
 
 

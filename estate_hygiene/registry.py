@@ -171,8 +171,9 @@ def scope_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fresh audit, written and read back."""
     root = own_folder(spark, "audit")
-    tables.write_audit(deep_history_audit(spark, sf_dir, ordered=False), root, version=1)
-    return tables.read_audit(spark, root)
+    coverage = estate.scope_coverage(fx.scopes(spark, sf_dir), fx.loads(spark, sf_dir))
+    tables.write_audit(deep_history_audit(spark, sf_dir, ordered=False, coverage=coverage), root, version=1)
+    return tables.read_audit(spark, root).drop("seq")
 
 
 def confirmed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,8 @@ AUDIT = T.StructType(
         T.StructField("deletion_status", T.StringType()),
         # Whether the access log of the scope was read; null if nobody looked.
         T.StructField("history_ok", T.BooleanType()),
+        # The row's place in a sheet with an order of its own; null where the order of the audit holds.
+        T.StructField("seq", T.LongType()),
     ]
 )
 

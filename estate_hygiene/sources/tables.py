@@ -10,6 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import LongType, StructField, StructType
 
 from estate_hygiene import schemas
@@ -72,8 +73,9 @@ def write_audit(audit: DataFrame, root: str, version: int | None = None) -> int:
 
     An audit without rows leaves the previous one in force.
     """
-    history = audit if "history_ok" in audit.columns else audit.withColumn("history_ok", F.lit(None).cast("boolean"))
-    return write_version(history.select(schemas.AUDIT.fieldNames()), root, version)
+    absent = [f for f in schemas.AUDIT.fields[-2:] if f.name not in audit.columns]
+    whole = audit.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
+    return write_version(whole.select(schemas.AUDIT.fieldNames()), root, version)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
@@ -81,8 +83,10 @@ def read_audit(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_audit_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A control sheet kept by hand, as CSV with the snake-case column names."""
-    return spark.read.schema(schemas.AUDIT).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    """A control sheet kept by hand, as CSV with the snake-case column names. Its rows keep the order of the file."""
+    given = T.StructType([f for f in schemas.AUDIT.fields if f.name not in ("history_ok", "seq")])
+    sheet = spark.read.schema(given).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return sheet.withColumns({"history_ok": F.lit(None).cast("boolean"), "seq": F.monotonically_increasing_id()})
 
 
 def write_state(state: DataFrame, root: str, version: int | None = None) -> int:

@@ -98,7 +98,7 @@ _QUERIES: dict[str, str] = {
              last_writes AS "Last 5 Writes (Who/When)", modified AS "Last Storage Update"
       FROM ({_TRANCHE})""",
     "deep_history_audit": f"SELECT {_CONTROL} FROM control",
-    "audit_roundtrip": f"SELECT {_CONTROL}, CAST(NULL AS BOOLEAN) AS history_ok FROM control",
+    "audit_roundtrip": f"SELECT {_CONTROL}, NOT (project = 'ASIA' AND region = 'eu') AS history_ok FROM control",
     "scope_coverage": """
       SELECT project, region, history_ok, count(*) AS datasets,
              CAST(count(*) FILTER (days_since_modified > 365) AS BIGINT) AS without_rule,

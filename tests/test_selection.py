@@ -1,6 +1,7 @@
 import pytest
 
-from estate_hygiene.operators import selection
+from estate_hygiene.operators import report, selection
+from estate_hygiene.sources import tables
 from helpers import audit, records
 
 T1, T11, T2 = "Tranche 1: Abandoned", "Tranche 1.1: Special", "Tranche 2: Large"
@@ -62,3 +63,13 @@ def test_tranches_in_order_of_first_appearance(spark):
 def test_notice_only_for_empty_plans(sheet):
     assert records(selection.notice_if_empty(sheet, "none")) == []
     assert records(selection.notice_if_empty(sheet.where("false"), "none")) == [("none",)]
+
+
+def test_a_sheet_keeps_its_own_order(spark, tmp_path):
+    rows = [("b", "Tranche 2: Large", 1.0), ("a", "Tranche 1: Abandoned", 9.0), ("b", "Tranche 1: Abandoned", 7.0)]
+    text = "project,region,dataset,description,size_gb,monthly_cost,tranche\n" + "".join(f"p,eu,{d},x,{s},1.0,{t}\n" for d, t, s in rows)
+    (tmp_path / "sheet.csv").write_text(text)
+    sheet = tables.read_audit_csv(spark, str(tmp_path / "sheet.csv"))
+    assert [r.tranche for r in selection.list_tranches(sheet).collect()] == ["Tranche 2: Large", "Tranche 1: Abandoned"]
+    context = {r.key: r.size_gb for r in report.audit_context(sheet).collect()}
+    assert context == {"p:a": 9.0, "p:b": 7.0}
