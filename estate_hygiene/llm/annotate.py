@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from estate_hygiene.llm.blocks import arrow_schema
 
-DDL = {"long": "bigint", "int": "int", "boolean": "boolean", "double": "double", "string": "string", "array<long>": "array<bigint>"}
+DDL = {"long": "bigint", "int": "int", "boolean": "boolean", "double": "double", "string": "string", "array<long>": "array<bigint>", "binary": "binary"}
 
 
 def annotated(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list]]], added: str) -> DataFrame:

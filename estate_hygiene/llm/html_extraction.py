@@ -22,14 +22,14 @@ import hashlib
 import html as html_entities
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estate_hygiene.llm.annotate import annotated
-from estate_hygiene.llm.blocks import table
+from estate_hygiene.llm.annotate import annotated, texts_of
+from estate_hygiene.llm.blocks import packed, table, unpacked
 from estate_hygiene.llm.workspace import stored
 
 RAW = "script|style|textarea|title|noscript|template|iframe|svg|math"
@@ -189,16 +189,21 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def with_main_text(pages: DataFrame) -> DataFrame:
-    """Rows of ``pages`` (page_id, url, html and any others, which stay) with text and n_chars."""
+    """Rows of ``pages`` (page_id, url, html and any others, which stay) with text and n_chars in place of html.
+
+    Pages meet their host's template in a shuffle, for which each is packed small.
+    """
     pages = pages.withColumn("html", F.col("html").cast("string"))
-    joined = pages.withColumn("_host", host_of(F.col("url"))).join(templates(pages).withColumnRenamed("host", "_host"), "_host", "left")
+    sent = annotated(pages.withColumn("_host", host_of(F.col("url"))), lambda: _packed_pages, "_page binary").drop("html")
+    joined = sent.join(templates(pages).withColumnRenamed("host", "_host"), "_host", "left")
+    return annotated(joined, lambda: _texts, "text string, n_chars long").drop("_host", "_template", "_page")
+
 
-    def make() -> Callable[[pa.RecordBatch], dict[str, list]]:
-        def extract(batch: pa.RecordBatch) -> dict[str, list]:
-            rows = zip(batch.column("html").to_pylist(), batch.column("_template").to_pylist(), strict=True)
-            texts = [Page(source or "").text(set(template or ())) for source, template in rows]
-            return {"text": texts, "n_chars": [len(t) for t in texts]}
+def _packed_pages(batch: pa.RecordBatch) -> dict[str, list]:
+    return {"_page": [packed(source) for source in texts_of(batch, "html")]}
 
-        return extract
 
-    return annotated(joined, make, "text string, n_chars long").drop("_host", "_template")
+def _texts(batch: pa.RecordBatch) -> dict[str, list]:
+    rows = zip(batch.column("_page").to_pylist(), batch.column("_template").to_pylist(), strict=True)
+    texts = [Page(unpacked(page).decode()).text(set(template or ())) for page, template in rows]
+    return {"text": texts, "n_chars": [len(t) for t in texts]}
