@@ -13,6 +13,9 @@ like any others, each by itself.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,7 @@ SHARD_TOKENS = 4_000_000
 #: BM25, and the rarest terms of a seed that make up its query.
 K1, B, QUERY_TERMS, NEIGHBOURS = 1.2, 0.75, 24, 64
 #: Words that a task's tokenizer remembers; others are encoded again.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 TOKEN_SCHEMA = "doc_id long, n_tokens long, ids binary"
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -40,23 +43,60 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer:
-    """Token ids of texts. White space never joins what stands at its sides, so each distinct word is encoded once."""
+    """Token ids of texts. White space never joins what stands at its sides, so each distinct word is encoded once.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    A word of Latin letters with marks behind them is two pre-tokens, the letters in lower case and the marks; both are
+    known from other words as a rule. All other words go through the tokenizer as they are.
+    """
+
+    LETTERS = "a-zß-öø-ÿ"
+    SIMPLE = re.compile(rf"([{LETTERS}]+)([!-&(-/:;=-@\[-`{{-~]*)")
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+        settings = json.loads(self.tokenizer.to_str())
+        steps = (settings["pre_tokenizer"] or {}).get("pretokenizers", [])
+        lower = any(n["type"] == "Lowercase" for n in (settings["normalizer"] or {}).get("normalizers", []))
+        apart = [x["pattern"].get("Regex", "") for x in steps if x["type"] == "Split" and x["invert"]]
+        self.splits = lower and len(apart) == 1 and apart[0].endswith("[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        latin = [chr(c) for c in range(0xC0, 0x100)]
+        self.spelling = {ord(c): spelled.pre_tokenize_str(c)[0][0] for c in latin}
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=np.uint32).tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes], found: dict[bytes, bytes]) -> None:
+        rest: list[bytes] = []
+        parts = self.parts if len(self.parts) < REMEMBERED else dict(self.parts)
+        simple, tokenize, spelling = self.SIMPLE.fullmatch, self.tokenizer.model.tokenize, self.spelling
+        for word in new if self.splits else ():
+            m = simple(word.decode().lower())
+            if m is None:
+                rest.append(word)
+                continue
+            letters, marks = m.groups()
+            ids = parts.get(letters)
+            if ids is None:
+                spelled = letters if letters.isascii() else letters.translate(spelling)
+                ids = parts[letters] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+            if marks:
+                if marks not in parts:
+                    parts[marks] = self._encoded([marks])[0]
+                ids += parts[marks]
+            found[word] = ids
+        rest = rest if self.splits else new
+        for at in range(0, len(rest), 10_000):
+            words = rest[at : at + 10_000]
+            found.update(zip(words, self._encoded([w.decode() for w in words]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
         new = [w for w in set().union(*split) if w not in self.known]
-        found = self.known
-        if len(found) + len(new) > REMEMBERED:
-            found = dict(found)
-        for at in range(0, len(new), 10_000):
-            words = new[at : at + 10_000]
-            for word, encoded in zip(words, self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False), strict=True):
-                found[word] = np.array(encoded.ids, dtype=np.uint32).tobytes()
+        found = self.known if len(self.known) + len(new) <= REMEMBERED else dict(self.known)
+        self._learn(new, found)
         end = np.array([END], dtype=np.uint32).tobytes()
         return [np.frombuffer(b"".join([*map(found.__getitem__, s), end]), dtype=np.uint32) for s in split]
 
