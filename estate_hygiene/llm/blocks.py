@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from estate_hygiene.llm.bytehash import laid_out
 from estate_hygiene.llm.workspace import shuffle_partitions, stored
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 64_000_000
 BLOCK_SCHEMA = "block_id long, n_docs long, n_bytes long, doc_ids binary, known binary, sizes binary, texts binary"
 QUESTION_SCHEMA = "bucket int, block_id long, keys binary"
@@ -151,12 +151,16 @@ def reply(group: list[dict], counts: list[int], bits: np.ndarray) -> pa.RecordBa
     })
 
 
-def repeated(asked: DataFrame) -> DataFrame:
+def raw_keys(payload: bytes) -> np.ndarray:
+    return np.frombuffer(payload, dtype=np.uint64)
+
+
+def repeated(asked: DataFrame, keys_of: Callable[[bytes], np.ndarray] = raw_keys) -> DataFrame:
     """For questions whose payload is sorted distinct 64-bit keys: which of them another block asked about too."""
 
     def answer(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        keys = [np.frombuffer(r["keys"], dtype=np.uint64) for r in rows]
+        keys = [keys_of(r["keys"]) for r in rows]
         every = np.concatenate(keys)
         order = np.argsort(every, kind="stable")
         same = every[order][1:] == every[order][:-1]

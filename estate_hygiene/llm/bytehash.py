@@ -78,6 +78,15 @@ def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8), offsets
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Bytes of equal weight together, which compress better."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() if len(x) else b""
+
+
+def from_planes(data: bytes, kind: type, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(-1, n).T).view(kind).ravel()
+
+
 def covered(size: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Which of ``size`` positions lie in some [start, end)."""
     edge = np.zeros(size + 1, dtype=np.int32)

@@ -4,11 +4,16 @@ Documents are sets of 5-word shingles and link when their Jaccard similarity is
 together first and stand for one another.
 
 Neighbourhoods. Any order of the shingles will do for the prefix rule: two linked sets share one of their first
-n - ceil(0.8 n) + 1 shingles. The order here puts shingles first that a bounded sample of documents has not seen often,
-so passages that many documents share come last; the sample bears on speed alone. A prefix shingle's documents form a
-neighbourhood, named after the least of them, and every linked pair meets in one.
+n - ceil(0.8 n) + 1 shingles. The order here puts shingles first that no other set holds, as the blocks tell each other,
+and then those that a bounded sample of documents has not seen often; the sample bears on speed alone. So passages that
+documents share come last, and a document is met only if at most a fifth of it is its own. A prefix shingle's documents of sizes
+that can link form a neighbourhood, named after the least of them, and every linked pair meets in one.
 
-Matrix. A neighbourhood is dealt out in parts. In a part similar documents form groups, the union of each group's
+Bitmaps. A document's shingles set bits in a bitmap of about four times their number. A bit of one document that
+another lacks is a shingle that it lacks, which bounds their overlap from above; the union of a group's bitmaps bounds
+it for the whole group. Documents that no other of their neighbourhood can link with by that bound go no further.
+
+Matrix. What is left of a neighbourhood is dealt out in parts. In a part similar documents form groups, the union of each group's
 shingles is stored, and a document opens only the groups whose union holds 80 % of its shingles; in these it is compared
 exactly with those it is not joined to yet. Of a neighbourhood with several parts, the documents that its first round
 left unconnected to its leader go on to all its other parts; the others are one component already. So no link is
@@ -29,7 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estate_hygiene.llm import blocks as bl
-from estate_hygiene.llm.bytehash import BYTE_BASE, WORD_BASE, Words, laid_out, mix, prefix, windows
+from estate_hygiene.llm.blocks import arrow_schema
+from estate_hygiene.llm.bytehash import BYTE_BASE, WORD_BASE, Words, from_planes, laid_out, mix, planes, prefix, windows
 from estate_hygiene.llm.components import components
 from estate_hygiene.llm.workspace import shuffle_partitions, stored
 
@@ -40,8 +46,14 @@ PERCENT = 80
 SAMPLE_DOCUMENTS, FREQUENT, FREQUENT_SHINGLES = 20_000, 4, 1_000_000
 #: Documents and shingles in a part of a neighbourhood, and documents in a group of the matrix.
 PART, PART_SHINGLES, GROUP = 512, 1_000_000, 16
-SET_SCHEMA = "doc_id long, n_shingles long, high long, low long, block_id long, row long"
+#: Neighbourhoods of more documents are dealt out in parts without a look at their bitmaps.
+BITMAP_DOCUMENTS = 4_096
+#: Sizes that can link lie in one band or in two that follow each other; a little more than 100 / PERCENT.
+BAND = 1.2501
+SET_SCHEMA = "doc_id long, n_shingles long, high long, low long, block_id long, row long, bitmap binary"
 PREFIX_SCHEMA = "bucket int, block_id long, keys binary"
+#: Bits of a shingle's key beyond those that number all of them, in the question whether another block holds it.
+SPARE_BITS = 12
 MEMBER_SCHEMA = "leader long, doc_id long, n_shingles long"
 TEXT_SCHEMA = "leader long, part int, kind int, doc_id long, text binary"
 EDGE_SCHEMA = "a long, b long"
@@ -79,6 +91,49 @@ class Sets:
         return out[0], out[1]
 
 
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A bit for each shingle, of a power of two that is at least four times as many."""
+    bits = np.zeros(max(64, 1 << (4 * len(hashes) - 1).bit_length()) if len(hashes) else 64, dtype=bool)
+    bits[hashes & np.uint64(len(bits) - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(bits: bytes, width: int) -> np.ndarray:
+    """A bitmap as one of ``width`` bytes, each bit standing for all that agree modulo the width."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, dtype=np.uint8).reshape(-1, width), axis=0)
+
+
+def can_link(bitmaps: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Which documents have another that their bitmaps allow to link with."""
+    out = np.zeros(len(sizes), dtype=bool)
+    order = np.argsort(sizes, kind="stable")
+    for width in sorted({len(b) for b in bitmaps}):
+        # Documents of this width, and those of the next that are near enough in size; all at this width.
+        own = [i for i in order if len(bitmaps[i]) in (width, 2 * width)]
+        if len(own) < 2 or all(len(bitmaps[i]) != width for i in own):
+            continue
+        rows, n = np.stack([_folded(bitmaps[i], width) for i in own]), sizes[own]
+        least = (PERCENT * n + 99) // 100
+        starts = np.arange(0, len(own), GROUP)
+        unions = np.bitwise_or.reduceat(rows, starts, axis=0)
+        for k in range(len(own)):
+            if n[k] == 0 or len(bitmaps[own[k]]) != width and out[own[k]]:
+                continue
+            groups = np.flatnonzero(n[k] - np.bitwise_count(rows[k] & ~unions).sum(axis=1, dtype=np.int64) >= least[k])
+            at = (starts[groups][:, None] + np.arange(GROUP)).ravel()
+            at = at[(at < len(own)) & (at != k)]
+            at = at[(100 * np.minimum(n[at], n[k]) >= PERCENT * np.maximum(n[at], n[k]))]
+            met = np.minimum(
+                n[k] - np.bitwise_count(rows[k] & ~rows[at]).sum(axis=1, dtype=np.int64),
+                n[at] - np.bitwise_count(rows[at] & ~rows[k]).sum(axis=1, dtype=np.int64),
+            )
+            near = at[100 * met >= PERCENT * (n[k] + n[at] - met)]
+            if len(near):
+                out[own[k]] = True
+                out[np.array(own)[near]] = True
+    return out
+
+
 def _sets(all_blocks: DataFrame) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in bl.opened(batches):
@@ -88,6 +143,7 @@ def _sets(all_blocks: DataFrame) -> DataFrame:
                 "doc_id": [int(d) if k else None for d, k in zip(block.doc_ids, block.known, strict=True)],
                 "n_shingles": sets.size.tolist(), "high": high.tolist(), "low": low.tolist(),
                 "block_id": [block.block_id] * len(block.doc_ids), "row": list(range(len(block.doc_ids))),
+                "bitmap": [bitmap(sets.of(i)) for i in range(len(block.doc_ids))],
             })
 
     return all_blocks.mapInArrow(measure, SET_SCHEMA)
@@ -123,30 +179,65 @@ def _frequent(all_blocks: DataFrame, n_documents: int) -> tuple[np.ndarray, np.n
     return keys[order], counts[order]
 
 
-def _prefixes(sets: Sets, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles that a linked set must share one of, and their documents."""
-    rank = np.zeros(len(sets.hashes), dtype=np.uint64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, sets.hashes), len(frequent) - 1)
-        rank = np.where(frequent[at] == sets.hashes, counts[at], 0).astype(np.uint64)
-    order = np.lexsort((sets.hashes, rank, sets.doc))
-    place = np.arange(len(order)) - np.repeat(sets.first[:-1], sets.size)
-    length = sets.size - (PERCENT * sets.size + 99) // 100 + 1
-    chosen = order[place < np.repeat(length, sets.size)]
-    return sets.hashes[chosen], sets.doc[chosen]
+class Representatives:
+    """The sets of a block that stand for their classes, and their shingles' keys, cut short."""
+
+    def __init__(self, block: bl.Block, rows: list[int], shift: int):
+        self.doc_ids, self.shift = block.doc_ids[rows], np.uint64(shift)
+        self.sets = Sets(*laid_out([block.texts[i] for i in rows]))
+        self.keys, self.key_of, counts = np.unique(self.sets.hashes >> self.shift, return_inverse=True, return_counts=True)
+        self.twice = counts > 1
+
+    def spread(self) -> np.ndarray:
+        """The keys over the whole range of 64 bits, in the same order."""
+        return self.keys << self.shift
+
+    def payload(self, a: int, b: int) -> bytes:
+        steps = np.diff(self.keys[a:b], prepend=self.keys.dtype.type(0))
+        return bl.packed(planes(steps))
+
+    def prefixes(self, elsewhere: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shingles that a linked set must share one of, and their documents, without those that no other set holds."""
+        sets, shared = self.sets, (elsewhere | self.twice)[self.key_of]
+        rank = shared.astype(np.uint64)
+        if len(frequent):
+            at = np.minimum(np.searchsorted(frequent, sets.hashes), len(frequent) - 1)
+            rank += np.where(shared & (frequent[at] == sets.hashes), counts[at], 0).astype(np.uint64)
+        order = np.lexsort((sets.hashes, rank, sets.doc))
+        place = np.arange(len(order)) - np.repeat(sets.first[:-1], sets.size)
+        length = sets.size - (PERCENT * sets.size + 99) // 100 + 1
+        chosen = order[place < np.repeat(length, sets.size)]
+        chosen = chosen[shared[chosen]]
+        return sets.hashes[chosen], sets.doc[chosen]
+
+
+def _keys_of(payload: bytes) -> np.ndarray:
+    data = bl.unpacked(payload)
+    return np.cumsum(from_planes(data, np.uint64, len(data) // 8), dtype=np.uint64)
 
 
 def _neighbourhoods(group: pa.Table) -> pa.Table:
-    """Documents that share a prefix shingle, under the least of them."""
+    """Documents that share a prefix shingle, and have sizes that can link, under the least of them.
+
+    A neighbourhood takes in two bands of size that follow each other, so every such pair is in one; where the lower
+    band has no document the pair of bands above holds all of it."""
     keys, doc, size = np.concatenate([np.frombuffer(bl.unpacked(k), dtype=np.int64).reshape(3, -1) for k in group.column("keys").to_pylist()], axis=1)
-    order = np.lexsort((doc, keys))
-    keys, doc, size = keys[order], doc[order], size[order]
-    new = np.concatenate(([True], keys[1:] != keys[:-1]))
-    first = np.flatnonzero(new)
-    at, many = np.cumsum(new) - 1, np.diff(np.concatenate((first, [len(keys)])))
-    some = many[at] > 1
-    pairs = np.unique(np.stack((doc[first][at][some], doc[some], size[some])), axis=1)
-    return pa.Table.from_arrays([pa.array(x) for x in pairs], schema=bl.arrow_schema(MEMBER_SCHEMA))
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate(([True], keys[order][1:] != keys[order][:-1]))
+    many = np.diff(np.concatenate((np.flatnonzero(new), [len(keys)])))
+    some = order[(many > 1)[np.cumsum(new) - 1]]
+    keys, doc, size = keys[some], doc[some], size[some]
+    band = np.floor(np.log(np.maximum(size, 1)) / np.log(BAND)).astype(np.int64)
+    keys, doc, size, lower, pair = (np.concatenate(x) for x in ((keys, keys), (doc, doc), (size, size), (np.ones(len(band), bool), np.zeros(len(band), bool)), (band, band - 1)))
+    order = np.lexsort((doc, pair, keys))
+    keys, doc, size, lower, pair = keys[order], doc[order], size[order], lower[order], pair[order]
+    if not len(keys):
+        return arrow_schema(MEMBER_SCHEMA).empty_table()
+    first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (pair[1:] != pair[:-1]))))
+    held = np.diff(np.concatenate((first, [len(keys)])))
+    wanted = np.repeat((held > 1) & np.logical_or.reduceat(lower, first), held)
+    pairs = np.unique(np.stack((np.repeat(doc[first], held)[wanted], doc[wanted], size[wanted])), axis=1)
+    return pa.Table.from_arrays([pa.array(x) for x in pairs], schema=arrow_schema(MEMBER_SCHEMA))
 
 
 class Joined:
@@ -207,12 +298,12 @@ def matrix_join(sets: Sets, n_queries: int, joined: Joined) -> None:
                     joined.join(i, int(j))
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+def _parts(batches: Iterator[pa.RecordBatch], key: tuple[str, ...] = ("leader", "part")) -> Iterator[list[dict]]:
     """Consecutive rows of one part."""
     held: list[dict] = []
     for batch in batches:
         for row in batch.to_pylist():
-            if held and (row["leader"], row["part"]) != (held[0]["leader"], held[0]["part"]):
+            if held and any(row[k] != held[0][k] for k in key):
                 yield held
                 held = []
             held.append(row)
@@ -250,41 +341,48 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     all_blocks = bl.blocks(docs)
     sets = stored(_sets(all_blocks), "sets")
     digest = ["n_shingles", "high", "low"]
-    classes = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy(digest).agg(F.min("doc_id").alias("class_id"))
-    n_documents = sets.count()
+    with_set = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    classes = stored(
+        with_set.groupBy(digest).agg(F.min(F.struct("doc_id", "block_id", "row")).alias("least"))
+        .select(*digest, F.col("least.doc_id").alias("class_id"), "least.block_id", "least.row"),
+        "classes",
+    )
+    held = classes.groupBy("block_id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    held = held.select("block_id", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("answer"), "rows")
+    n_documents, n_shingles = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     frequent, counts = _frequent(all_blocks, n_documents)
     sent = all_blocks.sparkSession.sparkContext.broadcast((frequent, counts))
     buckets = bl.n_buckets(all_blocks, 0.6)
-    # One document of each class goes on: the first row of its least doc_id.
-    each = classes.select(F.col("class_id").alias("doc_id")).distinct()
-
-    def ask_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in bl.opened(batches):
-            block_sets = Sets(block.data, block.offsets)
-            high, low = block_sets.digests()
-            # Of equal sets within the block only the least document asks; equal ones of other blocks meet it in a bucket.
-            order = np.lexsort((block.doc_ids, low, high))
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
-            asks = np.zeros(len(order), dtype=bool)
-            asks[order[new]] = True
-            asks &= block.known
-            keys, doc = _prefixes(block_sets, *sent.value)
-            own = asks[doc]
-            keys, doc = keys[own], doc[own]
-            by = np.argsort(keys, kind="stable")
-            keys, doc = keys[by], doc[by]
-            columns = np.stack((keys.view(np.int64), block.doc_ids[doc], block_sets.size[doc]))
-            yield bl.questions(block, keys, buckets, lambda a, b, c=columns: bl.packed(c[:, a:b].tobytes()))
-
-    asked = all_blocks.mapInArrow(ask_prefixes, PREFIX_SCHEMA)
-    met = asked.groupBy("bucket").applyInArrow(_neighbourhoods, MEMBER_SCHEMA).distinct()
-    # A class that another document stands for is in its neighbourhoods through that one.
-    members = stored(met.join(each, "doc_id", "left_semi"), "members")
+    shift = max(0, 64 - SPARE_BITS - int(n_shingles).bit_length())
+
+    def representatives(block: bl.Block, rows: list[dict]) -> Representatives | None:
+        own = next((r["rows"] for r in rows if r["bucket"] < 0), None)
+        return Representatives(block, own, shift) if own else None
+
+    def ask_shared(block: bl.Block, rows: list[dict]) -> list[pa.RecordBatch]:
+        own = representatives(block, rows)
+        return [bl.questions(block, own.spread(), buckets, own.payload)] if own else []
+
+    def ask_prefixes(block: bl.Block, rows: list[dict]) -> list[pa.RecordBatch]:
+        own = representatives(block, rows)
+        if own is None:
+            return []
+        elsewhere = bl.answers_of([r for r in rows if r["bucket"] >= 0], own.spread(), buckets)
+        keys, doc = own.prefixes(elsewhere, *sent.value)
+        by = np.argsort(keys, kind="stable")
+        columns = np.stack((keys[by].view(np.int64), own.doc_ids[doc[by]], own.sets.size[doc[by]]))
+        return [bl.questions(block, keys[by], buckets, lambda a, b: bl.packed(columns[:, a:b].tobytes()))]
+
+    asked = bl.with_answers(all_blocks, held, ask_shared, bl.QUESTION_SCHEMA)
+    shared = bl.repeated(asked, _keys_of).withColumn("rows", F.lit(None).cast("array<bigint>"))
+    told = stored(shared.unionByName(held), "shared")
+    prefixes = bl.with_answers(all_blocks, told, ask_prefixes, PREFIX_SCHEMA)
+    members = stored(prefixes.groupBy("bucket").applyInArrow(_neighbourhoods, MEMBER_SCHEMA).distinct(), "members")
     return _finish(all_blocks, sets, classes, members, digest)
 
 
 def _finish(all_blocks: DataFrame, sets: DataFrame, classes: DataFrame, members: DataFrame, digest: list[str]) -> DataFrame:
+    members = stored(_can_link(members, sets), "candidates")
     size = members.groupBy("leader").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
     parts = F.greatest(F.ceil(F.col("n") / PART), F.ceil(F.col("shingles") / PART_SHINGLES)).cast("int")
     dealt = (
@@ -300,7 +398,7 @@ def _finish(all_blocks: DataFrame, sets: DataFrame, classes: DataFrame, members:
     if several.limit(1).count():
         found = first.unionByName(_across_parts(all_blocks, sets, several, first))
     parts = components(found)
-    own = classes.join(parts, F.col("class_id") == F.col("node"), "left").select(*digest, F.coalesce("component", "class_id").alias("component_id"))
+    own = classes.drop("block_id", "row").join(parts, F.col("class_id") == F.col("node"), "left").select(*digest, F.coalesce("component", "class_id").alias("component_id"))
     return (
         sets.join(own, digest, "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
@@ -308,6 +406,27 @@ def _finish(all_blocks: DataFrame, sets: DataFrame, classes: DataFrame, members:
     )
 
 
+def _can_link(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members that the bitmaps of their neighbourhood allow a link."""
+    held = members.groupBy("leader").agg(F.count("*").alias("held"))
+    counted = members.join(held, "leader")
+    looked = counted.where(F.col("held").between(2, BITMAP_DOCUMENTS)).join(sets.select("doc_id", "bitmap"), "doc_id")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for rows in _parts(batches, ("leader",)):
+            near = can_link([r["bitmap"] for r in rows], np.array([r["n_shingles"] for r in rows], dtype=np.int64))
+            out += [(r["leader"], r["doc_id"], r["n_shingles"]) for r, keep in zip(rows, near, strict=True) if keep]
+            if len(out) > 10_000:
+                yield bl.table(MEMBER_SCHEMA, {n: [row[i] for row in out] for i, n in enumerate(("leader", "doc_id", "n_shingles"))})
+                out = []
+        yield bl.table(MEMBER_SCHEMA, {n: [row[i] for row in out] for i, n in enumerate(("leader", "doc_id", "n_shingles"))})
+
+    dealt = looked.select("leader", "doc_id", "n_shingles", "bitmap").repartition("leader").sortWithinPartitions("leader")
+    passed = counted.where(F.col("held") > BITMAP_DOCUMENTS).select("leader", "doc_id", "n_shingles")
+    return dealt.mapInArrow(look, MEMBER_SCHEMA).unionByName(passed).distinct()
+
+
 def _across_parts(all_blocks: DataFrame, sets: DataFrame, several: DataFrame, first: DataFrame) -> DataFrame:
     """Edges between parts of a neighbourhood. The component that holds most of a neighbourhood needs no comparing
     within itself; every document outside it asks all parts but its own, in lots of a part's size."""

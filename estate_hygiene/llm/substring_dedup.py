@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from estate_hygiene.llm import blocks as bl
-from estate_hygiene.llm.bytehash import SECOND_BASE, WORD_BASE, Words, covered, prefix, windows
+from estate_hygiene.llm.bytehash import SECOND_BASE, WORD_BASE, Words, covered, from_planes, planes, prefix, windows
 from estate_hygiene.llm.workspace import stored
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -74,7 +74,7 @@ class SharedWindows:
 
     def payload(self, low: int, high: int) -> bytes:
         parts = (self.high, self.low, self.doc, self.place.astype(np.int32))
-        return bl.packed(b"".join(_planes(x[low:high]) for x in parts))
+        return bl.packed(b"".join(planes(x[low:high]) for x in parts))
 
     def repeats(self, elsewhere: np.ndarray) -> np.ndarray:
         """Starts of windows that are not the first of their words."""
@@ -83,22 +83,12 @@ class SharedWindows:
         return self.start[later]
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of equal weight together, which compress better."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() if len(x) else b""
-
-
-def _from_planes(data: bytes, kind: type, n: int) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(-1, n)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
 def _unpack(payload: bytes) -> tuple[np.ndarray, ...]:
     data = bl.unpacked(payload)
     n = len(data) // 24
     cuts = (0, 8 * n, 12 * n, 20 * n, 24 * n)
     kinds = (np.uint64, np.uint32, np.int64, np.int32)
-    return tuple(_from_planes(data[a:b], kind, n) for a, b, kind in zip(cuts, cuts[1:], kinds, strict=False))
+    return tuple(from_planes(data[a:b], kind, n) for a, b, kind in zip(cuts, cuts[1:], kinds, strict=False))
 
 
 def _earlier_elsewhere(group: pa.Table) -> pa.Table:

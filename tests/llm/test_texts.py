@@ -186,3 +186,20 @@ def test_components(spark):
     roots = component(341, links)
     assert found == {i: roots[i] for a, b in links if a != b for i in (a, b)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(9)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 2**63, int(rng.integers(1, 300))).astype(np.uint64)
+        for _ in range(int(rng.integers(1, 4))):
+            own = base[rng.random(len(base)) > 0.08]
+            sets.append(np.unique(np.concatenate((own, rng.integers(0, 2**63, len(base) // 20).astype(np.uint64)))))
+    found = jaccard_join.can_link([jaccard_join.bitmap(x) for x in sets], np.array([len(x) for x in sets]))
+    for i, a in enumerate(sets):
+        for b in sets[:i]:
+            met = len(np.intersect1d(a, b))
+            if len(a) and len(b) and 100 * met >= 80 * (len(a) + len(b) - met):
+                assert found[i]
+    assert not found.all()
