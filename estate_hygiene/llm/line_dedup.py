@@ -16,6 +16,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estate_hygiene.llm.workspace import stored
+
 MIN_POINTS = 10
 MIN_DOCUMENTS = 2
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -35,11 +37,15 @@ def drop_shared_lines(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFram
     ).where(F.col("doc_id").isNotNull())
     lines = own.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
     keyed = lines.select("doc_id", "text_hash", "place", line_key(F.col("line")).alias("key"))
-    judged = keyed.where(F.char_length("key") >= min_points).select(
-        "doc_id", "text_hash", "place", F.unhex(F.md5("key")).alias("digest")
+    judged = stored(
+        keyed.where(F.char_length("key") >= min_points).select(
+            "doc_id", "text_hash", "place", F.unhex(F.md5("key")).alias("digest")
+        ),
+        "lines",
     )
     held = judged.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-    shared = held.where(F.col("first_doc") < F.col("last_doc")).select("digest", "first_doc")
+    # Stored, the shared lines come to the join by a shuffle of their own, which lets Spark split a common line's rows.
+    shared = stored(held.where(F.col("first_doc") < F.col("last_doc")).select("digest", "first_doc"), "shared")
     dropped = (
         judged.join(shared, "digest")
         .where(F.col("doc_id") != F.col("first_doc"))
