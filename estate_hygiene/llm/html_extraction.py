@@ -195,7 +195,9 @@ def with_main_text(pages: DataFrame) -> DataFrame:
     """
     pages = pages.withColumn("html", F.col("html").cast("string"))
     sent = annotated(pages.withColumn("_host", host_of(F.col("url"))), lambda: _packed_pages, "_page binary").drop("html")
-    joined = sent.join(templates(pages).withColumnRenamed("host", "_host"), "_host", "left")
+    # Stored, the templates come to the join by a shuffle of their own, which lets Spark split a large host's pages.
+    known = stored(templates(pages), "templates").withColumnRenamed("host", "_host")
+    joined = sent.join(known, "_host", "left")
     return annotated(joined, lambda: _texts, "text string, n_chars long").drop("_host", "_template", "_page")
 
 
