@@ -37,7 +37,7 @@ LEAD = LENGTH - REACH + 1
 #: The sample of splitters: so many suffixes of a block, and blocks at least, and so many suffixes for each range.
 SAMPLE_SUFFIXES, SAMPLE_BLOCKS, SAMPLE_OF_RANGE = 512, 32, 32
 #: A block's arrays take about 80 bytes for each of its own.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
 
 
