@@ -1,14 +1,20 @@
 """HTML extraction by template deduction over equivalence classes.
 
-A page is a run of tokens: tags with the path of elements around them, and the text blocks outside the article. The
-occurrence vector of a token says how often each page of a host has it; it is folded to a sum of page hashes weighted by
-the count, which adds up over tasks, so a host with a third of all pages is a few rows for each task. Tokens of a host
-with the same vector are one equivalence class. A class is valid if it has at least two tokens, which hold on two pages
-and on half of the host's at least; valid classes nest by the depth of their tokens and are the host's template.
+A page is a run of tokens: tags with the path of elements around them, and the text blocks. The occurrence vector of a
+token says how often each page of a host has it; it is folded to a sum of page hashes weighted by the count, which adds
+up over tasks, so a host with a third of all pages is a few rows for each task and block of text that its pages repeat.
+Tokens of a host with the same vector are one equivalence class. A class is valid if it has at least two tokens, which hold on two pages
+and on half of the host's at least; the valid classes are the host's template. Their tags make a class valid and thereby
+the text blocks that come and go with them.
+
+Copies of one article are no template. An article is known by its first heading, or by its whole text if it has none, and
+a text block inside one is template only if two different articles at least have it. Where more than three quarters of
+an article's blocks would go, the pages are taken for versions of one article, and all its blocks stay.
 
 A page's slots lie between the template's tags. Text that is itself template is no slot's. Slots inside navigation,
 headers, footers, sidebars, forms, scripts, adverts, notices and comments, by element or by the words of class, id and
-role, are left out. Of the rest the article's are taken where a page has an article or main element, otherwise all.
+role, are left out. Of the rest those in the article are taken where a page has an article or main element with text, otherwise
+all.
 
 Text. Character references are decoded, white space in a block is one space, blocks are joined by a line feed.
 
@@ -54,7 +60,8 @@ LEFT_OUT_WORDS = frozenset(
     "pager toolbar widget complementary contentinfo alert".split()
 )
 ARTICLE = frozenset(("article", "main"))
-OCCURRENCE_SCHEMA = "host string, token long, depth long, pages long, vector long"
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+OCCURRENCE_SCHEMA = "host string, token long, depth long, pages long, vector long, least long, most long"
 #: Of the 64 bits of a page's hash; sums of so many bits stay exact over 2**23 pages of a host.
 VECTOR_BITS = 40
 
@@ -75,8 +82,10 @@ class Page:
         self.stack: list[tuple[str, bool]] = []
         self.left_out = self.article = 0
         self.tokens: list[tuple[int, int]] = []
-        self.blocks: list[tuple[str, bool, int | None]] = []
-        self.has_article = False
+        self.own: set[int] = set()  # tokens of text inside the article
+        self.blocks: list[tuple[str, bool, int]] = []
+        self._heading = False
+        self._title: str | None = None
         self._text: list[str] = []
         for m in TOKEN.finditer(source):
             whole = m.group(0)
@@ -95,10 +104,12 @@ class Page:
         self._text = []
         if not text:
             return
-        token = None
-        if not self.article:
-            token = _hash("text", self.path(), text)
-            self.tokens.append((token, len(self.stack)))
+        if self.article and self._heading and self._title is None:
+            self._title = text
+        token = _hash("own" if self.article else "text", self.path(), text)
+        self.tokens.append((token, len(self.stack)))
+        if self.article:
+            self.own.add(token)
         if not self.left_out:
             self.blocks.append((text, self.article > 0, token))
 
@@ -112,6 +123,7 @@ class Page:
         if name not in BLOCK and name not in NESTED:
             return
         self._flush()
+        self._heading = name in HEADINGS and not end
         if name in NESTED:
             self.tokens.append((_hash("end" if end else "start", self.path(), name), len(self.stack)))
             if end:
@@ -133,8 +145,6 @@ class Page:
         out = out and name not in ("html", "body")
         self.stack.append((name, out))
         self.left_out += out
-        if name in ARTICLE or "main" in words and "role" in attributes:
-            self.has_article |= not self.left_out
         self.article += name in ARTICLE
 
     def _close(self, name: str) -> None:
@@ -147,45 +157,61 @@ class Page:
             if gone == name:
                 return
 
+    def named(self) -> int:
+        """What tells the page's article from others."""
+        return _hash("title", self._title) if self._title is not None else _hash("texts", *[text for text, inside, _ in self.blocks if inside])
+
     def text(self, template: frozenset[int] | set[int]) -> str:
         """The blocks of the remaining slots."""
-        if self.has_article and any(inside for _, inside, _ in self.blocks):
-            return "\n".join(text for text, inside, _ in self.blocks if inside)
-        return "\n".join(text for text, _, token in self.blocks if token not in template)
+        inside = [(text, token) for text, inside, token in self.blocks if inside]
+        kept = [text for text, token in inside if token not in template]
+        if 4 * len(kept) < len(inside):
+            kept = [text for text, _ in inside]
+        if not inside:
+            kept = [text for text, _, token in self.blocks if token not in template]
+        return "\n".join(kept)
 
 
 def _occurrences(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages that have it, and its occurrence vector as a sum; partial sums of each batch."""
+    """Per host and token: pages that have it, its occurrence vector as a sum, and for text of articles the least and the
+    greatest name of one that has it; partial sums of each batch."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total: dict[tuple[str, int, int], list[int]] = {}
+            total: dict[tuple[str, int, int], list] = {}
             for host, source, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for (token, depth), n in Counter(Page(source or "").tokens).items():
-                    own = total.setdefault((host, token, depth), [0, 0])
+                walked = Page(source or "")
+                article = walked.named()
+                for (token, depth), n in Counter(walked.tokens).items():
+                    own = total.setdefault((host, token, depth), [0, 0, None, None])
                     own[0] += 1
                     own[1] += _hash(str(page), str(n)) & ((1 << VECTOR_BITS) - 1)
-                total.setdefault((host, 0, -1), [0, 0])[0] += 1
+                    if token in walked.own:
+                        own[2] = article if own[2] is None else min(own[2], article)
+                        own[3] = article if own[3] is None else max(own[3], article)
+                total.setdefault((host, 0, -1), [0, 0, None, None])[0] += 1
             keys, values = list(total), list(total.values())
             yield table(OCCURRENCE_SCHEMA, {
                 "host": [k[0] for k in keys], "token": [k[1] for k in keys], "depth": [k[2] for k in keys],
-                "pages": [v[0] for v in values], "vector": [v[1] for v in values],
+                "pages": [v[0] for v in values], "vector": [v[1] for v in values], "least": [v[2] for v in values], "most": [v[3] for v in values],
             })
 
     page = F.xxhash64("page_id", "url", "html")
     rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string"), page.alias("page")).mapInArrow(count, OCCURRENCE_SCHEMA)
-    return rows.groupBy("host", "token", "depth").agg(F.sum("pages").alias("pages"), F.sum("vector").alias("vector"))
+    return rows.groupBy("host", "token", "depth").agg(
+        F.sum("pages").alias("pages"), F.sum("vector").alias("vector"), F.min("least").alias("least"), F.max("most").alias("most")
+    )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host the tokens of its valid classes, outer ones first: host, template."""
-    found = stored(_occurrences(pages), "occurrences")
+    """Per host the tokens of its valid classes: host, template."""
+    counted = _occurrences(pages)
+    several = (F.col("pages") >= 2) & (F.col("least").isNull() | (F.col("least") != F.col("most")))
+    found = stored(counted.where((F.col("depth") == -1) | several).drop("least", "most"), "occurrences")
     hosts = found.where(F.col("depth") == -1).select("host", F.col("pages").alias("of"))
-    tokens = found.where((F.col("depth") >= 0) & (F.col("pages") >= 2)).join(hosts, "host").where(2 * F.col("pages") >= F.col("of"))
-    classes = tokens.groupBy("host", "pages", "vector").agg(F.collect_list("token").alias("tokens"), F.min("depth").alias("depth"))
-    valid = classes.where(F.size("tokens") >= 2)
-    nested = F.sort_array(F.collect_list(F.struct("depth", "pages", "tokens")))
-    return valid.groupBy("host").agg(nested.alias("nested")).select("host", F.flatten(F.transform("nested", lambda c: c["tokens"])).alias("_template"))
+    tokens = found.where(F.col("depth") >= 0).join(hosts, "host").where(2 * F.col("pages") >= F.col("of"))
+    valid = tokens.groupBy("host", "pages", "vector").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") >= 2)
+    return valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("_template"))
 
 
 def with_main_text(pages: DataFrame) -> DataFrame:

@@ -260,6 +260,18 @@ def test_pages(spark):
     assert html_extraction.with_main_text(pages(spark, [])).collect() == []
 
 
+def test_template_text_inside_articles(spark):
+    own = "<html><body><main><p>Tell your friends</p><h1>Story {0}</h1><p>Text {0}</p><div><p>Read our letter</p></div></main></body></html>"
+    copy = "<html><body><article><h1>One story</h1><p>Always this</p><p>Copy {0}</p></article></body></html>"
+    version = "<html><body><article><h1>Edited {0}</h1><p>a</p><p>b</p><p>c</p><p>d</p></article></body></html>"
+    hosts = {0: own, 10: copy, 20: version}
+    rows = [(k + i, f"https://h{k}.example/{i}", html.format(i)) for k, html in hosts.items() for i in range(4)]
+    got = {r.page_id: r.text for r in html_extraction.with_main_text(pages(spark, rows)).collect()}
+    assert [got[i] for i in range(4)] == [f"Story {i}\nText {i}" for i in range(4)]
+    assert [got[10 + i] for i in range(4)] == [f"One story\nAlways this\nCopy {i}" for i in range(4)]
+    assert [got[20 + i] for i in range(4)] == [f"Edited {i}\na\nb\nc\nd" for i in range(4)]
+
+
 # Pipeline
 
 
