@@ -12,8 +12,12 @@ a text block inside one is template only if two different articles at least have
 an article's blocks would go, the pages are taken for versions of one article, and all its blocks stay.
 
 A page's slots lie between the template's tags. Text that is itself template is no slot's. Slots inside navigation,
-headers, footers, sidebars, forms, scripts, adverts, notices and comments, by element or by the words of class, id and
-role, are left out. Of the rest those in the article are taken where a page has an article or main element with text, otherwise
+headers, footers, asides, forms and scripts, by element, are left out. An element is marked as an advert, notice, sidebar
+or comments by a name in its class, id or role whose last word says so, words of layout aside: ``ad-slot`` and
+``reader-comments`` do, ``related-work`` and ``has-sidebar`` do not. Its slots are left out if the host's template has
+the marked tag; on a host that does not have it on half of its pages, or has one page, they stay. A marked element that is
+or holds an article or main element never goes for its name, unless that lies in another article or among the comments
+below one; nor do any on a page that would keep nothing else. Of the rest those in the article are taken where a page has an article or main element with text, otherwise
 all.
 
 Text. Character references are decoded, white space in a block is one space, blocks are joined by a line feed.
@@ -53,12 +57,19 @@ BLOCK = frozenset(
 NESTED = BLOCK - frozenset("p h1 h2 h3 h4 h5 h6 hr".split()) | frozenset("head button select".split())
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "tr": ("tr", ("table",)), "td": ("td", ("tr",)), "th": ("th", ("tr",)), "dt": ("dd", ("dl",)), "dd": ("dt", ("dl",))}
 LEFT_OUT = frozenset("head nav footer aside form button select menu dialog".split())
-LEFT_OUT_WORDS = frozenset(
+MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side nav navbar navigation menu "
     "breadcrumb breadcrumbs footer cookie cookies consent notice notices gdpr newsletter subscribe subscription popup modal overlay "
     "share sharing social related recommended comment comments commentlist respond replies disqus login signup search pagination "
     "pager toolbar widget complementary contentinfo alert".split()
 )
+#: Last words of a name that only say how it is laid out, and first ones that say what a page has or lacks.
+LAYOUT = frozenset(
+    "area container wrapper wrap inner outer box block section list links link buttons button bar slot unit left right top bottom "
+    "panel group row column col items item posts articles stories form thread text message".split()
+)
+STATES = frozenset("no not has have with without is show hide hidden".split())
+COMMENTS = frozenset("comment comments commentlist respond replies disqus".split())
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OCCURRENCE_SCHEMA = "host string, token long, depth long, pages long, vector long, least long, most long"
@@ -75,15 +86,32 @@ def _hash(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _marks(attributes: str) -> set[str]:
+    """The listed words that name the element."""
+    found = set()
+    for groups in ROLE.findall(attributes):
+        for name in "".join(groups[1:]).lower().split():
+            words = [w for w in re.split(r"[^a-z]+", name) if w]
+            while words and words[-1] in LAYOUT:
+                words.pop()
+            if words and words[0] not in STATES and words[-1] in MARKS:
+                found.add(words[-1])
+    return found
+
+
 class Page:
     """A walk over a page: its tokens, and its blocks of text with where they stand."""
 
     def __init__(self, source: str):
-        self.stack: list[tuple[str, bool]] = []
+        self.stack: list[tuple[str, bool, int | None]] = []  # name, left out, marked element
+        self.marked: list[int] = []  # the token of each marked element
+        self.kept: set[int] = set()  # marked elements that hold the article
+        self.comments: set[int] = set()  # those of comments below an article
         self.left_out = self.article = 0
         self.tokens: list[tuple[int, int]] = []
         self.own: set[int] = set()  # tokens of text inside the article
-        self.blocks: list[tuple[str, bool, int]] = []
+        self.blocks: list[tuple[str, bool, int, tuple[int, ...]]] = []
+        self._below = False
         self._heading = False
         self._title: str | None = None
         self._text: list[str] = []
@@ -104,17 +132,19 @@ class Page:
         self._text = []
         if not text:
             return
-        if self.article and self._heading and self._title is None:
-            self._title = text
-        token = _hash("own" if self.article else "text", self.path(), text)
+        within = tuple(k for _, _, k in self.stack if k is not None)
+        own = self.article > 0 and self.kept.issuperset(within)
+        token = _hash("own" if own else "text", self.path(), text)
         self.tokens.append((token, len(self.stack)))
-        if self.article:
+        if own:
             self.own.add(token)
+            if self._heading and not self.left_out and self._title is None:
+                self._title = text
         if not self.left_out:
-            self.blocks.append((text, self.article > 0, token))
+            self.blocks.append((text, self.article > 0, token, within))
 
     def path(self) -> str:
-        return "/".join(name for name, _ in self.stack)
+        return "/".join(name for name, _, _ in self.stack)
 
     def _tag(self, name: str, end: bool, attributes: str) -> None:
         if name == "br":
@@ -134,24 +164,43 @@ class Page:
     def _open(self, name: str, attributes: str) -> None:
         if name in CLOSES:
             other, within = CLOSES[name]
-            for open_name, _ in reversed(self.stack):
+            for open_name, _, _ in reversed(self.stack):
                 if open_name in within:
                     break
                 if open_name in (name, other):
                     self._close(open_name)
                     break
-        words = {w for groups in ROLE.findall(attributes) for w in re.split(r"[^a-z]+", "".join(groups[1:]).lower())}
-        out = name in LEFT_OUT or not words.isdisjoint(LEFT_OUT_WORDS) or (name == "header" and not self.article)
-        out = out and name not in ("html", "body")
-        self.stack.append((name, out))
+        out = name in LEFT_OUT or (name == "header" and not self.article)
+        marks = _marks(attributes) if name not in ("html", "body") else ()
+        mark = None
+        if marks:
+            mark = len(self.marked)
+            named = (self.path(), name, *sorted(marks))
+            # A tag of its own at both ends, so that marked elements are a class by themselves.
+            self.marked.append(_hash("marked", *named))
+            self.tokens += [(self.marked[-1], len(self.stack)), (_hash("marked end", *named), len(self.stack))]
+            if self._below and name not in ARTICLE and not COMMENTS.isdisjoint(marks):
+                self.comments.add(mark)
+        self.stack.append((name, out, mark))
         self.left_out += out
+        if name in ARTICLE:
+            self._keep(name)
         self.article += name in ARTICLE
 
+    def _keep(self, name: str) -> None:
+        """Keeps the marked elements that hold the article just opened, up to one that it lies in."""
+        for k, (around, _, mark) in enumerate(reversed(self.stack)):
+            if k and around == "article":
+                break
+            if mark is not None and mark not in self.comments:
+                self.kept.add(mark)
+        self._below |= name == "article"
+
     def _close(self, name: str) -> None:
-        if not any(open_name == name for open_name, _ in self.stack):
+        if not any(open_name == name for open_name, _, _ in self.stack):
             return
         while True:
-            gone, out = self.stack.pop()
+            gone, out, _ = self.stack.pop()
             self.left_out -= out
             self.article -= gone in ARTICLE
             if gone == name:
@@ -159,17 +208,20 @@ class Page:
 
     def named(self) -> int:
         """What tells the page's article from others."""
-        return _hash("title", self._title) if self._title is not None else _hash("texts", *[text for text, inside, _ in self.blocks if inside])
+        return _hash("title", self._title) if self._title is not None else _hash("texts", *[text for text, inside, *_ in self.blocks if inside])
 
     def text(self, template: frozenset[int] | set[int]) -> str:
         """The blocks of the remaining slots."""
-        inside = [(text, token) for text, inside, token in self.blocks if inside]
+        gone = {k for k, token in enumerate(self.marked) if token in template and k not in self.kept}
+        return "\n".join(self._slots([b for b in self.blocks if gone.isdisjoint(b[3])], template) or self._slots(self.blocks, template))
+
+    @staticmethod
+    def _slots(blocks: list[tuple[str, bool, int, tuple[int, ...]]], template: frozenset[int] | set[int]) -> list[str]:
+        inside = [(text, token) for text, inside, token, _ in blocks if inside]
         kept = [text for text, token in inside if token not in template]
         if 4 * len(kept) < len(inside):
             kept = [text for text, _ in inside]
-        if not inside:
-            kept = [text for text, _, token in self.blocks if token not in template]
-        return "\n".join(kept)
+        return kept if inside else [text for text, _, token, _ in blocks if token not in template]
 
 
 def _occurrences(pages: DataFrame) -> DataFrame:

@@ -272,6 +272,27 @@ def test_template_text_inside_articles(spark):
     assert [got[20 + i] for i in range(4)] == [f"Edited {i}\na\nb\nc\nd" for i in range(4)]
 
 
+@pytest.mark.parametrize(
+    "html, kept",
+    [
+        ("<div class='content has-sidebar'><article><p>Story {0}</p></article></div>", "Story {0}"),
+        ("<div class='no-sidebar'><p>Story {0}</p></div>", "Story {0}"),
+        ("<div id=social><main><p>Story {0}</p></main></div>", "Story {0}"),
+        ("<article class='post social'><p>Story {0}</p></article>", "Story {0}"),
+        ("<div class=widget><p>Story {0}</p></div>", "Story {0}"),
+        ("<article><p>Story {0}</p><section id=side-effects>Pain {0}</section><section id='related-work'>Others {0}</section></article>", "Story {0}\nPain {0}\nOthers {0}"),
+        ("<article><p>Story {0}</p><div class=ad-slot>Buy {0}</div></article><div id=comments><article>Nice {0}</article></div>", "Story {0}"),
+        ("<main><article><p>Story {0}</p><ul class=share-buttons><li>Tell {0}</ul></article></main>", "Story {0}"),
+        ("<div><p>Story {0}</p></div><div class=related-posts>More {0}</div>", "Story {0}"),
+    ],
+)
+def test_names_of_classes_leave_out_no_article(spark, html, kept):
+    rows = [(i, f"https://a.example/{i}", f"<html><body>{html.format(i)}</body></html>") for i in range(3)]
+    rows += [(3, "https://b.example", "<body><div><p>Story</p><div class=notice>of one page</div></div></body>")]
+    got = {r.page_id: r.text for r in html_extraction.with_main_text(pages(spark, rows)).collect()}
+    assert got == {i: kept.format(i) for i in range(3)} | {3: "Story\nof one page"}
+
+
 # Pipeline
 
 
