@@ -397,7 +397,7 @@ def _finish(all_blocks: DataFrame, sets: DataFrame, classes: DataFrame, members:
     several = stored(dealt.where(F.col("parts") > 1), "parts")
     if several.limit(1).count():
         found = first.unionByName(_across_parts(all_blocks, sets, several, first))
-    parts = components(found)
+    parts = components(found.unionByName(_named_alike(sets, classes, digest)))
     own = classes.drop("block_id", "row").join(parts, F.col("class_id") == F.col("node"), "left").select(*digest, F.coalesce("component", "class_id").alias("component_id"))
     return (
         sets.join(own, digest, "left")
@@ -406,6 +406,15 @@ def _finish(all_blocks: DataFrame, sets: DataFrame, classes: DataFrame, members:
     )
 
 
+def _named_alike(sets: DataFrame, classes: DataFrame, digest: list[str]) -> DataFrame:
+    """Edges from a doc_id that occurs with different sets to the class of each."""
+    with_set = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).select("doc_id", *digest)
+    each = F.struct(*digest)
+    several = with_set.groupBy("doc_id").agg(F.min(each).alias("least"), F.max(each).alias("most")).where(F.col("least") != F.col("most"))
+    edges = with_set.join(several.select("doc_id"), "doc_id").join(classes.select(*digest, "class_id"), digest)
+    return stored(edges.select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "names")
+
+
 def _can_link(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Members that the bitmaps of their neighbourhood allow a link."""
     held = members.groupBy("leader").agg(F.count("*").alias("held"))

@@ -146,6 +146,14 @@ def test_jaccard(spark, rows):
     assert {r.component_id for r in found.where("doc_id is null").collect()} == {None}
 
 
+def test_jaccard_of_rows_of_one_name(spark):
+    one, two = "one text of some six words", "another text that shares nothing at all"
+    rows = [(5, one), (7, one), (5, two), (3, two), (9, "a third text of nobody else here")]
+    found = jaccard_join.jaccard_components(docs(spark, rows))
+    assert by_id(found, "n_shingles", "component_id") == plain_jaccard(rows)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {3: 3, 5: 3, 7: 3, 9: 9}
+
+
 def test_jaccard_of_a_neighbourhood_in_parts(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PART", 6)
     monkeypatch.setattr(jaccard_join, "GROUP", 2)
