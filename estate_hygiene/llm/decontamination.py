@@ -10,7 +10,7 @@ The seeds of all items go to every task. Their number is measured: items beyond
 passes, so no task holds more, whatever the size of the benchmark.
 
 Rows: a null or empty text has no words and leaks nothing. An item of fewer words than a seed is one seed of its own
-length; items without words are left out. Rows without doc_id, and repeated rows, are judged like any others; items
+length, so ``shortest`` leaves items out whose words are no evidence of a leak; items without words are left out. Rows without doc_id, and repeated rows, are judged like any others; items
 without item_id are matched and count, but are not listed. Items of the same item_id are judged one by one.
 """
 
@@ -147,8 +147,8 @@ def _judge(sent: Broadcast, seed: int, coverage: float) -> Callable[[pa.RecordBa
     return judge
 
 
-def _lots(benchmark: DataFrame, seed: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in lots of at most SEED_LIMIT seeds, or one item; the driver holds one lot at a time."""
+def _lots(benchmark: DataFrame, shortest: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The items of ``shortest`` words or more in lots of at most SEED_LIMIT seeds, or one item; the driver holds one lot at a time."""
     held, size = [], 0
     chosen = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     for row in chosen.where(F.col("text").isNotNull()).orderBy("item_id", "text").toLocalIterator():
@@ -156,20 +156,20 @@ def _lots(benchmark: DataFrame, seed: int) -> Iterator[list[tuple[int | None, st
         if held and size + n > SEED_LIMIT:
             yield held
             held, size = [], 0
-        if n:
+        if n >= max(shortest, 1):
             held.append((row["item_id"], row["text"]))
             size += n
     if held:
         yield held
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
+def with_leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, shortest: int = 1) -> DataFrame:
     """Rows of ``docs`` (text and any others, which stay) with n_words, coverage (the highest of any item),
     covered_words (of that item), item_ids (those that leak, ascending) and contaminated."""
     none = {"n_words": "0", "coverage": "0", "covered_words": "0", "item_ids": "array()"}
     kinds = {"n_words": "bigint", "coverage": "double", "covered_words": "bigint", "item_ids": "array<bigint>"}
     out = docs.withColumn("text", F.col("text").cast("string")).withColumns({n: F.expr(f"cast({v} as {kinds[n]})") for n, v in none.items()})
-    for lot in _lots(benchmark, seed):
+    for lot in _lots(benchmark, shortest):
         sent = docs.sparkSession.sparkContext.broadcast(Items(lot, seed))
         out = _pass(out, sent, seed, coverage)
     return out.withColumn("contaminated", F.col("coverage") >= coverage)

@@ -130,6 +130,15 @@ def test_leaks(spark, monkeypatch, limit):
     assert found.count() == len(rows)
 
 
+def test_short_items_drop_no_document_of_the_pipeline(spark, tmp_path):
+    items = [(1, "Paris"), (2, "it is a yes"), (3, "these five words leak here")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame = docs(spark, [(1, "a week in Paris"), (2, "and so it is a yes"), (3, "now these five words leak here"), (4, "clean")])
+    assert sorted(r.doc_id for r in corpus_pipeline.benchmark_filter(spark, frame, str(tmp_path)).collect()) == [1, 2, 4]
+    found = decontamination.with_leaks(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: r.item_ids for r in found.collect()} == {1: [1], 2: [2], 3: [3], 4: []}
+
+
 def test_no_items_and_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.with_leaks(docs(spark, [(1, "a")]), none).first().contaminated is False
