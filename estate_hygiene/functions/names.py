@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values.
 TEST_NAME_TOKENS = ("test", "temp", "tmp", "demo", "poc", "beta")
@@ -55,3 +55,11 @@ def starts_with_digit(text: str) -> bool:
 def is_number_like(text: str) -> bool:
     """Digits and dots only, as in the tranche shorthand ``1.1``."""
     return re.fullmatch(r"[\d.]*", text) is not None
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or with underscores before it the first name that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
