@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estate_hygiene.llm import (
+    collocations,
     decontamination,
     embedding_dedup,
     html_extraction,
     jaccard_join,
     line_dedup,
+    mixing,
     packing,
     quality,
     substring_dedup,
     suffix_dedup,
     token_counts,
+    vector_codes,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +77,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.with_main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op11_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(_read(spark, sf_dir, "documents")).drop("source")
+
+
+def op12_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(_read(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(_read(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -86,6 +101,9 @@ def queries() -> dict[str, Query]:
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_html_extraction": op10_html_extraction,
+        "op11_mixing_sources": op11_mixing_sources,
+        "op12_collocation_mining": op12_collocation_mining,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -162,5 +180,104 @@ FROM judged GROUP BY doc_id
 """
 
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS s, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+  FROM docs GROUP BY source
+), filling AS (
+  SELECT *, sum(s) OVER () - coalesce(3 * sum(s) OVER (ORDER BY s * 10 // w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free,
+    sum(w) OVER (ORDER BY s * 10 // w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights, s * 10 // w AS turn FROM sources
+), level AS (
+  SELECT free, weights FROM filling WHERE free * w <= 3 * s * weights ORDER BY turn, source LIMIT 1
+), targets AS (
+  SELECT source, s, CASE WHEN 3 * s * level.weights < level.free * w THEN (3 * s)::DOUBLE ELSE (level.free * w)::DOUBLE / level.weights::DOUBLE END AS target,
+    CASE WHEN 3 * s * level.weights < level.free * w THEN 3 * s ELSE level.free * w // level.weights END AS take
+  FROM filling, level
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, 'null')) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM docs
+)
+SELECT doc_id, size, s AS source_size, target,
+  (CASE WHEN size = 0 THEN 0 ELSE (take // s) * size + greatest(0, least(size, take % s - start)) END)::BIGINT AS taken
+FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
+"""
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+    SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), totals AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang
+), grams AS MATERIALIZED (
+  SELECT lang, m, g, count(*)::HUGEINT AS f FROM (
+    SELECT lang, m, w[i:i + m - 1] AS g FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 6) r(m) WHERE len(w) >= m)
+  ) GROUP BY ALL HAVING count(*) >= 100
+), longer AS (
+  SELECT lang, g, max(f) AS f FROM (
+    SELECT lang, g[1:m - 1] AS g, f FROM grams WHERE m > 2 UNION ALL SELECT lang, g[2:m] AS g, f FROM grams WHERE m > 2) GROUP BY ALL
+), cuts AS (
+  SELECT lang, g, f AS a, k, g[1:k] AS head, g[k + 1:m] AS rest FROM (SELECT *, unnest(range(1, m)) AS k FROM grams WHERE m > 1)
+), scored AS (
+  SELECT c.lang, c.g, a, k, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN grams x ON x.lang = c.lang AND x.g = head JOIN grams y ON y.lang = c.lang AND y.g = rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), kept AS (
+  SELECT s.*, array_to_string(s.g, ' ') AS phrase FROM lowest s LEFT JOIN longer o ON o.lang = s.lang AND o.g = s.g WHERE o.f IS NULL OR o.f < a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+  n::BIGINT AS n, score::BIGINT AS score FROM kept QUALIFY rank <= 2000
+"""
+
+_OP13_ROUND = """
+, a{0} AS MATERIALIZED (
+  SELECT p.vec_id, p.part, p.v, arg_min(b.entry, {{'d': d, 'e': b.entry}}) AS entry, min(d) AS d FROM (
+    SELECT p.vec_id, p.part, p.v, b.entry, list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::BIGINT AS d
+    FROM parts p JOIN book{0} b ON b.part = p.part) b JOIN parts p ON p.vec_id = b.vec_id AND p.part = b.part GROUP BY ALL
+)"""
+_OP13_UPDATE = """
+, means{0} AS (
+  SELECT part, entry, list(mean ORDER BY i) AS v FROM (
+    SELECT part, entry, i, floor(sum(v[i]) / count(*))::BIGINT AS mean FROM (SELECT part, entry, v, unnest(range(1, len(v) + 1)) AS i FROM a{0}) GROUP BY ALL
+  ) GROUP BY ALL
+), book{1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM book{0} b LEFT JOIN means{0} m USING (part, entry)
+)"""
+
+OP13_SQL = (
+    """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, part, v[part * len(v) // 16 + 1:(part + 1) * len(v) // 16] AS v FROM kept, range(16) r(part)
+), book0 AS (
+  SELECT part, entry, v FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept) USING (vec_id) WHERE entry < 64
+)"""
+    + _OP13_ROUND.format(0) + _OP13_UPDATE.format(0, 1)
+    + _OP13_ROUND.format(1) + _OP13_UPDATE.format(1, 2)
+    + _OP13_ROUND.format(2)
+    + """
+, errors AS (
+  SELECT vec_id, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM errors JOIN kept USING (vec_id), digest
+"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_embedding_near_dedup": OP8_SQL, "op9_line_dedup": OP9_SQL}
+    return {
+        "op1_substring_dedup": OP1_SQL,
+        "op6_ngram_jaccard_join": OP6_SQL,
+        "op8_embedding_near_dedup": OP8_SQL,
+        "op9_line_dedup": OP9_SQL,
+        "op11_mixing_sources": OP11_SQL,
+        "op12_collocation_mining": OP12_SQL,
+        "op13_vector_codes": OP13_SQL,
+    }
