@@ -9,10 +9,11 @@ Arcs below MIN_COUNT go. The parts of a candidate are looked up by joining it to
 splits where a part is common.
 
 Sieve. Before that, words and pairs of words are counted by hash in a table of 2**SIEVE_BITS cells that stop counting at
-MIN_COUNT. What falls in a cell that does not reach it cannot be a candidate or a part of one, so a shard leaves it out.
-The table has a fixed size, so its bits can be sent to all tasks. It is no cap: cells that hold more than one n-gram let
-more through, and the counts that follow are of whole phrases. Beyond about 2**SIEVE_BITS * MIN_COUNT words all cells
-are full and every n-gram is sent; for that much text raise ``sieve_bits`` or ``min_count``.
+MIN_COUNT, and then, of what these let through, n-grams of three and more words in another one. What falls in a cell that
+does not reach MIN_COUNT cannot be a candidate or a part of one, so a shard leaves it out. The tables have a fixed size,
+so their bits can be sent to all tasks. They are no cap: cells that hold more than one n-gram let more through, and the
+counts that follow are of whole phrases. Beyond about 2**SIEVE_BITS * MIN_COUNT words all cells are full and every n-gram
+is sent; for that much text raise ``sieve_bits`` or ``min_count``.
 
 Score. For each cut, floor(1000 * a * n / (l * r)) in 38-digit decimals; the lowest counts. A candidate goes that a longer
 one contains which is as frequent; as counts cannot grow with length, only candidates of one word more need to be asked.
@@ -116,35 +117,82 @@ class Shard:
         self.langs = list(names)
         self.lang = of_row[row]
 
-    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """The sieve's cell of each word and of each word with the next one."""
+    def hashes(self) -> np.ndarray:
+        """A hash of each word and its language, alike in all shards."""
         spelled = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], dtype=np.uint64)
         named = np.array([xxhash.xxh3_64_intdigest(n.encode()) for n in self.langs], dtype=np.uint64)
-        of_word = spelled[self.word] ^ named[self.lang]
-        following = np.roll(of_word, -1)
-        pairs = (of_word * _MIX) ^ (following + (of_word >> np.uint64(29)))
-        shift = np.uint64(64 - bits)
-        return ((of_word * _MIX) >> shift).astype(np.int64), ((pairs * _MIX) >> shift).astype(np.int64)
-
-
-def counted_cells(shards_: Iterator[Shard], bits: int, most: int) -> np.ndarray:
+        return spelled[self.word] ^ named[self.lang]
+
+
+def _and_next(hashed: np.ndarray, following: np.ndarray) -> np.ndarray:
+    return (hashed * _MIX) ^ (following + (hashed >> np.uint64(29)))
+
+
+def _cell(hashed: np.ndarray, bits: int) -> np.ndarray:
+    return ((hashed * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Windows:
+    """The n-grams of a shard that a sieve of words and pairs lets through, level by level."""
+
+    def __init__(self, shard: Shard, short: np.ndarray, bits: int):
+        self.hashes, self.bits = shard.hashes(), bits
+        kept = short[_cell(self.hashes, bits)]
+        pairs = _cell(_and_next(self.hashes, np.roll(self.hashes, -1)), bits)
+        self.extends = shard.joined & kept & np.append(kept[1:], False) & short[pairs]
+        self.at = np.flatnonzero(shard.own & kept)
+        self.path = self.hashes[self.at]
+        self.length = 1
+
+    def lengthen(self, long: np.ndarray | None = None) -> np.ndarray:
+        """One word more, where the last pair allows it and, from three words on, ``long`` does: which ones stay."""
+        further = self.extends[self.at + self.length - 1]
+        at = self.at[further]
+        path = _and_next(self.path[further], self.hashes[at + self.length])
+        if long is not None and self.length > 1:
+            let = long[_cell(path, self.bits)]
+            further[further] = let
+            at, path = at[let], path[let]
+        self.at, self.path = at, path
+        self.length += 1
+        return further
+
+
+def met_cells(shard: Shard, bits: int, short: np.ndarray | None) -> Iterator[np.ndarray]:
+    """The cells of words and pairs, or, with the sieve of these, of longer n-grams."""
+    if short is None:
+        hashed = shard.hashes()
+        yield _cell(hashed[shard.own], bits)
+        yield _cell(_and_next(hashed, np.roll(hashed, -1))[shard.own & shard.joined], bits)
+        return
+    windows = Windows(shard, short, bits)
+    windows.lengthen()
+    for _ in range(LONGEST - 2):
+        windows.lengthen()
+        yield _cell(windows.path, bits)
+
+
+def counted_cells(shards_: Iterator[Shard], bits: int, most: int, short: np.ndarray | None = None) -> np.ndarray:
     """How often each cell is met, at most ``most``."""
     out = np.zeros(1 << bits, dtype=np.uint8 if most < 256 else np.uint32)
     for shard in shards_:
-        word, pair = shard.cells(bits)
-        for met in (word[shard.own], pair[shard.own & shard.joined]):
+        for met in met_cells(shard, bits, short):
             cell, n = np.unique(met, return_counts=True)
             out[cell] = np.minimum(out[cell] + n, most)
     return out
 
 
-def sieve(texts: DataFrame, min_count: int, bits: int) -> bytes:
-    """A bit for each cell that reaches ``min_count``, packed: 2**bits bits."""
+def _opened(cells: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(unpacked(cells), dtype=np.uint8)).astype(bool)
+
+
+def sieve(texts: DataFrame, min_count: int, bits: int, short: bytes | None = None) -> bytes:
+    """A bit for each cell that reaches ``min_count``, packed: 2**bits bits. With the sieve of words and pairs, of longer n-grams."""
     segment = min(bits, SEGMENT_BITS)
     kind = np.uint8 if min_count < 256 else np.uint32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = counted_cells(shards(batches), bits, min_count).reshape(-1, 1 << segment)
+        found = counted_cells(shards(batches), bits, min_count, None if short is None else _opened(short)).reshape(-1, 1 << segment)
         some = np.flatnonzero(found.any(axis=1))
         yield table(CELLS_SCHEMA, {"segment": some.tolist(), "cells": [packed(found[i].tobytes()) for i in some]})
 
@@ -168,23 +216,19 @@ def sieve(texts: DataFrame, min_count: int, bits: int) -> bytes:
 class Transducer:
     """The n-grams of a shard that the sieve lets through, as arcs by level: parent, word and weight."""
 
-    def __init__(self, shard: Shard, full: np.ndarray, bits: int):
+    def __init__(self, shard: Shard, short: np.ndarray, long: np.ndarray, bits: int):
         self.shard = shard
         n_words = len(shard.words)
         self.totals = np.bincount(shard.lang[shard.own], minlength=len(shard.langs))
-        word_cell, pair_cell = shard.cells(bits)
-        kept = full[word_cell]
-        extends = shard.joined & kept & np.append(kept[1:], False) & full[pair_cell]
-        at = np.flatnonzero(shard.own & kept)
-        state = shard.lang[at]
+        windows = Windows(shard, short, bits)
+        state = shard.lang[windows.at]
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for depth in range(LONGEST):
-            if not len(at):
+            if not len(windows.at):
                 break
-            arcs, state, weight = np.unique(state * n_words + shard.word[at + depth], return_inverse=True, return_counts=True)
+            arcs, state, weight = np.unique(state * n_words + shard.word[windows.at + depth], return_inverse=True, return_counts=True)
             self.levels.append((arcs // n_words, arcs % n_words, weight))
-            further = extends[at + depth]
-            at, state = at[further], state[further]
+            state = state[windows.lengthen(long)]
 
     def arcs(self) -> Iterator[pa.RecordBatch]:
         """All paths from the root with their weights; the root itself is the empty phrase."""
@@ -228,12 +272,13 @@ def counts(docs: DataFrame, min_count: int = MIN_COUNT, sieve_bits: int = SIEVE_
     The empty phrase, of 0 words, has the number of words of the language, however few.
     """
     texts = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    cells = sieve(texts, min_count, sieve_bits)
+    short_cells = sieve(texts, min_count, sieve_bits)
+    long_cells = sieve(texts, min_count, sieve_bits, short_cells)
 
     def arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full = np.unpackbits(np.frombuffer(unpacked(cells), dtype=np.uint8)).astype(bool)
+        short, long = _opened(short_cells), _opened(long_cells)
         for shard in shards(batches):
-            yield from Transducer(shard, full, sieve_bits).arcs()
+            yield from Transducer(shard, short, long, sieve_bits).arcs()
 
     sent = stored(texts.mapInArrow(arcs, ARCS_SCHEMA), "arcs")
     by_range = sent.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")

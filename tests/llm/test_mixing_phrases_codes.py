@@ -133,7 +133,7 @@ def test_chunks_of_a_long_text_count_every_phrase_once():
     def arcs(rows):
         full = np.ones(1 << 10, dtype=bool)
         out = Counter()
-        for batch in collocations.Transducer(collocations.Shard(rows), full, 10).arcs():
+        for batch in collocations.Transducer(collocations.Shard(rows), full, full, 10).arcs():
             for r in batch.to_pylist():
                 out[r["phrase"]] += r["weight"]
         return out
