@@ -3,10 +3,11 @@
 Counting. Shards of about SHARD_BYTES of text become count transducers: from the sorted n-grams of a shard the states are
 added level by level, the n-grams with one more word after those with one less, so that n-grams share the states of
 their common beginning; the weight of an arc is the number of times its path occurs, and the root's is the number of
-words. Arcs are sent as rows of (lang, phrase, weight), dealt to ranges of the phrase's order by Spark's own sample,
-where equal ones meet as neighbours and their weights are summed: the union of the shards' transducers by prefix range.
-Arcs below MIN_COUNT go. The parts of a candidate are looked up by joining it to the arcs of its two parts, which Spark
-splits where a part is common.
+words. A shard's arcs are cut into ranges of a hash of their first PREFIX words and sent packed, a row for each range;
+a range takes the union of its transducers and adds up the weights of equal paths, folding whenever UNION_ROWS arcs wait.
+So a word or pair that a third of all phrases start with is one arc for each shard, and what follows it is spread. Arcs
+below MIN_COUNT go. Candidates are composed with the transducer by joining them to the arcs of their two parts, which
+Spark splits where a part is common.
 
 Sieve. Before that, words and pairs of words are counted by hash in a table of 2**SIEVE_BITS cells that stop counting at
 MIN_COUNT, and then, of what these let through, n-grams of three and more words in another one. What falls in a cell that
@@ -30,11 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estate_hygiene.llm.blocks import packed, table, unpacked
+from estate_hygiene.llm.blocks import arrow_schema, packed, table, unpacked
 from estate_hygiene.llm.workspace import shuffle_partitions, stored
 
 LONGEST, MIN_COUNT, TOP = 5, 100, 2000
@@ -43,6 +45,8 @@ SIEVE_BITS, SEGMENT_BITS = 24, 14
 NO_LANG = "und"
 CELLS_SCHEMA = "segment int, cells binary"
 ARCS_SCHEMA = "lang string, phrase string, words int, weight long"
+SLICES_SCHEMA = "range int, arcs binary"
+PREFIX, UNION_ROWS = 3, 2_000_000
 
 _WORD, _BLANK, _BREAK = 0, 1, 2
 KIND = np.zeros(256, dtype=np.uint8)
@@ -222,48 +226,73 @@ class Transducer:
         self.totals = np.bincount(shard.lang[shard.own], minlength=len(shard.langs))
         windows = Windows(shard, short, bits)
         state = shard.lang[windows.at]
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for depth in range(LONGEST):
             if not len(windows.at):
                 break
-            arcs, state, weight = np.unique(state * n_words + shard.word[windows.at + depth], return_inverse=True, return_counts=True)
-            self.levels.append((arcs // n_words, arcs % n_words, weight))
+            arcs, first, state, weight = np.unique(state * n_words + shard.word[windows.at + depth], return_index=True, return_inverse=True, return_counts=True)
+            parent = arcs // n_words
+            prefix = windows.path[first] if depth < PREFIX else self.levels[-1][3][parent]
+            self.levels.append((parent, arcs % n_words, weight, prefix))
             state = state[windows.lengthen(long)]
 
-    def arcs(self) -> Iterator[pa.RecordBatch]:
-        """All paths from the root with their weights; the root itself is the empty phrase."""
+    def arcs(self) -> tuple[pa.RecordBatch, np.ndarray]:
+        """All paths from the root with their weights, the root itself as the empty phrase, and a hash of each one's prefix."""
         langs, words = self.shard.langs, self.shard.words
-        yield table(ARCS_SCHEMA, {"lang": langs, "phrase": [""] * len(langs), "words": [0] * len(langs), "weight": self.totals.tolist()})
         own_lang, paths = list(range(len(langs))), [b""] * len(langs)
-        for depth, (parent, word, weight) in enumerate(self.levels, 1):
+        out = {"lang": list(langs), "phrase": list(paths), "words": [0] * len(langs), "weight": self.totals.tolist()}
+        prefixes = [np.array([xxhash.xxh3_64_intdigest(n.encode()) for n in langs], dtype=np.uint64)]
+        for depth, (parent, word, weight, prefix) in enumerate(self.levels, 1):
             parents = parent.tolist()
             paths = [paths[p] + b" " + words[w] if depth > 1 else words[w] for p, w in zip(parents, word.tolist(), strict=True)]
             own_lang = [own_lang[p] for p in parents]
-            yield table(ARCS_SCHEMA, {
-                "lang": [langs[i] for i in own_lang], "phrase": [p.decode() for p in paths],
-                "words": [depth] * len(paths), "weight": weight.tolist(),
-            })
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted arcs with the weights of equal neighbours added up; the last one waits for the next batch."""
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = batch.to_pydict()
-        lang, phrase = rows["lang"], rows["phrase"]
-        weight = np.array(rows["weight"], dtype=np.int64)
-        first = [i for i in range(len(lang)) if not i or lang[i] != lang[i - 1] or phrase[i] != phrase[i - 1]]
-        sums = np.add.reduceat(weight, first).tolist()
-        out = [(lang[i], phrase[i], rows["words"][i], n) for i, n in zip(first, sums, strict=True)]
-        if last:
-            out[:1] = [(*last[:3], last[3] + out[0][3])] if last[:2] == out[0][:2] else [last, out[0]]
-        last = out.pop()
-        if out:
-            yield table(ARCS_SCHEMA, dict(zip(("lang", "phrase", "words", "weight"), map(list, zip(*out, strict=True)), strict=True)))
-    if last:
-        yield table(ARCS_SCHEMA, {"lang": [last[0]], "phrase": [last[1]], "words": [last[2]], "weight": [last[3]]})
+            out["lang"] += [langs[i] for i in own_lang]
+            out["phrase"] += paths
+            out["words"] += [depth] * len(paths)
+            out["weight"] += weight.tolist()
+            prefixes.append(prefix)
+        out["phrase"] = pa.array(out["phrase"], type=pa.binary()).cast(pa.string())
+        return table(ARCS_SCHEMA, out), np.concatenate(prefixes)
+
+    def slices(self, ranges: int) -> pa.RecordBatch:
+        """The arcs of each of ``ranges`` equal ranges of the prefix hash, packed."""
+        arcs, prefix = self.arcs()
+        number = (((prefix >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(number, kind="stable")
+        arcs, bounds = arcs.take(pa.array(order)), np.searchsorted(number[order], np.arange(ranges + 1))
+        some = np.flatnonzero(np.diff(bounds)).tolist()
+        sent = [packed(arcs.slice(bounds[i], bounds[i + 1] - bounds[i]).serialize().to_pybytes()) for i in some]
+        return table(SLICES_SCHEMA, {"range": some, "arcs": sent})
+
+
+def _union(arcs: list[pa.RecordBatch | pa.Table]) -> pa.Table:
+    """Several transducers as one, the weights of equal paths added up."""
+    found = pa.concat_tables([a if isinstance(a, pa.Table) else pa.Table.from_batches([a]) for a in arcs])
+    summed = found.group_by(["lang", "phrase", "words"]).aggregate([("weight", "sum")])
+    return summed.rename_columns({"weight_sum": "weight"}).select(found.schema.names)
+
+
+def unions(slices: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
+    """Rows of (range, arcs), sorted: the union of each range without the arcs below ``min_count``."""
+    schema, current, held, rows = arrow_schema(ARCS_SCHEMA), None, [], 0
+
+    def ended() -> list[pa.RecordBatch]:
+        if not held:
+            return []
+        found = _union(held)
+        return found.filter((pc.field("weight") >= min_count) | (pc.field("words") == 0)).to_batches()
+
+    for batch in slices:
+        for number, sent in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if number != current:
+                yield from ended()
+                current, held, rows = number, [], 0
+            held.append(pa.ipc.read_record_batch(pa.py_buffer(unpacked(sent.as_py())), schema))
+            rows += held[-1].num_rows
+            if rows > UNION_ROWS and len(held) > 1:
+                held = [_union(held)]
+                rows = held[0].num_rows // 2
+    yield from ended()
 
 
 def counts(docs: DataFrame, min_count: int = MIN_COUNT, sieve_bits: int = SIEVE_BITS) -> DataFrame:
@@ -274,15 +303,16 @@ def counts(docs: DataFrame, min_count: int = MIN_COUNT, sieve_bits: int = SIEVE_
     texts = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     short_cells = sieve(texts, min_count, sieve_bits)
     long_cells = sieve(texts, min_count, sieve_bits, short_cells)
+    ranges = shuffle_partitions(docs.sparkSession)
 
     def arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         short, long = _opened(short_cells), _opened(long_cells)
         for shard in shards(batches):
-            yield from Transducer(shard, short, long, sieve_bits).arcs()
+            yield Transducer(shard, short, long, sieve_bits).slices(ranges)
 
-    sent = stored(texts.mapInArrow(arcs, ARCS_SCHEMA), "arcs")
-    by_range = sent.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
-    return by_range.mapInArrow(_summed, ARCS_SCHEMA).where((F.col("weight") >= min_count) | (F.col("words") == 0))
+    sent = stored(texts.mapInArrow(arcs, SLICES_SCHEMA), "slices")
+    by_range = sent.repartition(ranges, "range").sortWithinPartitions("range")
+    return by_range.mapInArrow(lambda batches: unions(batches, min_count), ARCS_SCHEMA)
 
 
 def _times(a: Column, b: Column) -> Column:

@@ -133,9 +133,8 @@ def test_chunks_of_a_long_text_count_every_phrase_once():
     def arcs(rows):
         full = np.ones(1 << 10, dtype=bool)
         out = Counter()
-        for batch in collocations.Transducer(collocations.Shard(rows), full, full, 10).arcs():
-            for r in batch.to_pylist():
-                out[r["phrase"]] += r["weight"]
+        for r in collocations.Transducer(collocations.Shard(rows), full, full, 10).arcs()[0].to_pylist():
+            out[r["phrase"]] += r["weight"]
         return out
 
     cut = [("en", piece, own) for piece, own in collocations.chunks(text, 200)]
@@ -143,6 +142,20 @@ def test_chunks_of_a_long_text_count_every_phrase_once():
     assert [own for _, _, own in [("en", *c) for c in collocations.chunks(b"x" * 10_000, 200)]] == [10_000]
 
 
+def test_union_of_shards_by_prefix_range():
+    shards = [collocations.Shard([("en", t.encode(), 10**6)]) for t in corpus(3, 30, 20)]
+    full = np.ones(1 << 10, dtype=bool)
+    found = [collocations.Transducer(s, full, full, 10) for s in shards]
+    whole = Counter()
+    for t in found:
+        for r in t.arcs()[0].to_pylist():
+            whole[r["phrase"], r["words"]] += r["weight"]
+    sent = pa.concat_batches([t.slices(5) for t in found])
+    sent = sent.take(pa.array(np.argsort(sent.column(0).to_numpy(), kind="stable")))
+    rows = [r for b in collocations.unions(iter([sent]), 3) for r in b.to_pylist()]
+    assert {(r["phrase"], r["words"]): r["weight"] for r in rows} == {k: v for k, v in whole.items() if v >= 3 or not k[1]} and len(rows) > 100
+
+
 def plain_codes(vectors, rounds=2, parts=16, entries=64):
     v = np.floor(np.array(vectors, dtype=np.float64) * 256).astype(np.int64).reshape(len(vectors), parts, -1)
     book = v[:entries].copy()
