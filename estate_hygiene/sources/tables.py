@@ -1,12 +1,13 @@
 """Stored results: control table, bundles, workflow state, snapshots, reports and the action log.
 
-A table that is replaced while it may be read is written as a new ``version=N`` directory, never in
-place, and readers take the newest version whose write was committed. A run lost half-way therefore leaves the
-last good one.
+Nothing is replaced in place: a table, a bundle's members and a report are written as a new ``version=N`` directory,
+and readers take the newest version whose write was committed (``sources.versions``). A run lost half-way therefore
+leaves the last good one. The action log is appended to.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -18,53 +19,41 @@ from estate_hygiene.functions.names import TEST_NAME_TOKENS
 from estate_hygiene.functions.numbers import COST_PER_GB_MONTH
 from estate_hygiene.functions.timestamps import instant, iso_text
 from estate_hygiene.operators.access import EVENTS_KEPT, LOOKBACK_DAYS
+from estate_hygiene.operators.ordering import numbered
 from estate_hygiene.operators.policy import one_document
+from estate_hygiene.sources import versions
 
 
-def _folders(spark: SparkSession, root: str, inside: str = "") -> dict[int, str]:
-    """Version folders by number; with ``inside``, those that hold a file of that name. Lists names, opens nothing."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{root}/version=*/{inside}" if inside else f"{root}/version=*")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    paths = [str(status.getPath().toString()) for status in found or ()]
-    folders = [p.removesuffix(f"/{inside}") if inside else p for p in paths]
-    return {int(f.rpartition("version=")[2]): f for f in folders if f.rpartition("version=")[2].isdigit()}
-
-
-def _versions(spark: SparkSession, root: str, schema: StructType, only_newest: bool = False) -> DataFrame:
-    """The versions whose write ended well, which Spark marks in each; no rows when there is none."""
+def _versions(spark: SparkSession, root: str, schema: StructType, numbers: list[int]) -> DataFrame:
+    """The rows of some committed versions, with ``version``."""
     versioned = StructType(schema.fields + [StructField("version", LongType())])
-    done = _folders(spark, root, "_SUCCESS")
-    wanted = [done[max(done)]] if done and only_newest else list(done.values())
-    if not wanted:
+    if not numbers:
         return spark.createDataFrame([], versioned)
-    return spark.read.schema(versioned).option("basePath", root).parquet(*wanted)
+    return spark.read.schema(versioned).option("basePath", root).parquet(*[versions.folder(root, n) for n in numbers])
 
 
 def read_latest(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Newest version that holds rows; no other folder is looked into."""
-    return _versions(spark, root, schema, only_newest=True).drop("version")
+    """The newest committed version, which may hold no rows; no other folder is looked into."""
+    return _versions(spark, root, schema, versions.committed(spark, root)[-1:]).drop("version")
 
 
 def next_version(spark: SparkSession, root: str) -> int:
-    """After all versions that were begun, so that one that was lost half-way is left alone."""
-    return max(_folders(spark, root), default=0) + 1
+    return versions.next_version(spark, root)
 
 
-def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
-    """Write the next version and return its row count, taken while writing.
+def write_version(df: DataFrame, root: str, version: int | None = None, keep_if_empty: bool = False) -> int:
+    """Write the next version, or the one that is named, and return its row count, taken while writing.
 
-    Of two writers of the same version the second fails. A version without rows is taken back: it holds nothing to be
-    newest.
+    Of two writers of one version the second gets ``VersionTaken`` before it has written anything. Name the version after
+    the one that the rows were made from, and two writers that started from the same one cannot both succeed. A version
+    without rows is in force like any other; with ``keep_if_empty`` it is not committed, so the last one stays.
     """
     spark = df.sparkSession
-    version = next_version(spark, root) if version is None else version
-    written, folder = Observation(), f"{root}/version={version}"
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(folder)
-    rows = written.get["rows"]
-    if not rows:
-        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-        mark.getFileSystem(spark._jsc.hadoopConfiguration()).delete(mark, False)
+    version = versions.next_version(spark, root) if version is None else version
+    versions.claim(spark, root, version)
+    rows = versions.written(df, versions.folder(root, version))
+    if rows or not keep_if_empty:
+        versions.commit(spark, root, version, {"rows": rows})
     return rows
 
 
@@ -75,7 +64,7 @@ def write_audit(audit: DataFrame, root: str, version: int | None = None) -> int:
     """
     absent = [f for f in schemas.AUDIT.fields[-2:] if f.name not in audit.columns]
     whole = audit.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
-    return write_version(whole.select(schemas.AUDIT.fieldNames()), root, version)
+    return write_version(whole.select(schemas.AUDIT.fieldNames()), root, version, keep_if_empty=True)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
@@ -83,10 +72,16 @@ def read_audit(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_audit_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A control sheet kept by hand, as CSV with the snake-case column names. Its rows keep the order of the file."""
+    """A control sheet kept by hand, as CSV with the snake-case column names, in one file or several.
+
+    Rows keep the order of the files' paths and, within a file, their own: a file is read by one task from its beginning,
+    so the row ids of its rows ascend, whatever files Spark packs into that task.
+    """
     given = T.StructType([f for f in schemas.AUDIT.fields if f.name not in ("history_ok", "seq")])
     sheet = spark.read.schema(given).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return sheet.withColumns({"history_ok": F.lit(None).cast("boolean"), "seq": F.monotonically_increasing_id()})
+    placed = sheet.withColumns({"file": F.col("_metadata.file_path"), "row": F.monotonically_increasing_id()})
+    found = numbered(placed, [F.col("file"), F.col("row")], name="seq").withColumn("history_ok", F.lit(None).cast("boolean"))
+    return found.select(schemas.AUDIT.fieldNames())
 
 
 def write_state(state: DataFrame, root: str, version: int | None = None) -> int:
@@ -97,9 +92,41 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, schemas.STATE)
 
 
-def write_member(df: DataFrame, bundle: str, name: str) -> None:
-    """Replace one named table of a bundle; the other members stay as they are."""
-    df.write.mode("overwrite").parquet(f"{bundle}/{name}")
+def _manifest(spark: SparkSession, bundle: str) -> tuple[int, dict[str, int]]:
+    """Number and members of the newest manifest; a member is named with the version that holds it."""
+    done = versions.committed(spark, bundle)[-1:]
+    return (done[0], versions.record_of(spark, bundle, done[0])["members"]) if done else (0, {})
+
+
+def write_members(members: Mapping[str, DataFrame], bundle: str) -> int:
+    """Replace the named tables of a bundle, all at once; the other members stay as they are.
+
+    The tables are written beside those in force, and a manifest then names the current version of every member. If one
+    write fails, no manifest is made and the bundle reads as before. Of two writers that start from one manifest the
+    second fails, as its manifest would undo what the first has replaced. Returns the number of the manifest.
+    """
+    spark = next(iter(members.values())).sparkSession
+    newest, kept = _manifest(spark, bundle)
+    version = newest + 1 if newest + 1 not in versions.begun(spark, bundle) else versions.next_version(spark, bundle)
+    versions.claim(spark, bundle, version)
+    rows = {name: versions.written(df, f"{versions.folder(bundle, version)}/{name}") for name, df in members.items()}
+    if _manifest(spark, bundle)[0] != newest:
+        raise versions.VersionTaken(f"{bundle} was replaced by another writer")
+    versions.commit(spark, bundle, version, {"members": kept | dict.fromkeys(members, version), "rows": sum(rows.values())})
+    return version
+
+
+def write_member(df: DataFrame, bundle: str, name: str) -> int:
+    """Replace one named table of a bundle."""
+    return write_members({name: df}, bundle)
+
+
+def read_member(spark: SparkSession, bundle: str, name: str) -> DataFrame:
+    """A table of a bundle, as the newest manifest names it."""
+    members = _manifest(spark, bundle)[1]
+    if name not in members:
+        raise KeyError(f"{bundle} has no member {name}")
+    return spark.read.parquet(f"{versions.folder(bundle, members[name])}/{name}")
 
 
 def data_dictionary(spark: SparkSession, large_gb: int = 100, days: int = LOOKBACK_DAYS, rate: float = COST_PER_GB_MONTH) -> DataFrame:
@@ -117,10 +144,9 @@ def data_dictionary(spark: SparkSession, large_gb: int = 100, days: int = LOOKBA
     return spark.createDataFrame(rows, "category string, definition string, detail string")
 
 
-def write_bundle(audit: DataFrame, bundle: str) -> None:
+def write_bundle(audit: DataFrame, bundle: str) -> int:
     """The audit together with the explanation of its tranches and columns."""
-    write_member(data_dictionary(audit.sparkSession), bundle, "readme")
-    write_member(audit, bundle, "audit_results")
+    return write_members({"readme": data_dictionary(audit.sparkSession), "audit_results": audit}, bundle)
 
 
 def write_snapshots(snapshots: DataFrame, root: str, version: int | None = None) -> int:
@@ -133,7 +159,7 @@ def read_policy_snapshot(spark: SparkSession, root: str) -> DataFrame:
     no document, hides no earlier one."""
     newest = F.max_by(F.struct("key", "region", "policy_json"), "version").alias("newest")
     return (
-        _versions(spark, root, schemas.SNAPSHOTS)
+        _versions(spark, root, schemas.SNAPSHOTS, versions.committed(spark, root))
         .where(F.col("policy_json").isNotNull())
         .groupBy("backup_path")
         .agg(newest)
@@ -141,10 +167,31 @@ def read_policy_snapshot(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def write_report(lines: DataFrame, path: str) -> None:
-    """Report text as part files whose name order is the line order."""
+def write_report(lines: DataFrame, root: str, version: int | None = None) -> int:
+    """Report text as the next version: part files whose name order is the line order. Returns the version."""
+    spark = lines.sparkSession
+    version = versions.next_version(spark, root) if version is None else version
+    versions.claim(spark, root, version)
     order = [c for c in lines.columns if c != "line"]
-    lines.orderBy(*order).select("line").write.mode("overwrite").text(path)
+    seen = Observation()
+    counted = lines.orderBy(*order).select("line").observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("error").text(versions.folder(root, version))
+    versions.commit(spark, root, version, {"rows": seen.get["rows"]})
+    return version
+
+
+def read_report(spark: SparkSession, root: str) -> DataFrame:
+    """``line_no, line`` of the newest report, in the order of its files and of the lines in each.
+
+    A line's place is its file's name, the place of its split in the file and its place in the split.
+    """
+    done = versions.committed(spark, root)[-1:]
+    if not done:
+        return spark.createDataFrame([], "line_no bigint, line string")
+    text = spark.read.text(versions.folder(root, done[0])).withColumnRenamed("value", "line")
+    spot = {"file": F.col("_metadata.file_path"), "split": F.col("_metadata.file_block_start"), "row": F.monotonically_increasing_id()}
+    placed = numbered(text.withColumns(spot), [F.col(c) for c in spot], name="line_no")
+    return placed.select("line_no", "line")
 
 
 def append_log(actions: DataFrame, path: str, as_of: datetime | str) -> None:

@@ -1,11 +1,14 @@
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from estate_hygiene import schemas
-from estate_hygiene.operators import report
-from estate_hygiene.sources import estate, state_json, tables
+from estate_hygiene.operators import report, selection
+from estate_hygiene.sources import estate, state_json, tables, versions
 from helpers import NOW, ago, audit, frame, job, jobs, records, ref, schemata, state
 
 
@@ -57,8 +60,74 @@ def test_bundle_members_are_replaced_one_by_one(spark, tmp_path):
     bundle = str(tmp_path / "bundle")
     tables.write_bundle(audit(spark, {"dataset": "a"}), bundle)
     tables.write_member(audit(spark, {"dataset": "b"}, {"dataset": "c"}), bundle, "audit_results")
-    assert spark.read.parquet(f"{bundle}/readme").count() == 7
-    assert spark.read.parquet(f"{bundle}/audit_results").count() == 2
+    assert tables.read_member(spark, bundle, "readme").count() == 7
+    assert tables.read_member(spark, bundle, "audit_results").count() == 2
+    with pytest.raises(KeyError):
+        tables.read_member(spark, bundle, "other")
+
+
+def test_a_bundle_whose_second_member_fails_reads_as_before(spark, tmp_path):
+    bundle = str(tmp_path / "bundle")
+    tables.write_bundle(audit(spark, {"dataset": "a"}), bundle)
+    broken = audit(spark, {"dataset": "b"}).withColumn("dataset", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_members({"readme": tables.data_dictionary(spark).limit(1), "audit_results": broken}, bundle)
+    assert tables.read_member(spark, bundle, "readme").count() == 7
+    assert records(tables.read_member(spark, bundle, "audit_results"), "dataset") == [("a",)]
+    tables.write_member(audit(spark, {"dataset": "c"}), bundle, "audit_results")
+    assert records(tables.read_member(spark, bundle, "audit_results"), "dataset") == [("c",)]
+
+
+def test_an_emptied_state_and_plan_read_back_empty(spark, tmp_path):
+    root = str(tmp_path / "state")
+    assert tables.write_state(state(spark, {"key": "p:a"}), root) == 1
+    assert tables.write_state(tables.read_state(spark, root).where("false"), root) == 0
+    assert tables.read_state(spark, root).count() == 0
+    assert [tuple(r) for r in versions.history(spark, root).collect()] == [(1, 1), (2, 0)]
+    assert tables.write_state(state(spark, {"key": "p:b"}), root) == 1
+    assert records(tables.read_state(spark, root), "key") == [("p:b",)]
+
+
+def test_of_two_writers_of_a_version_one_succeeds(spark, tmp_path):
+    root, start = str(tmp_path / "state"), threading.Barrier(2)
+    made = [state(spark, {"key": "p:a"}), state(spark, {"key": "p:b"}, {"key": "p:c"})]
+
+    def write(df):
+        start.wait()
+        try:
+            return tables.write_state(df, root, version=1)
+        except versions.VersionTaken as taken:
+            return taken
+
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(write, made))
+    assert sum(isinstance(r, versions.VersionTaken) for r in results) == 1
+    won = [len(m.collect()) for m, r in zip(made, results, strict=True) if isinstance(r, int)]
+    assert [tables.read_state(spark, root).count()] == won and versions.committed(spark, root) == [1]
+
+
+def test_a_lost_writer_leaves_the_last_version_and_its_number(spark, tmp_path):
+    root = str(tmp_path / "state")
+    tables.write_state(state(spark, {"key": "p:a"}), root)
+    broken = state(spark, {"key": "p:b"}).withColumn("status", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_state(broken, root)
+    assert records(tables.read_state(spark, root), "key") == [("p:a",)] and tables.next_version(spark, root) == 3
+
+
+def test_a_sheet_of_several_files_keeps_their_order(spark, tmp_path):
+    folder, header = tmp_path / "sheet", ",".join(f.name for f in schemas.AUDIT.fields if f.name not in ("history_ok", "seq"))
+    folder.mkdir()
+    row = lambda dataset, tranche, size: f"p,eu,{dataset},,{size},1.0,{tranche}" + "," * 9 + "CONFIRMED"
+    files = {"a.csv": [row("z", "Tranche 2: B", 1.0)], "b.csv": [row(f"d{i}", "Tranche 1: A", i) for i in range(300)], "c.csv": [row("z", "Tranche 1: Z", 9.0), row("d5", "Tranche 3: C", 77.0)]}
+    for name, rows in files.items():
+        (folder / name).write_text("\n".join([header, *rows]) + "\n")
+    sheet = tables.read_audit_csv(spark, str(folder))
+    assert [r.seq for r in sheet.orderBy("seq").collect()] == list(range(1, 304))
+    assert records(selection.list_tranches(sheet)) == [("Tranche 2: B",), ("Tranche 1: A",), ("Tranche 1: Z",), ("Tranche 3: C",)]
+    assert records(selection.resolve_tranche(sheet, "1")) == [("Tranche 1: A",)]
+    context = {r.key: r.size_gb for r in report.audit_context(sheet).collect()}
+    assert context["p:z"] == 9.0 and context["p:d5"] == 77.0 and context["p:d6"] == 6.0
 
 
 def test_state_can_be_rewritten_from_itself(spark, tmp_path):
@@ -88,11 +157,11 @@ def test_a_version_that_was_not_committed_is_not_read(spark, tmp_path):
     root = str(tmp_path / "audit")
     assert tables.write_audit(audit(spark, {"dataset": "a"}, {"dataset": "b"}), root) == 2
     audit(spark, {"dataset": "c"}).write.parquet(f"{root}/version=2")
-    (tmp_path / "audit" / "version=2" / "_SUCCESS").unlink()
     assert sorted(records(tables.read_audit(spark, root), "dataset")) == [("a",), ("b",)]
     assert tables.next_version(spark, root) == 3
-    with pytest.raises(Exception):
-        tables.write_audit(audit(spark, {"dataset": "d"}), root, version=1)
+    for taken in (1, 2):
+        with pytest.raises(versions.VersionTaken):
+            tables.write_audit(audit(spark, {"dataset": "d"}), root, version=taken)
 
 
 def write(tmp_path, text):
@@ -130,10 +199,15 @@ def test_missing_and_malformed_state(spark, tmp_path):
 def test_report_files_keep_line_order(spark, tmp_path):
     entries = state(spark, *[{"key": f"p:{i:03}", "status": ("scream_test", "deleted")[i % 2]} for i in range(50)])
     lines = report.render_report(entries, audit(spark, {"dataset": "001"}), NOW)
-    tables.write_report(lines, str(tmp_path / "report"))
-    parts = sorted((tmp_path / "report").glob("part-*"))
+    root = str(tmp_path / "report")
+    assert tables.read_report(spark, root).count() == 0
+    tables.write_report(lines.limit(3), root)
+    assert tables.write_report(lines, root) == 2
+    parts = sorted((tmp_path / "report" / "version=2").glob("part-*"))
     text = [line for part in parts for line in part.read_text().split("\n")[:-1]]
     assert text == [r.line for r in lines.collect()] and text[0].startswith("# ") and len(text) == 5 + 2 * 5 + 50 + 4
+    back = tables.read_report(spark, root).orderBy("line_no").collect()
+    assert [tuple(r) for r in back] == list(enumerate(text, 1))
 
 
 def test_log_is_appended(spark, tmp_path):
