@@ -16,8 +16,10 @@ from estate_hygiene.functions.names import dataset_key
 from estate_hygiene.functions.timestamps import floor_days, instant
 from estate_hygiene.operators.ordering import sheet_position
 from estate_hygiene.operators.policy import (
+    CLASH_REASON,
     CLEANUP_LABEL,
     CLEANUP_LABEL_VALUE,
+    NO_BACKUP_REASON,
     backup_path,
     one_document,
     restrict_policy,
@@ -80,7 +82,7 @@ def plan_scream_test(
         F.when(done, F.concat(F.lit("already processed (Status: "), F.col("state_status"), F.lit(")")))
         .when(repeated, F.lit("repeated key"))
         .when(usable, F.lit(None).cast("string"))
-        .when(F.col("policy_json").isNull(), F.lit("no backup"))
+        .when(F.col("policy_json").isNull(), F.lit(NO_BACKUP_REASON))
         .otherwise(F.lit("unreadable policy"))
     )
     acts = F.col("action") == "restrict"
@@ -108,13 +110,14 @@ def plan_scream_test(
 
 
 def require_backup(plan: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """The plan, with a restriction failed unless the very policy it restricts was stored, as read back."""
-    stored = one_document(snapshots).select("backup_path", F.col("policy_json").alias("stored_policy"))
+    """The plan, with a restriction failed unless the very policy it restricts was stored, as read back, and no other one
+    under the same path."""
+    stored = one_document(snapshots).select("backup_path", F.col("policy_json").alias("stored_policy"), "clash")
     rows = plan.join(stored, "backup_path", "left")
     lost = (F.col("action") == "restrict") & ~F.coalesce(F.col("stored_policy") == F.col("policy_json"), F.lit(False))
     return rows.withColumns(
         {
-            "reason": F.when(lost, "no backup").otherwise(F.col("reason")),
+            "reason": F.when(lost, F.when(F.col("clash"), CLASH_REASON).otherwise(NO_BACKUP_REASON)).otherwise(F.col("reason")),
             "restricted_policy": F.when(~lost, F.col("restricted_policy")),
             "set_label": F.when(~lost, F.col("set_label")),
             "action": F.when(lost, "fail").otherwise(F.col("action")),
@@ -122,12 +125,11 @@ def require_backup(plan: DataFrame, snapshots: DataFrame) -> DataFrame:
     ).select(plan.columns)
 
 
-def apply_outcomes(state: DataFrame, plan: DataFrame, outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
-    """State after a scream-test run.
+def scream_test_changes(state: DataFrame, plan: DataFrame, outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The state records that a scream-test run adds or replaces, one for each restriction reported as successful.
 
-    Only restrictions reported as successful enter. A record replaces the old one of its key as a whole,
-    at the old position; new keys follow in sheet order. New ``seq`` values ascend but have gaps, which
-    spares numbering all rows in one task.
+    A record replaces the old one of its key as a whole, at the old position; new keys follow in sheet order. New ``seq``
+    values ascend but have gaps, which spares numbering all rows in one task.
     """
     restricted = plan.where(F.col("action") == "restrict").join(reported_ok(outcomes), "key", "left_semi")
     succeeded = restricted.dropDuplicates(["key"])
@@ -139,7 +141,7 @@ def apply_outcomes(state: DataFrame, plan: DataFrame, outcomes: DataFrame, as_of
         .withColumn("arrival", F.monotonically_increasing_id())
     )
     never = F.lit(None).cast("timestamp")
-    entered = placed.select(
+    return placed.select(
         "key",
         "project",
         "dataset",
@@ -151,8 +153,13 @@ def apply_outcomes(state: DataFrame, plan: DataFrame, outcomes: DataFrame, as_of
         never.alias("restored_at"),
         F.coalesce(F.col("old_seq"), last + 1 + F.col("arrival")).alias("seq"),
     )
+
+
+def apply_outcomes(state: DataFrame, plan: DataFrame, outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The whole state after a scream-test run."""
+    restricted = plan.where(F.col("action") == "restrict").join(reported_ok(outcomes), "key", "left_semi")
     untouched = state.join(restricted.select("key"), "key", "left_anti")
-    return untouched.select(schemas.STATE.fieldNames()).unionByName(entered)
+    return untouched.select(schemas.STATE.fieldNames()).unionByName(scream_test_changes(state, plan, outcomes, as_of))
 
 
 def plan_purge(state: DataFrame, as_of: datetime | str, retention_days: int = RETENTION_DAYS) -> DataFrame:
@@ -193,6 +200,21 @@ def _mark(state: DataFrame, outcomes: DataFrame, eligible: Column, status: str,
     )
 
 
+def _changed(state: DataFrame, outcomes: DataFrame, eligible: Column, status: str, stamp: str, as_of: datetime | str) -> DataFrame:
+    done = state.where(eligible).join(reported_ok(outcomes), "key", "left_semi")
+    return done.withColumns({"status": F.lit(status), stamp: instant(as_of)}).select(schemas.STATE.fieldNames())
+
+
+def purge_changes(state: DataFrame, outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The state records of the datasets that were deleted."""
+    return _changed(state, outcomes, F.col("status") == SCREAM_TEST, DELETED, "deleted_at", as_of)
+
+
+def restore_changes(state: DataFrame, outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The state records of the datasets that were given back."""
+    return _changed(state, outcomes, F.col("status") != RESTORED, RESTORED, "restored_at", as_of)
+
+
 def apply_purge(state: DataFrame, outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
     """State after deletions. A report about a dataset no longer in its scream test changes nothing."""
     return _mark(state, outcomes, F.col("status") == SCREAM_TEST, DELETED, "deleted_at", as_of)

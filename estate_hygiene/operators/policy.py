@@ -14,6 +14,9 @@ OWNER_ROLE = "OWNER"
 CLEANUP_LABEL = "cleanup-status"
 CLEANUP_LABEL_VALUE = "scream-test"
 
+NO_BACKUP_REASON = "no backup"
+CLASH_REASON = "different policies for one backup path"
+
 
 def _document(policy_json: Column) -> Column:
     """The document; null when it is not JSON."""
@@ -108,14 +111,11 @@ def backup_path(project: Column, dataset: Column, root: str | None) -> Column:
 
 
 def one_document(snapshots: DataFrame) -> DataFrame:
-    """One row per backup path. Two different documents for one path are an error: one of them would be lost."""
+    """One row per backup path, ``backup_path, policy_json, clash``. Two different documents for one path are a clash, which
+    has none: either would be wrong for one of the datasets. It is for the rows that need the path to fail, not the run."""
     low, high = F.min("policy_json"), F.max("policy_json")
-    clash = F.raise_error(F.concat(F.lit("different policies for one backup path: "), F.col("backup_path")))
-    return snapshots.groupBy("backup_path").agg(
-        F.min("key").alias("key"),
-        F.min("region").alias("region"),
-        F.when(low.eqNullSafe(high), low).otherwise(clash.cast("string")).alias("policy_json"),
-    ).select("key", "region", "backup_path", "policy_json")
+    found = snapshots.groupBy("backup_path").agg(low.alias("policy_json"), (~low.eqNullSafe(high)).alias("clash"))
+    return found.select("backup_path", F.when(~F.col("clash"), F.col("policy_json")).alias("policy_json"), "clash")
 
 
 def snapshots_of(plan: DataFrame) -> DataFrame:

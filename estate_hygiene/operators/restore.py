@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from estate_hygiene.functions.names import starts_with_digit
 from estate_hygiene.operators.lifecycle import RESTORED, SCREAM_TEST, reported_ok
-from estate_hygiene.operators.policy import one_document
+from estate_hygiene.operators.policy import CLASH_REASON, NO_BACKUP_REASON, one_document
 
 # Messages of the action log.
 SKIPPED = "Skipping %s - %s."
@@ -43,8 +43,9 @@ def unknown_keys(state: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def plan_restore(targets: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """One row per target: restore with the full original policy, skip, or fail for want of a backup."""
-    backups = one_document(snapshots.where(F.col("policy_json").isNotNull())).select("backup_path", "policy_json")
+    """One row per target: restore with the full original policy, skip, or fail for want of a backup, or of one that is the
+    only one under its path."""
+    backups = one_document(snapshots.where(F.col("policy_json").isNotNull()))
     rows = targets.join(backups, "backup_path", "left")
     restored = F.coalesce(F.col("status") == RESTORED, F.lit(False))
     missing = F.col("policy_json").isNull()
@@ -55,7 +56,7 @@ def plan_restore(targets: DataFrame, snapshots: DataFrame) -> DataFrame:
         "tranche",
         F.col("status").alias("prior_status"),
         F.when(restored, "skip").when(missing, "fail").otherwise("restore").alias("action"),
-        F.when(restored, "already marked as restored").when(missing, "no backup").alias("reason"),
+        F.when(restored, "already marked as restored").when(F.col("clash"), CLASH_REASON).when(missing, NO_BACKUP_REASON).alias("reason"),
         "backup_path",
         F.when(~restored, F.col("policy_json")).alias("policy_json"),
     )

@@ -7,7 +7,7 @@ leaves the last good one. The action log is appended to.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -20,7 +20,6 @@ from estate_hygiene.functions.numbers import COST_PER_GB_MONTH
 from estate_hygiene.functions.timestamps import instant, iso_text
 from estate_hygiene.operators.access import EVENTS_KEPT, LOOKBACK_DAYS
 from estate_hygiene.operators.ordering import numbered
-from estate_hygiene.operators.policy import one_document
 from estate_hygiene.sources import versions
 
 
@@ -50,10 +49,12 @@ def write_version(df: DataFrame, root: str, version: int | None = None, keep_if_
     """
     spark = df.sparkSession
     version = versions.next_version(spark, root) if version is None else version
-    versions.claim(spark, root, version)
-    rows = versions.written(df, versions.folder(root, version))
-    if rows or not keep_if_empty:
-        versions.commit(spark, root, version, {"rows": rows})
+    with versions.claimed(spark, root, version):
+        rows = versions.written(df, versions.folder(root, version))
+        if rows or not keep_if_empty:
+            versions.commit(spark, root, version, {"rows": rows})
+    if not rows and keep_if_empty:
+        versions.abandon(spark, root, version)
     return rows
 
 
@@ -84,12 +85,73 @@ def read_audit_csv(spark: SparkSession, path: str) -> DataFrame:
     return found.select(schemas.AUDIT.fieldNames())
 
 
+def append_changes(changes: DataFrame, root: str, version: int | None = None) -> int:
+    """Add records that replace those of their keys, each key at most once, and return their number.
+
+    Only the changes are written: what a batch of outcomes costs does not follow from the size of the table.
+    """
+    spark = changes.sparkSession
+    version = versions.next_version(spark, root) if version is None else version
+    with versions.claimed(spark, root, version):
+        rows = versions.written(changes, versions.folder(root, version))
+        versions.commit(spark, root, version, {"rows": rows, "kind": "changes"})
+    return rows
+
+
+def _since_whole(spark: SparkSession, root: str) -> list[int]:
+    """The newest version that holds the whole table and the changes after it; older ones are not needed."""
+    found: list[int] = []
+    for number in reversed(versions.committed(spark, root)):
+        found.append(number)
+        if versions.record_of(spark, root, number).get("kind") != "changes":
+            break
+    return found
+
+
+def read_folded(spark: SparkSession, root: str, schema: StructType, key: str) -> DataFrame:
+    """The table with all changes since it was last written as a whole: of every key the newest record.
+
+    Keys fold before the shuffle, and a table without changes is read as it is.
+    """
+    numbers = _since_whole(spark, root)
+    rows = _versions(spark, root, schema, numbers)
+    if len(numbers) < 2:
+        return rows.drop("version")
+    newest = F.max_by(F.struct(*schema.fieldNames()), "version").alias("newest")
+    return rows.groupBy(F.col(key).alias("folded_key")).agg(newest).select("newest.*")
+
+
+def compact(spark: SparkSession, root: str, schema: StructType, key: str) -> int:
+    """Write the folded table as a whole, so that readers need no older version. Returns its number of rows."""
+    return _compacted(spark, root, lambda: read_folded(spark, root, schema, key).select(schema.fieldNames()))
+
+
+def _compacted(spark: SparkSession, root: str, fold: Callable[[], DataFrame]) -> int:
+    """Write what ``fold`` reads as a whole. A change that is still being written could be committed under a lower number
+    and would be lost, so it is waited for or given up first (``versions.abandon``)."""
+    number = versions.next_version(spark, root)
+    newest = max(versions.committed(spark, root), default=0)
+    at_work = [n for n in versions.open_claims(spark, root) if n > (min(_since_whole(spark, root), default=0) or newest)]
+    if at_work:
+        raise versions.VersionTaken(f"versions {at_work} of {root} are being written")
+    return write_version(fold(), root, number)
+
+
 def write_state(state: DataFrame, root: str, version: int | None = None) -> int:
     return write_version(state.select(schemas.STATE.fieldNames()), root, version)
 
 
+def append_state(changes: DataFrame, root: str, version: int | None = None) -> int:
+    """Add the records that a batch of outcomes has changed (``lifecycle.*_changes``)."""
+    return append_changes(changes.select(schemas.STATE.fieldNames()), root, version)
+
+
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    return read_latest(spark, root, schemas.STATE)
+    return read_folded(spark, root, schemas.STATE, "key")
+
+
+def compact_state(spark: SparkSession, root: str) -> int:
+    return compact(spark, root, schemas.STATE, "key")
 
 
 def _manifest(spark: SparkSession, bundle: str) -> tuple[int, dict[str, int]]:
@@ -108,11 +170,11 @@ def write_members(members: Mapping[str, DataFrame], bundle: str) -> int:
     spark = next(iter(members.values())).sparkSession
     newest, kept = _manifest(spark, bundle)
     version = newest + 1 if newest + 1 not in versions.begun(spark, bundle) else versions.next_version(spark, bundle)
-    versions.claim(spark, bundle, version)
-    rows = {name: versions.written(df, f"{versions.folder(bundle, version)}/{name}") for name, df in members.items()}
-    if _manifest(spark, bundle)[0] != newest:
-        raise versions.VersionTaken(f"{bundle} was replaced by another writer")
-    versions.commit(spark, bundle, version, {"members": kept | dict.fromkeys(members, version), "rows": sum(rows.values())})
+    with versions.claimed(spark, bundle, version):
+        rows = {name: versions.written(df, f"{versions.folder(bundle, version)}/{name}") for name, df in members.items()}
+        if _manifest(spark, bundle)[0] != newest:
+            raise versions.VersionTaken(f"{bundle} was replaced by another writer")
+        versions.commit(spark, bundle, version, {"members": kept | dict.fromkeys(members, version), "rows": sum(rows.values())})
     return version
 
 
@@ -150,33 +212,41 @@ def write_bundle(audit: DataFrame, bundle: str) -> int:
 
 
 def write_snapshots(snapshots: DataFrame, root: str, version: int | None = None) -> int:
-    """Back up policies. Earlier versions stay, so a later backup cannot destroy an earlier one."""
-    return write_version(one_document(snapshots).select(schemas.SNAPSHOTS.fieldNames()), root, version)
+    """Back up policies. Earlier versions stay, so a later backup cannot destroy an earlier one.
+
+    Two different documents for one path are both kept; whoever needs the path gets them as a clash.
+    """
+    return append_changes(snapshots.select(schemas.SNAPSHOTS.fieldNames()).distinct(), root, version)
 
 
 def read_policy_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Newest backup per path, over all versions: a run backs up its own targets only. A failed backup, which holds
-    no document, hides no earlier one."""
-    newest = F.max_by(F.struct("key", "region", "policy_json"), "version").alias("newest")
-    return (
-        _versions(spark, root, schemas.SNAPSHOTS, versions.committed(spark, root))
-        .where(F.col("policy_json").isNotNull())
-        .groupBy("backup_path")
-        .agg(newest)
-        .select("newest.key", "newest.region", "backup_path", "newest.policy_json")
-    )
+    """Newest backup per path since backups were last compacted: a run backs up its own targets only. A failed backup,
+    which holds no document, hides no earlier one. A path whose newest backup has different documents has two rows."""
+    held = _versions(spark, root, schemas.SNAPSHOTS, _since_whole(spark, root)).where(F.col("policy_json").isNotNull())
+    document = F.struct("policy_json", "key", "region")
+    by_version = held.groupBy("backup_path", "version").agg(F.min(document).alias("low"), F.max(document).alias("high"))
+    newest = by_version.groupBy("backup_path").agg(F.max_by(F.struct("low", "high"), "version").alias("newest"))
+    low, high = F.col("newest.low"), F.col("newest.high")
+    documents = F.when(low["policy_json"] == high["policy_json"], F.array(low)).otherwise(F.array(low, high))
+    rows = newest.select("backup_path", F.explode(documents).alias("d"))
+    return rows.select("d.key", "d.region", "backup_path", "d.policy_json")
+
+
+def compact_snapshots(spark: SparkSession, root: str) -> int:
+    """Write the newest backups as one version, so that readers open no older one. Returns their number."""
+    return _compacted(spark, root, lambda: read_policy_snapshot(spark, root).select(schemas.SNAPSHOTS.fieldNames()))
 
 
 def write_report(lines: DataFrame, root: str, version: int | None = None) -> int:
     """Report text as the next version: part files whose name order is the line order. Returns the version."""
     spark = lines.sparkSession
     version = versions.next_version(spark, root) if version is None else version
-    versions.claim(spark, root, version)
     order = [c for c in lines.columns if c != "line"]
     seen = Observation()
     counted = lines.orderBy(*order).select("line").observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("error").text(versions.folder(root, version))
-    versions.commit(spark, root, version, {"rows": seen.get["rows"]})
+    with versions.claimed(spark, root, version):
+        counted.write.mode("error").text(versions.folder(root, version))
+        versions.commit(spark, root, version, {"rows": seen.get["rows"]})
     return version
 
 

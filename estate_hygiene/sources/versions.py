@@ -1,20 +1,26 @@
 """Versions of a stored table: claimed by one writer, committed as a whole, read by number.
 
 A version is a folder ``version=N`` under the table's root. A writer first claims the number by creating a file that
-only one can create, then writes, and at last puts a commit record into the folder, a small JSON document that names the
-row count and whatever else a reader needs. Readers look at commit records alone, so a version that was lost half-way is
-never seen, and a version without rows is a result like any other.
+only one can create, then writes, and at last commits: it leaves a record, a small JSON document with the row count and
+whatever else a reader needs, and creates the commit mark, which again only one can create. Readers look for marks alone,
+so a version that was lost half-way is never seen, and a version without rows is a result like any other. A claim whose
+writer failed is abandoned, after which it cannot be committed; that of a writer that vanished stays open until someone
+abandons it.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 COMMIT = "_commit"
+RECORD = "_record"
+ABANDONED = "_abandoned"
 CLAIMS = "_claims"
 
 
@@ -56,16 +62,22 @@ def _create_alone(spark: SparkSession, name: str) -> None:
         files.create(path, False).close()
 
 
-def claim(spark: SparkSession, root: str, version: int) -> None:
-    """Make the version this writer's own."""
+def _first_to_create(spark: SparkSession, name: str) -> bool:
     from py4j.protocol import Py4JJavaError
 
     try:
-        _create_alone(spark, f"{root}/{CLAIMS}/version={version}")
+        _create_alone(spark, name)
     except (Py4JJavaError, PySparkException) as failure:
         if "AlreadyExists" not in str(failure):
             raise
-        raise VersionTaken(f"version {version} of {root} belongs to another writer") from failure
+        return False
+    return True
+
+
+def claim(spark: SparkSession, root: str, version: int) -> None:
+    """Make the version this writer's own."""
+    if not _first_to_create(spark, f"{root}/{CLAIMS}/version={version}"):
+        raise VersionTaken(f"version {version} of {root} belongs to another writer")
     if _files(spark, root).exists(_path(spark, folder(root, version))):
         raise VersionTaken(f"version {version} of {root} was begun without a claim")
 
@@ -75,9 +87,18 @@ def begun(spark: SparkSession, root: str) -> set[int]:
     return _numbers(spark, root, "version=*") | _numbers(spark, root, f"{CLAIMS}/version=*")
 
 
+def _abandoned(spark: SparkSession, root: str) -> set[int]:
+    return _numbers(spark, root, f"version=*/{ABANDONED}")
+
+
 def committed(spark: SparkSession, root: str) -> list[int]:
     """Committed versions, oldest first."""
-    return sorted(_numbers(spark, root, f"version=*/{COMMIT}"))
+    return sorted(_numbers(spark, root, f"version=*/{COMMIT}") - _abandoned(spark, root))
+
+
+def open_claims(spark: SparkSession, root: str) -> list[int]:
+    """Versions that were begun and neither committed nor abandoned: a writer is at work, or was lost."""
+    return sorted(begun(spark, root) - set(committed(spark, root)) - _abandoned(spark, root))
 
 
 def next_version(spark: SparkSession, root: str) -> int:
@@ -86,20 +107,42 @@ def next_version(spark: SparkSession, root: str) -> int:
 
 
 def commit(spark: SparkSession, root: str, version: int, record: dict[str, Any]) -> None:
-    """Make a claimed version visible. The record appears under its name when it is complete."""
-    name = f"{folder(root, version)}/{COMMIT}"
-    files, begun_name = _files(spark, name), _path(spark, f"{folder(root, version)}/_begun")
-    files.mkdirs(_path(spark, folder(root, version)))
-    out = files.create(begun_name, True)
+    """Make a claimed version visible, with its record."""
+    path = folder(root, version)
+    files = _files(spark, path)
+    files.mkdirs(_path(spark, path))
+    out = files.create(_path(spark, f"{path}/{RECORD}"), True)
     out.write(bytearray(json.dumps(record | {"version": version}, sort_keys=True).encode()))
     out.close()
-    if not files.rename(begun_name, _path(spark, name)):
+    if not _first_to_create(spark, f"{path}/{COMMIT}"):
+        raise VersionTaken(f"version {version} of {root} was committed or abandoned before")
+
+
+def abandon(spark: SparkSession, root: str, version: int) -> None:
+    """Give up a claim: its writer can no longer commit. A committed version is left as it is."""
+    path = folder(root, version)
+    mark = _path(spark, f"{path}/{ABANDONED}")
+    files = _files(spark, path)
+    files.create(mark, True).close()
+    if not _first_to_create(spark, f"{path}/{COMMIT}"):
+        files.delete(mark, False)
         raise VersionTaken(f"version {version} of {root} was committed before")
 
 
+@contextmanager
+def claimed(spark: SparkSession, root: str, version: int) -> Iterator[None]:
+    """A claim for as long as the writer is at work; abandoned if it fails."""
+    claim(spark, root, version)
+    try:
+        yield
+    except BaseException:
+        abandon(spark, root, version)
+        raise
+
+
 def record_of(spark: SparkSession, root: str, version: int) -> dict[str, Any]:
     """The commit record of a version."""
-    name = f"{folder(root, version)}/{COMMIT}"
+    name = f"{folder(root, version)}/{RECORD}"
     source = _files(spark, name).open(_path(spark, name))
     try:
         return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))

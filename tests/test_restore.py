@@ -125,3 +125,23 @@ def test_two_regions_of_one_key_keep_the_policy_that_was_restricted(spark, tmp_p
     tables.write_snapshots(policy.snapshots_of(plan), str(tmp_path))
     [row] = tables.read_policy_snapshot(spark, str(tmp_path)).collect()
     assert (row.region, json.loads(row.policy_json)["at"]) == ("eu", "eu")
+
+
+def test_a_clash_of_backups_fails_its_rows_and_no_others(spark, entries):
+    made = snapshots(spark, entries)
+    clash = made.where("key = 'p:a'").selectExpr("key", "'us' region", "backup_path", "'{}' policy_json")
+    plan = by_key(restore.plan_restore(restore.select_restore(entries, every=True), made.unionByName(clash)))
+    assert {k: (r.action, r.reason) for k, r in plan.items()} == {
+        "p:a": ("fail", "different policies for one backup path"), "p:b": ("restore", None),
+    }
+
+
+def test_a_clash_of_backups_stops_the_restriction_that_needs_them(spark):
+    targets, documents = audit(spark, {"dataset": "d"}, {"dataset": "e"}), policies(spark, {"p:d": '{"access":[]}', "p:e": '{"access":[]}'})
+    plan = lifecycle.plan_scream_test(targets, state(spark), documents, NOW, "gs://bucket")
+    stored = policy.snapshots_of(plan)
+    clash = stored.where("key = 'p:d'").selectExpr("key", "'us' region", "backup_path", "'{}' policy_json")
+    found = by_key(lifecycle.require_backup(plan, stored.unionByName(clash)))
+    assert {k: (r.action, r.reason) for k, r in found.items()} == {
+        "p:d": ("fail", "different policies for one backup path"), "p:e": ("restrict", None),
+    }

@@ -146,11 +146,45 @@ def test_newest_snapshot_per_path(spark, tmp_path):
     assert sorted(records(tables.read_policy_snapshot(spark, root))) == [("p:a", "eu", "x/a", "new"), ("p:b", "eu", "x/b", "only")]
 
 
-def test_two_policies_for_one_path_are_refused(spark, tmp_path):
-    clash = frame(spark, schemas.SNAPSHOTS, [])
-    clash = spark.createDataFrame([("p:a", "eu", "x/a", "1"), ("p:a", "us", "x/a", "2")], clash.schema)
-    with pytest.raises(Exception, match="different policies"):
-        tables.write_snapshots(clash, str(tmp_path / "clash"))
+def test_two_policies_for_one_path_are_both_kept(spark, tmp_path):
+    root = str(tmp_path / "snapshots")
+    make = lambda *rows: spark.createDataFrame(list(rows), schemas.SNAPSHOTS)
+    tables.write_snapshots(make(("p:a", "eu", "x/a", "1"), ("p:a", "us", "x/a", "2"), ("p:b", "eu", "x/b", "3"), ("p:b", "us", "x/b", "3")), root)
+    expected = [("p:a", "eu", "x/a", "1"), ("p:a", "us", "x/a", "2"), ("p:b", "eu", "x/b", "3")]
+    assert sorted(records(tables.read_policy_snapshot(spark, root))) == expected
+    assert tables.compact_snapshots(spark, root) == 3
+    tables.write_snapshots(make(("p:a", "eu", "x/a", "4")), root)
+    assert sorted(records(tables.read_policy_snapshot(spark, root))) == [("p:a", "eu", "x/a", "4"), ("p:b", "eu", "x/b", "3")]
+
+
+def test_changes_fold_to_the_newest_record_of_a_key(spark, tmp_path):
+    root = str(tmp_path / "state")
+    tables.append_state(state(spark, {"key": "p:a"}), root)
+    tables.write_state(state(spark, {"key": "p:b"}, {"key": "p:c"}), root)
+    tables.append_state(state(spark, {"key": "p:b", "status": "deleted"}, {"key": "p:d"}), root)
+    tables.append_state(state(spark, {"key": "p:b", "status": "restored", "tranche": None}), root)
+    expected = [("p:b", "restored", None), ("p:c", "scream_test", state(spark, {"key": "p:c"}).first().tranche)]
+    assert sorted(records(tables.read_state(spark, root).where("key < 'p:d'"), "key", "status", "tranche")) == expected
+    before = sorted(records(tables.read_state(spark, root), "key", "status", "seq"))
+    assert tables.compact_state(spark, root) == 3 and versions.committed(spark, root) == [1, 2, 3, 4, 5]
+    after = tables.read_state(spark, root)
+    assert sorted(records(after, "key", "status", "seq")) == before and len(after.inputFiles()) <= 4
+    assert all("version=5" in f for f in after.inputFiles())
+
+
+def test_compaction_waits_for_changes_that_are_being_written(spark, tmp_path):
+    root = str(tmp_path / "state")
+    tables.write_state(state(spark, {"key": "p:a"}), root)
+    versions.claim(spark, root, 2)  # by a writer that vanished
+    tables.append_state(state(spark, {"key": "p:b"}), root)
+    with pytest.raises(versions.VersionTaken):
+        tables.compact_state(spark, root)
+    versions.abandon(spark, root, 2)
+    with pytest.raises(versions.VersionTaken):
+        versions.commit(spark, root, 2, {"rows": 0})
+    with pytest.raises(versions.VersionTaken):
+        versions.abandon(spark, root, 3)
+    assert tables.compact_state(spark, root) == 2 and versions.committed(spark, root) == [1, 3, 4]
 
 
 def test_a_version_that_was_not_committed_is_not_read(spark, tmp_path):
