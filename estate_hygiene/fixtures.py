@@ -243,3 +243,44 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     attempts = scopes(spark, sf_dir).select("project_id", "region", source)
     denied = (F.col("project_id") == "ASIA") & (F.col("region") == "eu") & (F.col("source") != "METADATA")
     return attempts.select("*", (~denied).alias("ok"), F.when(denied, "403 Access Denied").alias("error"))
+
+
+#: The order of the hand-kept sheet: nothing like the order of tranches.
+SHEET_ORDER = (F.desc, "dataset"), (F.asc, "project"), (F.asc, "region"), (F.asc, "copy")
+
+
+def hand_kept_sheet(control: DataFrame) -> DataFrame:
+    """The control table as a person might keep it: in an order of its own, every third dataset entered a second time
+    with another size and label. ``copy`` tells the entries apart."""
+    rows = control.drop("history_ok", "seq").withColumn("copy", F.lit(0))
+    again = rows.where(F.pmod(gid_of(F.col("dataset")), F.lit(3)) == 0)
+    later = {"copy": F.lit(1), "size_gb": F.col("size_gb") + 1, "tranche": F.lit("Tranche 1: Seen Again")}
+    return rows.unionByName(again.withColumns(later))
+
+
+def write_sheet(sheet: DataFrame, folder: str) -> None:
+    """The sheet as three CSV files whose names are in its order."""
+    order = [of(name) for of, name in SHEET_ORDER]
+    files = sheet.repartitionByRange(3, *order).sortWithinPartitions(*order).drop("copy")
+    files.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(folder)
+
+
+def break_estate(spark: SparkSession, root: str) -> None:
+    """Damage an estate on disk: the catalogue of AFRICA in eu is overwritten with something else, the job log of ASIA in
+    europe-west2 is gone, and that of EUROPE in eu is cut short."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+
+    def folder(table: str, project: str, region: str):
+        return hadoop.Path(f"{root}/{table}/project_id={project}/region={region}")
+
+    def files(path) -> list:
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return [(system, s.getPath()) for s in system.listStatus(path) if s.getPath().getName().startswith("part-")]
+
+    for path, text in ((folder("schemata", "AFRICA", "eu"), b"no table at all"), (folder("jobs", "EUROPE", "eu"), b"PAR1")):
+        for system, file in files(path):
+            out = system.create(file, True)
+            out.write(bytearray(text))
+            out.close()
+    gone = folder("jobs", "ASIA", "europe-west2")
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)

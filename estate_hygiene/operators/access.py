@@ -13,6 +13,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from estate_hygiene.functions.timestamps import days_before, minute_text
+from estate_hygiene.operators.membership import may_be_member, membership
 
 LOOKBACK_DAYS = 180
 EVENTS_KEPT = 5
@@ -67,6 +68,11 @@ def write_events(jobs: DataFrame, as_of: datetime | str, days: int = LOOKBACK_DA
 
 
 def access_events(jobs: DataFrame, as_of: datetime | str, days: int = LOOKBACK_DAYS) -> DataFrame:
+    """Reads and writes of the look-back window, told apart by ``is_write``."""
+    return events_of(within_days(jobs, "creation_time", as_of, days))
+
+
+def events_of(jobs: DataFrame) -> DataFrame:
     """Reads and writes in one pass over the job log, told apart by ``is_write``.
 
     The destination goes in front of the references, so position 0 of the exploded array is the write.
@@ -83,7 +89,7 @@ def access_events(jobs: DataFrame, as_of: datetime | str, days: int = LOOKBACK_D
         F.arrays_zip(F.col("referenced_tables.project_id"), F.col("referenced_tables.dataset_id")),
         F.array().cast(_NO_REFERENCES),
     )
-    exploded = within_days(jobs, "creation_time", as_of, days).select(
+    exploded = jobs.select(
         "project_id",
         "region",
         "creation_time",
@@ -156,7 +162,11 @@ def access_summary(
     days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
     """Reads and writes of each dataset side by side; null where there were none."""
-    newest = top_k_access(access_events(jobs, as_of, days), (*DATASET, "is_write"), k)
+    return summary_of(top_k_access(access_events(jobs, as_of, days), (*DATASET, "is_write"), k))
+
+
+def summary_of(newest: DataFrame) -> DataFrame:
+    """One row per dataset from its newest events, numbered in ``rn`` by kind."""
     read, write = ~F.col("is_write"), F.col("is_write")
     per_dataset = newest.groupBy(*DATASET).agg(
         F.max(F.when(read, F.col("creation_time"))).alias("last_read_time"),
@@ -178,11 +188,13 @@ def last_access_by_table(
     as_of: datetime | str,
     days: int = LOOKBACK_DAYS,
     match_project: bool = False,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Last reference to each table, within the scope of the job log that names it.
 
     By default the project of the reference is not looked at: a table of the same dataset and name in
-    another project counts as use. References fold to one row per table in each map task.
+    another project counts as use. References fold to one row per table in each map task. With ``among``, rows of the
+    same four keys, references to other tables are dropped where they are read, but for a few that share a hash.
     """
     recent = within_days(jobs, "creation_time", as_of, days)
     exploded = recent.select("project_id", "region", "creation_time", F.explode("referenced_tables").alias("ref"))
@@ -196,4 +208,6 @@ def last_access_by_table(
         F.col("ref.table_id").alias("table_name"),
         "creation_time",
     )
+    if among is not None:
+        references = references.where(may_be_member(membership(among, keys), [F.col(c) for c in keys]))
     return references.groupBy(*keys).agg(F.max("creation_time").alias("last_accessed"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estate_hygiene.functions.names import is_number_like
-from estate_hygiene.operators.ordering import sheet_position
+from estate_hygiene.operators.ordering import numbered, sheet_position
 
 CONFIRMED = "CONFIRMED"
 
@@ -26,10 +26,18 @@ def confirmed(audit: DataFrame) -> DataFrame:
     return audit.where(contains_confirmed(F.col("deletion_status")) & known)
 
 
+def _first_seen(audit: DataFrame) -> DataFrame:
+    return audit.groupBy("tranche").agg(F.min(sheet_position(audit)).alias("first"))
+
+
 def list_tranches(audit: DataFrame) -> DataFrame:
     """Distinct tranche labels, null included, in order of first appearance."""
-    first = audit.groupBy("tranche").agg(F.min(sheet_position(audit)).alias("first"))
-    return first.orderBy("first").select("tranche")
+    return _first_seen(audit).orderBy("first").select("tranche")
+
+
+def tranche_places(audit: DataFrame) -> DataFrame:
+    """``tranche, place``: the labels numbered by first appearance."""
+    return numbered(_first_seen(audit), [F.col("first")]).select("tranche", "place")
 
 
 def resolve_tranche(audit: DataFrame, text: str) -> DataFrame:

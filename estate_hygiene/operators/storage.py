@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from estate_hygiene.functions.names import clean_description
 from estate_hygiene.functions.numbers import bytes_to_gb
 from estate_hygiene.operators.access import MOST_KEPT
+from estate_hygiene.operators.ordering import numbered
 
 TABLES_PER_SCOPE = 100
 SIZE_CLASSES = 8
@@ -71,18 +72,30 @@ def _at_least_top(sized: DataFrame, top_n: int) -> DataFrame:
     return classed.join(least, scope).where(F.col("size_class") >= F.col("least_class")).drop("size_class", "least_class")
 
 
+def _by_size() -> list[Column]:
+    return [F.col("size_gb").desc(), F.col("dataset_id"), F.col("table_name")]
+
+
+def _selected(sized: DataFrame, top_n: int) -> DataFrame:
+    """The ``top_n`` largest of each scope by places in the order of all tables: a scope, and a size that many tables of
+    it share, lie in several ranges of that order. A scope's first place comes with one value for each scope."""
+    scope = ["project_id", "region"]
+    placed = numbered(_at_least_top(sized, top_n), [*map(F.col, scope), *_by_size()], name="place")
+    firsts = placed.groupBy(*scope).agg(F.min("place").alias("first"))
+    first_of = firsts.agg(F.map_from_entries(F.collect_list(F.struct(F.struct(*scope), "first")))).scalar()
+    ranked = placed.withColumn("size_rank", F.col("place") - first_of[F.struct(*scope)] + 1).drop("place")
+    return ranked.where(F.col("size_rank") <= top_n)
+
+
 def largest_tables(tables: DataFrame, storage: DataFrame, top_n: int = TABLES_PER_SCOPE) -> DataFrame:
     """The ``top_n`` largest tables of each scope, numbered in ``size_rank``.
 
-    Up to MOST_KEPT Spark cuts each map task to the rows asked for. For more, tables are first counted by
-    their size to the nearest eighth of a doubling, and those smaller than the classes that hold ``top_n`` are
-    dropped where they are read, so that a large scope does not meet in one task.
+    Up to MOST_KEPT Spark cuts each map task to the rows asked for, so that a scope's task meets a few rows of each. For
+    more, tables are first counted by their size to the nearest eighth of a doubling; those smaller than the classes
+    that hold ``top_n`` are dropped where they are read, and the rest get their places in two passes.
     """
-    by_size = Window.partitionBy("project_id", "region").orderBy(
-        F.col("size_gb").desc(), "dataset_id", "table_name"
-    )
     sized = nonempty_tables(tables, storage)
     if top_n > MOST_KEPT:
-        sized = _at_least_top(sized, top_n)
-    ranked = sized.withColumn("size_rank", F.row_number().over(by_size))
-    return ranked.where(F.col("size_rank") <= top_n)
+        return _selected(sized, top_n)
+    by_size = Window.partitionBy("project_id", "region").orderBy(*_by_size())
+    return sized.withColumn("size_rank", F.row_number().over(by_size)).where(F.col("size_rank") <= top_n)

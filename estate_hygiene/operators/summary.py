@@ -59,9 +59,12 @@ def reader_summary(candidates: DataFrame) -> DataFrame:
         F.max("last_read_when").alias("last_read")
     )
     readers = names.groupBy("reader").agg(F.count("dataset").alias("datasets"), F.max("last_read").alias("last_read"))
-    return readers.withColumn("pattern", read_pattern(F.col("reader"), F.col("datasets"))).orderBy(
-        F.col("datasets").desc(), "reader"
-    )
+    return readers.withColumn("pattern", read_pattern(F.col("reader"), F.col("datasets"))).orderBy(*reader_order())
+
+
+def reader_order() -> list[Column]:
+    """Rows of the reader summary: busiest first."""
+    return [F.col("datasets").desc(), F.col("reader")]
 
 
 def unread_datasets(candidates: DataFrame) -> DataFrame:

@@ -122,8 +122,23 @@ def _unless_known(found: Column, otherwise: str, coverage: DataFrame | None, req
     return F.when(F.col("history_ok"), found).otherwise(otherwise)
 
 
-def _ties() -> list[str]:
-    return ["project", "region", "dataset"]
+def _ties() -> list[Column]:
+    return [F.col("project"), F.col("region"), F.col("dataset")]
+
+
+def access_order() -> list[Column]:
+    """Rows of the access audit: most urgent, then largest first."""
+    return [rank_of(F.col("priority"), PRIORITIES), F.col("size_gb").desc_nulls_last(), *_ties()]
+
+
+def tranche_order() -> list[Column]:
+    """Rows of the tranche audit: by tranche, then largest first."""
+    return [rank_of(F.col("tranche"), TRANCHES).asc_nulls_last(), F.col("size_gb").desc_nulls_last(), *_ties()]
+
+
+def waste_order() -> list[Column]:
+    """Rows of the table audit: most wasteful first."""
+    return [F.col("monthly_waste").desc(), *_ties(), F.col("table_name")]
 
 
 def access_audit(
@@ -150,7 +165,7 @@ def access_audit(
         _unless_known(F.col("priority"), NO_HISTORY_PRIORITY, coverage, require_history).alias("priority"),
         _unless_known(F.col("action"), NO_HISTORY_ACTION, coverage, require_history).alias("action"),
         *_flags(coverage),
-    ).orderBy(rank_of(F.col("priority"), PRIORITIES), F.col("size_gb").desc_nulls_last(), *_ties())
+    ).orderBy(*access_order())
 
 
 def tranche_audit(
@@ -181,7 +196,7 @@ def tranche_audit(
         *_details(),
         wall_clock(F.col("last_storage_modified")).alias("last_storage_update"),
         *_flags(coverage),
-    ).orderBy(rank_of(F.col("tranche"), TRANCHES).asc_nulls_last(), F.col("size_gb").desc_nulls_last(), *_ties())
+    ).orderBy(*tranche_order())
 
 
 def deep_history_audit(
@@ -248,11 +263,13 @@ def stale_table_audit(
 ) -> DataFrame:
     """Old tables among the largest of each scope that no recent job referenced; most wasteful first.
 
-    The cut to ``top_n`` comes before the usage test, so smaller unused tables are never listed.
+    The cut to ``top_n`` comes before the usage test, so smaller unused tables are never listed, and references to
+    tables that are no candidates are dropped before their shuffle.
     """
     largest = largest_tables(scope(tables, projects, regions), scope(storage, projects, regions), top_n)
     candidates = largest.where(floor_days(instant(as_of), F.col("creation_time")) > days)
-    usage = last_access_by_table(scope(jobs, projects, regions), as_of, days)
+    keys = candidates.select(*_KEYS, "table_name")
+    usage = last_access_by_table(scope(jobs, projects, regions), as_of, days, among=keys)
     unused = candidates.join(usage, [*_KEYS, "table_name"], "left_anti")
     size = F.col("size_gb")
     return _readable(unused, coverage).select(
@@ -268,7 +285,7 @@ def stale_table_audit(
         _unless_known(F.lit(ZOMBIE_ACTION), NO_HISTORY_ACTION, coverage, require_history).alias("action"),
         monthly_cost(size).alias("monthly_waste"),
         *_flags(coverage),
-    ).orderBy(F.col("monthly_waste").desc(), "project", "region", "dataset", "table_name")
+    ).orderBy(*waste_order())
 
 
 def with_headers(audit: DataFrame, headers: Sequence[str]) -> DataFrame:

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
+from functools import reduce
 from threading import RLock
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from estate_hygiene import fixtures as fx
-from estate_hygiene.functions.names import dataset_key
-from estate_hygiene.functions.timestamps import wall_clock
-from estate_hygiene.operators.ordering import sheet_order
+from estate_hygiene.functions.names import bucket_of, dataset_key
+from estate_hygiene.functions.timestamps import utc, wall_clock
+from estate_hygiene.operators.ordering import numbered, sheet_order
 from estate_hygiene.operators import access, lifecycle, policy, report, restore, selection, storage, summary
 from estate_hygiene.plans import audits
 from estate_hygiene.session import own_folder, use_utc
-from estate_hygiene.sources import estate, tables
+from estate_hygiene.sources import access_days, estate, tables, versions
 
 AS_OF = fx.AS_OF
 ORGANISATIONS = {"A": "first.example.com"}
@@ -26,7 +28,7 @@ _folders: dict[tuple[str, str, str], str] = {}
 _folders_lock = RLock()
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], int]) -> str:
+def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
     """Folder of a table that ``write`` fills once per application, in the shared folder of the cluster.
 
     Steps of the workflow meet in stored tables, as they do in use: lifecycle, reports and summaries read the
@@ -323,8 +325,186 @@ def estate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sheet_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each dataset among those of its project, in the order of the control sheet."""
     control = control_table(spark, sf_dir)
-    place = F.row_number().over(Window.partitionBy("project").orderBy(*sheet_order()))
-    return control.select("project", "region", "dataset", place.cast("bigint").alias("place"))
+    placed = numbered(control.select("project", "region", "dataset", "tranche", "size_gb"), [F.col("project"), *sheet_order()])
+    firsts = placed.groupBy(F.col("project").alias("of")).agg(F.min("place").alias("first"))
+    found = placed.join(firsts, F.col("project") == F.col("of"))
+    return found.select("project", "region", "dataset", (F.col("place") - F.col("first") + 1).alias("place"))
+
+
+def _places(audit: DataFrame, order: list, *keys: str) -> DataFrame:
+    return numbered(audit, order).select(*keys, "place")
+
+
+def access_audit_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the access audit in their order."""
+    return _places(access_audit(spark, sf_dir), audits.access_order(), "project", "region", "dataset", "priority")
+
+
+def tranche_audit_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the tranche audit in their order."""
+    return _places(tranche_audit(spark, sf_dir), audits.tranche_order(), "project", "region", "dataset", "tranche")
+
+
+def stale_table_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the table audit in their order."""
+    return _places(stale_tables(spark, sf_dir), audits.waste_order(), "project", "region", "dataset", "table_name")
+
+
+def reader_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the reader summary in their order."""
+    return _places(reader_summary(spark, sf_dir), summary.reader_order(), "reader", "datasets")
+
+
+def empty_plan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plan and a state stored, stored again without rows, and stored once more: what is read after each."""
+    plan, state = _stored_scream_plan(spark, sf_dir), fx.state(control_table(spark, sf_dir))
+    roots = {"plan": own_folder(spark, "emptied-plan"), "state": own_folder(spark, "emptied-state")}
+    found = []
+    for step, keep in enumerate((F.lit(True), F.lit(False), F.col("project") != "ASIA"), 1):
+        tables.write_version(plan.where(keep), roots["plan"])
+        tables.write_state(state.where(keep), roots["state"])
+        reads = {"plan": tables.read_latest(spark, roots["plan"], plan.schema), "state": tables.read_state(spark, roots["state"])}
+        found += [df.agg(F.lit(name).alias("name"), F.lit(step).cast("bigint").alias("step"), F.count(F.lit(1)).alias("rows")) for name, df in reads.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def written_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts that the writers of audit, state and backups have left, version by version."""
+    root = own_folder(spark, "counted")
+    control = control_table(spark, sf_dir)
+    tables.write_audit(control, f"{root}/audit")
+    tables.write_audit(control.where(F.col("deletion_status") == "REVIEW"), f"{root}/audit")
+    tables.write_state(fx.state(control), f"{root}/state")
+    tables.append_state(fx.state(control).where(F.col("status") == "restored"), f"{root}/state")
+    tables.write_snapshots(policy_snapshot(spark, sf_dir), f"{root}/backups")
+    counts = [versions.history(spark, f"{root}/{name}").select(F.lit(name).alias("name"), "version", "rows") for name in ("audit", "state", "backups")]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def bundle_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts of an exported bundle, one member of which was replaced."""
+    root = own_folder(spark, "bundle")
+    audit = tranche_audit(spark, sf_dir)
+    tables.write_bundle(audit, root)
+    tables.write_member(audit.where(F.col("project") != "ASIA"), root, "audit_results")
+    readme, results = tables.read_member(spark, root, "readme"), tables.read_member(spark, root, "audit_results")
+    texts = F.concat_ws("|", "description", "tranche", "priority", "last_reads", "last_writes")
+    return readme.select(
+        F.lit("readme").alias("member"), F.col("category").alias("name"), F.concat("definition", F.lit(": "), "detail").alias("text")
+    ).unionByName(results.select(F.lit("audit_results").alias("member"), F.concat_ws(":", "project", "region", "dataset").alias("name"), texts.alias("text")))
+
+
+def _sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(root: str) -> None:
+        fx.write_sheet(fx.hand_kept_sheet(control_table(spark, sf_dir)), f"{root}/sheet")
+
+    return tables.read_audit_csv(spark, f"{_stored(spark, sf_dir, 'sheet', write)}/sheet")
+
+
+def sheet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hand-kept sheet of several files with repeated keys: its tranches in order of appearance, the first that "1" means,
+    and the size that counts for each key."""
+    sheet = _sheet(spark, sf_dir)
+    none = F.lit(None).cast("double").alias("size_gb")
+    listed = selection.tranche_places(sheet).select(F.lit("tranche").alias("kind"), F.col("tranche").alias("name"), "place", none)
+    meant = selection.resolve_tranche(sheet, "1").select(F.lit("meant by 1").alias("kind"), F.col("tranche").alias("name"), F.lit(1).cast("bigint").alias("place"), none)
+    sizes = report.audit_context(sheet).select(F.lit("key").alias("kind"), F.col("key").alias("name"), F.lit(None).cast("bigint").alias("place"), "size_gb")
+    return listed.unionByName(meant).unionByName(sizes)
+
+
+def repeated_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scream-test plan of a sheet in which datasets are entered twice: each is restricted once."""
+    targets = selection.confirmed(_sheet(spark, sf_dir))
+    plan = lifecycle.plan_scream_test(targets, fx.state(control_table(spark, sf_dir)), fx.policies(spark, sf_dir), AS_OF, fx.BACKUP_ROOT)
+    return plan.groupBy("key", "action", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def broken_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An estate on disk, parts of which cannot be read: what the readers' own ledger says of each scope, and how many
+    datasets, confirmed datasets and tables the audits find there."""
+    root = own_folder(spark, "broken")
+    made = {"schemata": fx.schemata, "schema_options": fx.schema_options, "table_storage": fx.table_storage, "tables": fx.tables, "jobs": fx.jobs}
+    for name, make in made.items():
+        estate.write_by_scope(make(spark, sf_dir), f"{root}/{name}")
+    fx.break_estate(spark, root)
+    wanted = [(p, r) for p in fx.PROJECTS for r in fx.REGIONS]
+    found = estate.load_estate(spark, root, wanted)
+    scopes = spark.createDataFrame(wanted, "project_id string, region string")
+    coverage = estate.scope_coverage(scopes, found.loads)
+    audit = audits.deep_history_audit(
+        found.schemata, found.schema_options, found.table_storage, found.jobs, AS_OF, coverage=coverage, require_history=True, ordered=False
+    )
+    stale = audits.stale_table_audit(found.tables, found.table_storage, found.jobs, AS_OF, coverage=coverage)
+    datasets = audit.groupBy("project", "region").agg(
+        F.count(F.lit(1)).alias("datasets"),
+        F.count_if(selection.contains_confirmed(F.col("deletion_status"))).alias("confirmed"),
+        F.count_if(F.col("last_reads") != audits.NO_READS).alias("read"),
+    )
+    unused = stale.groupBy("project", F.regexp_replace("region", "^region-", "").alias("region")).agg(F.count(F.lit(1)).alias("unused_tables"))
+    per_scope = coverage.withColumnRenamed("project_id", "project").join(datasets, ["project", "region"], "left").join(unused, ["project", "region"], "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("datasets", "confirmed", "read", "unused_tables")]
+    return per_scope.select("project", "region", "metadata_ok", "history_ok", *counts)
+
+
+def incremental_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The access summary from days that were folded one after another: the window first, then two more days."""
+    root, end = own_folder(spark, "days"), utc(AS_OF).date()
+    first = end - timedelta(days=access.LOOKBACK_DAYS)
+    for start, last in ((first, end - timedelta(days=2)), (end - timedelta(days=1),) * 2, (end,) * 2):
+        access_days.fold_days(fx.jobs(spark, sf_dir), root, start, last)
+    found = _dataset_as(access_days.access_summary(spark, root, AS_OF))
+    return found.withColumns({c: wall_clock(F.col(c)) for c in ("last_read_time", "last_write_time")})
+
+
+def many_largest_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 1,500 largest tables of each scope where a few sizes are shared by all tables."""
+    sizes = fx.table_storage(spark, sf_dir).withColumn("total_logical_bytes", F.pmod("total_logical_bytes", F.lit(7)) + 1)
+    found = storage.largest_tables(fx.tables(spark, sf_dir), sizes, 1_500)
+    return _dataset_as(found).select("project", "region", "dataset", "table_name", "size_gb", "size_rank")
+
+
+def state_after_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after a scream test, a purge and a restore, each of which adds its changes only, compacted on the way."""
+    root = own_folder(spark, "batches")
+    plan = _stored_scream_plan(spark, sf_dir)
+    tables.write_state(fx.state(control_table(spark, sf_dir)), root)
+    tables.append_state(lifecycle.scream_test_changes(tables.read_state(spark, root), plan, fx.outcomes(plan), AS_OF), root)
+    now = tables.read_state(spark, root)
+    tables.append_state(lifecycle.purge_changes(now, fx.outcomes(lifecycle.plan_purge(now, AS_OF)), AS_OF), root)
+    tables.compact_state(spark, root)
+    now = tables.read_state(spark, root)
+    back = restore.select_restore(now, every=True).withColumn("action", F.lit("restore"))
+    tables.append_state(lifecycle.restore_changes(now, fx.outcomes(back), AS_OF), root)
+    return _state_out(tables.read_state(spark, root))
+
+
+def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the report as they stand in the files that were written."""
+    root = own_folder(spark, "report")
+    control = control_table(spark, sf_dir)
+    tables.write_report(report.render_report(fx.state(control), control, AS_OF), root)
+    return tables.read_report(spark, root)
+
+
+def report_without_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's lines of datasets that the audit does not know, and of a state without entries."""
+    control = control_table(spark, sf_dir)
+    state = fx.state(control)
+    unknown = report.render_report(state.where(F.col("project") == "ASIA"), control.where(F.col("project") != "ASIA"), AS_OF).where("key <> ''")
+    empty = report.render_report(state.where(F.lit(False)), control, AS_OF)
+    return unknown.select("key", "line").unionByName(empty.where("part = 5").select("key", "line"))
+
+
+def deep_audit_unknown_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deep audit where a dataset whose last modification is unknown counts as neither abandoned nor stale."""
+    found = deep_history_audit(spark, sf_dir, null_storage="unknown", ordered=False)
+    return found.select("project", "region", "dataset", "tranche", "priority", "days_since_activity", "days_since_modified", "last_storage_update", "deletion_status")
+
+
+def backup_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets that hold the backups of the state."""
+    paths = fx.state(control_table(spark, sf_dir)).select(bucket_of(F.col("backup_path")).alias("bucket"))
+    return paths.groupBy("bucket").agg(F.count(F.lit(1)).alias("backups"))
 
 
 def _stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -513,6 +693,23 @@ _QUERIES = (
     audit_without_history,
     estate_roundtrip,
     sheet_ranks,
+    access_audit_places,
+    tranche_audit_places,
+    stale_table_places,
+    reader_places,
+    empty_plan_roundtrip,
+    written_rows,
+    bundle_roundtrip,
+    sheet_roundtrip,
+    repeated_targets,
+    broken_scopes,
+    incremental_access,
+    many_largest_tables,
+    state_after_batches,
+    report_roundtrip,
+    report_without_context,
+    deep_audit_unknown_storage,
+    backup_buckets,
     status_rows,
     status_counts,
     status_totals,

@@ -256,5 +256,117 @@ _QUERIES: dict[str, str] = {
 }
 
 
+_NEW_SIZES = """
+  SELECT project_id, region, dataset_id, table_name, (bytes % 7 + 1) / 1024 / 1024 / 1024 AS size,
+         row_number() OVER (PARTITION BY project_id, region ORDER BY bytes % 7 DESC, dataset_id, table_name) AS size_rank
+  FROM tables JOIN storage USING (project_id, region, dataset_id, table_name)"""
+_SHEET = """
+  SELECT *, row_number() OVER (ORDER BY dataset DESC, project, region, copy) AS seq FROM (
+    SELECT key, project, region, dataset, tranche, size_gb, 0 AS copy, deletion_status, gid FROM numbered
+    UNION ALL
+    SELECT key, project, region, dataset, 'Tranche 1: Seen Again', size_gb + 1, 1, deletion_status, gid FROM numbered WHERE gid % 3 = 0)"""
+_UNKNOWN = """
+  SELECT *, CASE WHEN touched > 365 THEN CASE WHEN is_test THEN 'Tranche 1: Abandoned Test/Temp (>1yr)'
+                   WHEN COALESCE(size, 0) > 100 THEN 'Tranche 2: Abandoned Large Prod (>1yr)' ELSE 'Tranche 3: Abandoned Small Prod (>1yr)' END
+                 WHEN idle > 180 THEN 'Tranche 4: Stale (No Access 180d, No Write >6mo)'
+                 WHEN is_test THEN 'Tranche 5: Active Test (Housekeeping)' ELSE 'Active' END AS class
+  FROM aged"""
+_NAMES = "test/temp/tmp/demo/poc/beta"
+_ENTERED = f"SELECT key FROM targets WHERE state_status IS NULL AND {_OK}"
+_QUERIES |= {
+    "access_audit_places": f"""
+      SELECT project, region, dataset, priority, row_number() OVER (ORDER BY CASE priority WHEN 'Critical' THEN 0 WHEN 'High' THEN 1
+        WHEN 'Medium' THEN 2 ELSE 3 END, size_gb DESC NULLS LAST, project, region, dataset) AS place FROM ({_QUERIES["access_audit"]})""",
+    "tranche_audit_places": f"""
+      SELECT project, region, dataset, tranche, row_number() OVER (ORDER BY CASE left(tranche, 9) WHEN 'Tranche 1' THEN 0 WHEN 'Tranche 2' THEN 1
+        WHEN 'Tranche 3' THEN 2 WHEN 'Tranche 4' THEN 3 ELSE CASE tranche WHEN 'Active' THEN 5 ELSE 4 END END,
+        size_gb DESC NULLS LAST, project, region, dataset) AS place FROM ({_QUERIES["tranche_audit"]})""",
+    "stale_table_places": f"""
+      SELECT project, region, dataset, table_name, row_number() OVER (ORDER BY monthly_waste DESC, project, region, dataset, table_name) AS place
+      FROM ({_QUERIES["stale_tables"]})""",
+    "reader_places": "SELECT reader, datasets, row_number() OVER (ORDER BY datasets DESC, reader) AS place FROM readers",
+    "empty_plan_roundtrip": """
+      SELECT 'plan' AS name, CAST(1 AS BIGINT) AS step, count(*) AS rows FROM targets UNION ALL
+      SELECT 'plan', 2, 0 UNION ALL SELECT 'plan', 3, count(*) FROM targets WHERE project <> 'ASIA' UNION ALL
+      SELECT 'state', 1, count(*) FROM state UNION ALL
+      SELECT 'state', 2, 0 UNION ALL SELECT 'state', 3, count(*) FROM state WHERE project <> 'ASIA'""",
+    "written_rows": """
+      SELECT 'audit' AS name, CAST(1 AS BIGINT) AS version, count(*) AS rows FROM control UNION ALL
+      SELECT 'audit', 2, count(*) FROM control WHERE deletion_status = 'REVIEW' UNION ALL
+      SELECT 'state', 1, count(*) FROM state UNION ALL SELECT 'state', 2, count(*) FROM state WHERE status = 'restored' UNION ALL
+      SELECT 'backups', 1, count(*) FROM state""",
+    "bundle_roundtrip": f"""
+      SELECT * FROM (VALUES
+        ('readme', 'Tranche 1', 'Stale Test/Temp: The name holds one of {_NAMES}, and nothing read or wrote it for 180 days. First to go.'),
+        ('readme', 'Tranche 2', 'High Saving Stale: Other datasets over 100 GB without access for 180 days. They save the most.'),
+        ('readme', 'Tranche 3', 'Stale Production: Other datasets up to 100 GB without access for 180 days.'),
+        ('readme', 'Tranche 4', 'Active Test/Temp: The name holds one of {_NAMES}, but the dataset is in use. For review.'),
+        ('readme', 'Column: Description', 'Dataset Metadata: The description among the options of the dataset, which may name an owner or a purpose.'),
+        ('readme', 'Column: Last 5 Access', 'Audit Trail: The newest 5 jobs that read or wrote the dataset, each with its time and user.'),
+        ('readme', 'Column: Monthly Cost', 'Financial Impact: An estimate at $0.02 per GB and month.')) t(member, name, text)
+      UNION ALL
+      SELECT 'audit_results', project || ':' || region || ':' || dataset,
+             description || '|' || tranche || '|' || priority || '|' || last_reads || '|' || last_writes
+      FROM ({_QUERIES["tranche_audit"]}) WHERE project <> 'ASIA'""",
+    "sheet_roundtrip": f"""
+      , sheet AS ({_SHEET}),
+      labels AS (SELECT tranche, row_number() OVER (ORDER BY min(seq)) AS place FROM sheet GROUP BY tranche)
+      SELECT 'tranche' AS kind, tranche AS name, place, CAST(NULL AS DOUBLE) AS size_gb FROM labels UNION ALL
+      SELECT 'meant by 1', arg_min(tranche, place), 1, NULL FROM labels WHERE starts_with(tranche, 'Tranche 1:') UNION ALL
+      SELECT 'key', key, NULL, arg_max(size_gb, seq) FROM sheet GROUP BY key""",
+    "repeated_targets": f"""
+      , sheet AS ({_SHEET}),
+      found AS (SELECT s.key, t.status, row_number() OVER (PARTITION BY s.key ORDER BY seq) AS nth FROM sheet s
+                LEFT JOIN (SELECT key, status FROM state WHERE status IN ('deleted', 'scream_test')) t USING (key)
+                WHERE contains(deletion_status, 'CONFIRMED')),
+      judged AS (SELECT key, CASE WHEN status IS NULL AND nth = 1 THEN 'restrict' ELSE 'skip' END AS action,
+                        CASE WHEN status IS NOT NULL THEN 'already processed (Status: ' || status || ')' WHEN nth > 1 THEN 'repeated key' END AS reason
+                 FROM found)
+      SELECT key, action, reason, count(*) AS rows FROM judged GROUP BY ALL""",
+    "broken_scopes": f"""
+      , scopes AS (SELECT DISTINCT project_id AS project, region, NOT (project_id = 'AFRICA' AND region = 'eu') AS metadata_ok,
+                     NOT ((project_id = 'ASIA' AND region = 'europe-west2') OR (project_id = 'EUROPE' AND region = 'eu')) AS history_ok FROM datasets),
+      unread AS (SELECT t.project_id AS project, t.region, count(*) AS n FROM ({_BIGGEST}) t JOIN scopes s ON s.project = t.project_id AND s.region = t.region
+                 WHERE metadata_ok AND size_rank <= 100 AND {floor_days(AS_OF, "creation_time")} > 180
+                   AND NOT (history_ok AND EXISTS (SELECT 1 FROM refs r WHERE r.project_id = t.project_id AND r.region = t.region
+                            AND r.dataset_id = t.dataset_id AND r.table_name = t.table_name)) GROUP BY ALL),
+      found AS (SELECT project, region, count(*) AS datasets, count(*) FILTER (contains(deletion_status, 'CONFIRMED')) AS confirmed,
+                       count(*) FILTER (last_read_time IS NOT NULL) AS read FROM control GROUP BY ALL)
+      SELECT project, region, metadata_ok, history_ok, CASE WHEN metadata_ok THEN datasets ELSE 0 END AS datasets,
+             CASE WHEN metadata_ok AND history_ok THEN confirmed ELSE 0 END AS confirmed,
+             CASE WHEN metadata_ok AND history_ok THEN read ELSE 0 END AS read, COALESCE(n, 0) AS unused_tables
+      FROM scopes JOIN found USING (project, region) LEFT JOIN unread USING (project, region)""",
+    "incremental_access": """
+      SELECT project_id AS project, region, dataset_id AS dataset, r.last_time AS last_read_time, w.last_time AS last_write_time,
+             r.details AS last_reads, w.details AS last_writes
+      FROM reads r FULL JOIN writes w USING (project_id, region, dataset_id)""",
+    "many_largest_tables": f"""
+      SELECT {_DS}, table_name, size AS size_gb, size_rank FROM ({_NEW_SIZES}) WHERE size_rank <= 1500""",
+    "state_after_batches": f"""
+      SELECT {_STATE}, {AS_OF} AS scream_initiated_at, 'restored' AS status, CAST(NULL AS TIMESTAMP) AS deleted_at, {AS_OF} AS restored_at
+      FROM targets WHERE state_status IS NULL AND {_OK}
+      UNION ALL
+      SELECT {_STATE}, scream_initiated_at, CASE WHEN due THEN 'deleted' WHEN active THEN 'restored' ELSE status END,
+             CASE WHEN due THEN {AS_OF} END, CASE WHEN active AND NOT due THEN {AS_OF} ELSE restored_at END
+      FROM (SELECT *, status = 'scream_test' AND {_OK} AS active,
+                   status = 'scream_test' AND {_OK} AND {floor_days(AS_OF, "scream_initiated_at")} >= 7 AS due
+            FROM state WHERE key NOT IN ({_ENTERED}))""",
+    "report_roundtrip": f"""
+      SELECT row_number() OVER (ORDER BY block, section, part, key) AS line_no, line FROM ({_QUERIES["report_lines"]})""",
+    "report_without_context": f"""
+      SELECT key, '| ' || key || ' | ' || tranche || ' | n/a | n/a | ' || initiated_at || ' | ' || days_elapsed || ' | ' || ready || ' |' AS line
+      FROM report_rows WHERE starts_with(key, 'ASIA:')
+      UNION ALL
+      SELECT '', 'No entries in state.json yet — no Scream Tests have been initiated (or this is dry-run only).'""",
+    "deep_audit_unknown_storage": f"""
+      SELECT {_DS}, class AS tranche, CASE left(class, 9) WHEN 'Tranche 1' THEN 'Critical' WHEN 'Tranche 2' THEN 'Critical'
+               WHEN 'Tranche 3' THEN 'High' WHEN 'Tranche 4' THEN 'Medium' ELSE 'Low' END AS priority,
+             idle AS days_since_activity, touched AS days_since_modified, strftime(modified, '%Y-%m-%d %H:%M:%S') AS last_storage_update,
+             CASE WHEN touched > 365 THEN 'CONFIRMED: NO MODS > 1YR' ELSE 'REVIEW' END AS deletion_status
+      FROM (SELECT * REPLACE (CASE WHEN modified IS NULL AND {UNUSED} THEN NULL ELSE idle END AS idle) FROM ({_UNKNOWN}))""",
+    "backup_buckets": "SELECT 'backup' AS bucket, count(*) AS backups FROM state",
+}
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in _QUERIES.items()}

@@ -1,13 +1,14 @@
 """What the optimizer makes of the operators: pruning, pushdown, top-k before the shuffle, no Python."""
 
 import re
+from datetime import date
 
 import pytest
 
 from estate_hygiene import fixtures, registry
 from estate_hygiene.operators import access, storage as storage_ops
 from estate_hygiene.plans import audits
-from estate_hygiene.sources import estate
+from estate_hygiene.sources import access_days, estate
 from helpers import NOW, ago, job, jobs, ref, stored, storage, tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -63,12 +64,34 @@ def test_largest_tables_are_cut_before_the_scope_shuffle(spark):
     assert re.search(r"Exchange hashpartitioning\(project_id, region, \d+\).*\n.*WindowGroupLimit.*, 100, Partial", plan)
 
 
-def test_many_largest_tables_are_cut_before_the_scope_shuffle(spark):
-    sized = storage(spark, stored("d"))
-    catalogue = tables(spark, {"table_schema": "d", "table_name": "t", "creation_time": ago(1)})
-    plan = physical(storage_ops.largest_tables(catalogue, sized, 5_000))
-    above, below = plan.index("size_rank"), plan.index("least_class)")
-    assert above < below and "WindowGroupLimit" not in plan
+def test_many_largest_tables_meet_in_no_task_of_their_scope(spark):
+    n = 6_000  # of one scope and one size
+    sized = storage(spark, *[stored("d", table=f"t{i:04}") for i in range(n)])
+    catalogue = tables(spark, *[{"table_schema": "d", "table_name": f"t{i:04}", "creation_time": ago(1)} for i in range(n)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a few rows would be put together
+    try:
+        found = storage_ops.largest_tables(catalogue, sized, 5_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    plan = physical(found)
+    assert not re.search(r"Window \[.*windowspecdefinition\(project_id", plan)
+    assert sorted((r.table_name, r.size_rank) for r in found.collect()) == [(f"t{i:04}", i + 1) for i in range(5_000)]
+    ranges = spark.read.parquet(*{f.rpartition("/")[0] for f in found.inputFiles() if "ordered-" in f}).groupBy("range").count().collect()
+    assert len(ranges) > 1 and max(r["count"] for r in ranges) < n / 2
+
+
+def test_references_to_other_tables_go_before_their_shuffle(spark):
+    args = (fixtures.tables(spark, SMALL), fixtures.table_storage(spark, SMALL), fixtures.jobs(spark, SMALL), fixtures.AS_OF)
+    plan = physical(audits.stale_table_audit(*args, projects=fixtures.PROJECTS, regions=fixtures.REGIONS))
+    shuffled = r"Exchange hashpartitioning\(project_id, region, dataset_id, table_name.*\n.*HashAggregate.*\n.*Project.*\n.*Filter .*getbit\("
+    assert re.search(shuffled, plan)
+
+
+def test_only_the_days_asked_for_are_read(stored_jobs):
+    plan = physical(access_days.folded(stored_jobs, date(2026, 6, 22), date(2026, 6, 23)))
+    [line] = scan(plan)
+    assert "GreaterThanOrEqual(creation_time,2026-06-22" in line and "LessThan(" in line.split("PushedFilters")[1]
+    assert "creation_time < 2026-06-24 00:00:00" in plan
 
 
 @pytest.mark.parametrize("top_n", [100, 5_000])
