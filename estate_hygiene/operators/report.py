@@ -21,7 +21,7 @@ COLUMN_LINE = "| Dataset | Tranche | Size (GB) | Monthly Cost ($) | Initiated |
 RULE_LINE = "|---|---|---|---|---|---|---|"
 EMPTY_LINE = "No entries in state.json yet — no Scream Tests have been initiated (or this is dry-run only)."
 
-SOURCE_LINE = "Source: {} (regenerate this report rather than editing it by hand)"
+SOURCE_LINE = "Made from the {}; edits to this text are lost when it is made again"
 
 HEAD, BODY, TOTALS = 0, 1, 2
 
@@ -102,7 +102,7 @@ def render_report(
     as_of: datetime | str,
     retention_days: int = RETENTION_DAYS,
     title: str = "Decommissioning Status Report",
-    source: str = "live workflow state and control table",
+    source: str = "workflow state and the control table",
 ) -> DataFrame:
     """The Markdown report as lines, in the order of block, section, part and key.
 

@@ -157,6 +157,18 @@ def exported_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.with_headers(tranche_audit(spark, sf_dir), audits.TRANCHE_HEADERS)
 
 
+def exported_access_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audits.with_headers(access_audit(spark, sf_dir), audits.ACCESS_HEADERS)
+
+
+def exported_deep_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audits.with_headers(deep_history_audit(spark, sf_dir), audits.DEEP_HEADERS)
+
+
+def exported_stale_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audits.with_headers(stale_tables(spark, sf_dir), audits.TABLE_HEADERS)
+
+
 def scope_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Effect of a denied access log: confirmed datasets per scope with and without the history rule."""
     coverage = estate.scope_coverage(fx.scopes(spark, sf_dir), fx.loads(spark, sf_dir))
@@ -284,10 +296,11 @@ def action_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of a scream test, a purge and a restore, appended to one log and read back."""
     root = own_folder(spark, "log")
     scream, purge, back = _stored_scream_plan(spark, sf_dir), _purge_plan(spark, sf_dir), _restore_plan(spark, sf_dir, every=True)
-    tables.append_log(lifecycle.scream_test_log(scream, fx.outcomes(scream)), root, AS_OF)
-    tables.append_log(lifecycle.purge_log(purge, fx.outcomes(purge)), root, AS_OF)
-    tables.append_log(restore.restore_log(back, fx.outcomes(back)), root, AS_OF)
-    return tables.log_lines(spark.read.parquet(root)).select("line")
+    runs = [lifecycle.scream_test_log(scream, fx.outcomes(scream)), lifecycle.purge_log(purge, fx.outcomes(purge)), restore.restore_log(back, fx.outcomes(back))]
+    for run, lines in enumerate(runs, 1):
+        tables.append_log(lines, root, AS_OF, run)
+    tables.append_log(runs[0], root, AS_OF, 1)  # started again: adds nothing
+    return tables.log_lines(tables.read_log(spark, root)).select("line")
 
 
 def state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -634,6 +647,14 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.status_counts(_status_rows(spark, sf_dir))
 
 
+def other_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of a state that holds statuses the library does not know, and entries without one."""
+    control = control_table(spark, sf_dir)
+    state = fx.state(control)
+    other = F.when(F.col("project") == "ASIA", "on hold").when(F.col("project") != "EUROPE", F.col("status"))
+    return report.status_counts(report.status_rows(state.withColumn("status", other), control, AS_OF))
+
+
 def status_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.status_totals(_status_rows(spark, sf_dir))
 
@@ -657,6 +678,9 @@ _QUERIES = (
     access_audit,
     tranche_audit,
     exported_audit,
+    exported_access_audit,
+    exported_deep_audit,
+    exported_stale_tables,
     deep_history_audit,
     scope_coverage,
     audit_roundtrip,
@@ -712,6 +736,7 @@ _QUERIES = (
     backup_buckets,
     status_rows,
     status_counts,
+    other_status_counts,
     status_totals,
     report_lines,
 )

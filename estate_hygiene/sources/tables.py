@@ -2,7 +2,7 @@
 
 Nothing is replaced in place: a table, a bundle's members and a report are written as a new ``version=N`` directory,
 and readers take the newest version whose write was committed (``sources.versions``). A run lost half-way therefore
-leaves the last good one. The action log is appended to.
+leaves the last good one. A run's lines of the action log are a version too.
 """
 
 from __future__ import annotations
@@ -264,10 +264,22 @@ def read_report(spark: SparkSession, root: str) -> DataFrame:
     return placed.select("line_no", "line")
 
 
-def append_log(actions: DataFrame, path: str, as_of: datetime | str) -> None:
-    """Append ``key, action, message`` rows, stamped."""
+def append_log(actions: DataFrame, path: str, as_of: datetime | str, run: int | None = None) -> int:
+    """Append ``key, action, message`` rows, stamped, and return their number.
+
+    A run is a version of the log. One that is named and was committed before adds nothing, so a job that is started again
+    after its driver was lost doubles no lines.
+    """
+    spark = actions.sparkSession
+    if run is not None and run in versions.committed(spark, path):
+        return 0
     stamped = actions.select(instant(as_of).alias("ts"), "key", "action", "message")
-    stamped.write.mode("append").parquet(path)
+    return append_changes(stamped, path, run)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of all committed runs."""
+    return _versions(spark, path, schemas.ACTION_LOG, versions.committed(spark, path)).drop("version")
 
 
 def log_lines(log: DataFrame) -> DataFrame:

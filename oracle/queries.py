@@ -237,7 +237,7 @@ _QUERIES: dict[str, str] = {
       SELECT CAST(block AS BIGINT) AS block, CAST(section AS BIGINT) AS section, CAST(part AS BIGINT) AS part, key, line FROM (
         SELECT 0 AS block, 0 AS section, part, '' AS key, line FROM (VALUES
           (0, '# Decommissioning Status Report'), (1, ''), (2, 'Generated: 2001-08-02T00:00:00'),
-          (3, 'Source: live workflow state and control table (regenerate this report rather than editing it by hand)'), (4, '')
+          (3, 'Made from the workflow state and the control table; edits to this text are lost when it is made again'), (4, '')
         ) head(part, line)
         UNION ALL
         SELECT 1, first_seq, part, '', CASE part WHEN 0 THEN '## ' || status_label || ' (' || datasets || ')' ELSE line END
@@ -368,5 +368,40 @@ _QUERIES |= {
 }
 
 
+_ACCESS_NAMES = {
+    "project": "Project", "region": "Region", "dataset": "Dataset", "description": "Description", "size_gb": "Size (GB)",
+    "last_storage_update": "Last Storage Update", "last_reads": "Last 5 Reads (Who/When)", "last_writes": "Last 5 Writes (Who/When)",
+    "status": "Status", "priority": "Cleanup Priority", "action": "Recommended Action",
+}
+_DEEP_NAMES = {
+    "project": "Project", "region": "Region", "dataset": "Dataset", "description": "Description", "size_gb": "Size (GB)",
+    "monthly_cost": "Monthly Cost ($)", "tranche": "Tranche", "priority": "Cleanup Priority",
+    "days_since_activity": "Days Since Last Activity", "days_since_modified": "Days Since Last Modified",
+    "last_read_time": "Last Read Time", "last_write_time": "Last Write Time", "last_reads": "Last 5 Reads (Who/When)",
+    "last_writes": "Last 5 Writes (Who/When)", "last_storage_update": "Last Storage Update", "deletion_status": "Defensible Deletion Status",
+}
+_TABLE_NAMES = {
+    "organisation": "Organisation", "project": "Project ID", "region": "Region", "dataset": "Dataset", "table_name": "Table",
+    "size_gb": "Size (GB)", "created": "Created", "last_accessed": "Last Accessed", "status": "Status", "action": "Action",
+    "monthly_waste": "Monthly Waste ($)",
+}
+
+
+def _renamed(query: str, names: dict[str, str]) -> str:
+    return "SELECT " + ", ".join(f'{old} AS "{new}"' for old, new in names.items()) + f" FROM ({_QUERIES[query]})"
+
+
+_QUERIES |= {
+    "exported_access_audit": _renamed("access_audit", _ACCESS_NAMES),
+    "exported_deep_audit": _renamed("deep_history_audit", _DEEP_NAMES),
+    "exported_stale_tables": _renamed("stale_tables", _TABLE_NAMES),
+    "other_status_counts": """
+      SELECT status, CASE status WHEN 'scream_test' THEN 'Scream Test Active' WHEN 'deleted' THEN 'Deleted' WHEN 'restored' THEN 'Restored'
+               ELSE status END AS status_label, count(*) AS datasets, min(seq) AS first_seq
+      FROM (SELECT seq, CASE WHEN project = 'ASIA' THEN 'on hold' WHEN project = 'EUROPE' THEN 'unknown' ELSE status END AS status FROM state)
+      GROUP BY status""",
+}
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in _QUERIES.items()}

@@ -247,7 +247,7 @@ def test_report_files_keep_line_order(spark, tmp_path):
 def test_log_is_appended(spark, tmp_path):
     path = str(tmp_path / "log")
     actions = spark.createDataFrame([("p:a", "restrict", "done")], "key string, action string, message string")
-    tables.append_log(actions, path, ago(1))
-    tables.append_log(actions, path, NOW)
-    log = spark.read.schema(schemas.ACTION_LOG).parquet(path)
+    assert tables.read_log(spark, path).count() == 0
+    assert [tables.append_log(actions, path, ago(1), 7), tables.append_log(actions, path, NOW), tables.append_log(actions, path, NOW, 7)] == [1, 1, 0]
+    log = tables.read_log(spark, path)
     assert sorted(r.line for r in tables.log_lines(log).collect()) == ["[2026-06-23T12:00:00] done", "[2026-06-24T12:00:00] done"]
