@@ -5,7 +5,7 @@ TITLE = [
     "# Decommissioning Status Report",
     "",
     "Generated: 2026-06-24T12:00:00",
-    "Source: live workflow state and control table (regenerate this report rather than editing it by hand)",
+    "Made from the workflow state and the control table; edits to this text are lost when it is made again",
     "",
 ]
 
