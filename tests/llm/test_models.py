@@ -2,6 +2,7 @@
 
 import json
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -278,7 +279,47 @@ def test_template_text_inside_articles(spark):
     got = {r.page_id: r.text for r in html_extraction.with_main_text(pages(spark, rows)).collect()}
     assert [got[i] for i in range(4)] == [f"Story {i}\nText {i}" for i in range(4)]
     assert [got[10 + i] for i in range(4)] == [f"One story\nAlways this\nCopy {i}" for i in range(4)]
-    assert [got[20 + i] for i in range(4)] == [f"Edited {i}\na\nb\nc\nd" for i in range(4)]
+    assert [got[20 + i] for i in range(4)] == [f"Edited {i}" for i in range(4)]
+
+
+def test_what_no_page_keeps(spark):
+    """Comments, adverts, notices and sidebars go on every page; shared legal lines go however many they are."""
+    story = "<html><body><article><h1>Story {0}</h1><p>Text {0}</p>{1}</article></body></html>"
+    comments = "<div class='comments'><p>Reader {0}</p></div>"
+    rows = [(i, f"https://a.example/{i}", story.format(i, comments.format(i) if i < 2 else "")) for i in range(6)]
+    one = "<div class='ad'>Buy</div><div class=cookie-notice>Cookies</div><div id=sidebar>Side</div><p don't>Hello it's me</p><p>a <math><mi>x</mi></math></p>"
+    rows += [(10, "https://one.example/", story.format("one", one))]
+    legal = "".join(f"<p>Legal {k}</p>" for k in range(4))
+    rows += [(20 + i, f"https://legal.example/{i}", f"<article><h1>Title {i}</h1>{legal if i % 2 else legal[:28]}</article>") for i in range(4)]
+    got = {r.page_id: r.text for r in html_extraction.with_main_text(pages(spark, rows)).collect()}
+    assert [got[i] for i in range(6)] == [f"Story {i}\nText {i}" for i in range(6)]
+    assert got[10] == "Story one\nText one\nHello it's me\na x"
+    assert [got[20 + i].split("\n")[0] for i in range(4)] == [f"Title {i}" for i in range(4)] and all("Legal 0" not in got[20 + i] for i in range(4))
+
+
+@pytest.mark.parametrize("part", ["<a href=\"x>", "<a href='x' title=\"y>text", "<div><p don't>", "<div>", "<", "<a b=", "<li><div>", "<!", "<script", "</", "<a =\"'>\"'"])
+def test_markup_left_open_is_read_in_one_pass(part):
+    source = part * (1_000_000 // len(part))
+    start = time.perf_counter()
+    for _ in html_extraction.markup(source):
+        pass
+    assert time.perf_counter() - start < 4
+    start = time.perf_counter()
+    html_extraction.Page(source[:200_000]).text(set())
+    assert time.perf_counter() - start < 8
+
+
+def test_quotes_and_tags():
+    found = list(html_extraction.markup("<p title='a>b' x=\"c'd\">one</p ><P don't>it's<br/>a < b <3 <b class=x>y</b><img alt=\"open>end"))
+    names = [(n, e) for n, e, _ in found if n]
+    assert names == [("p", False), ("p", True), ("p", False), ("br", False), ("b", False), ("b", True), ("img", False)]
+    assert "".join(t for n, _, t in found if not n) == "oneit'sa < b <3 yend"
+
+
+def test_pages_with_columns_of_any_name(spark):
+    df = pages(spark, [(1, "https://a.example", "<p>a</p>")]).selectExpr("*", "'k' host", "1 page", "2 template", "3 _template", "'x' text")
+    [row] = html_extraction.with_main_text(df).collect()
+    assert (row["host"], row["page"], row["template"], row["_template"], row["text"], row["n_chars"]) == ("k", 1, 2, 3, "a", 1)
 
 
 @pytest.mark.parametrize(
@@ -299,7 +340,7 @@ def test_names_of_classes_leave_out_no_article(spark, html, kept):
     rows = [(i, f"https://a.example/{i}", f"<html><body>{html.format(i)}</body></html>") for i in range(3)]
     rows += [(3, "https://b.example", "<body><div><p>Story</p><div class=notice>of one page</div></div></body>")]
     got = {r.page_id: r.text for r in html_extraction.with_main_text(pages(spark, rows)).collect()}
-    assert got == {i: kept.format(i) for i in range(3)} | {3: "Story\nof one page"}
+    assert got == {i: kept.format(i) for i in range(3)} | {3: "Story"}
 
 
 # Pipeline
