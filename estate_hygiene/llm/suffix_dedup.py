@@ -38,6 +38,8 @@ LEAD = LENGTH - REACH + 1
 SAMPLE_SUFFIXES, SAMPLE_BLOCKS, SAMPLE_OF_RANGE = 512, 32, 32
 #: A block's arrays take about 80 bytes for each of its own.
 BLOCK_BYTES = 1_000_000
+#: While a range is sorted: bytes that are hashed at a time, and windows that are compared at a time.
+BATCH_BYTES, MOST_WINDOWS = 1_000_000, 1_000_000
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
 
 
@@ -70,8 +72,14 @@ class Suffixes:
 
     def lead(self, i: np.ndarray) -> np.ndarray:
         """The leading bytes of some suffixes, as fixed-length strings that compare as the bytes do."""
-        rows = self.block.data[self.chosen[i][:, None] + np.arange(LEAD)]
-        return np.ascontiguousarray(rows).view(f"S{LEAD}").ravel()
+        return np.ascontiguousarray(leading(self.block.data, self.chosen[i])).view(f"S{LEAD}").ravel()
+
+
+def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The LEAD bytes at some places, a row each."""
+    if not len(at):
+        return np.zeros((0, LEAD), dtype=np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(data, LEAD)[at]
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -139,25 +147,30 @@ class Surroundings:
         return starts[bits[np.repeat(ends[self.class_of], n) + within]]
 
 
-def multikey_classes(keys: np.ndarray) -> np.ndarray:
-    """A number for each row of an (n, m) byte array, equal where all its bytes are, ascending in their order.
+def multikey_classes(data: np.ndarray, at: np.ndarray, length: int = LEAD) -> np.ndarray:
+    """A number for each place, equal where all ``length`` bytes from there on are, ascending in their order.
 
-    Three-way radix quicksort with characters of eight bytes: rows are split by one character after another, and rows
-    that stand alone are left where they are.
+    Three-way radix quicksort with characters of eight bytes, each read from the data when it is compared and for the rows
+    still open only: rows are split by one character after another, and rows that stand alone are left where they are.
     """
-    n, m = keys.shape
-    width = -(-m // 8) * 8
-    wide = np.zeros((n, width), dtype=np.uint8)
-    wide[:, :m] = keys
-    chars = wide.view(">u8").astype(np.uint64)
+    n = len(at)
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(8, dtype=np.uint8))), 8)
+
+    def character(rows: np.ndarray, c: int) -> np.ndarray:
+        own = np.ascontiguousarray(eight[at[rows] + 8 * c]).view(">u8").ravel().astype(np.uint64)
+        beyond = 8 * (c + 1) - length  # bytes of the last character that are no part of the key
+        return own >> np.uint64(8 * beyond) if beyond > 0 else own
+
     group = np.zeros(n, dtype=np.int64)
     open_rows = np.arange(n)
-    for c in range(chars.shape[1]):
-        order = open_rows[np.lexsort((chars[open_rows, c], group[open_rows]))]
+    for c in range(-(-length // 8)):
+        chars = character(open_rows, c)
+        by = np.lexsort((chars, group[open_rows]))
+        order, chars = open_rows[by], chars[by]
         if len(order) < 2:
             break
         same_group = group[order][1:] == group[order][:-1]
-        split = np.concatenate(([True], ~same_group | (chars[order, c][1:] != chars[order, c][:-1])))
+        split = np.concatenate(([True], ~same_group | (chars[1:] != chars[:-1])))
         # A group's number is the place of its first row, so the parts of a group stay in its place.
         heads = np.flatnonzero(split)
         size = np.diff(np.concatenate((heads, [len(order)])))
@@ -183,9 +196,8 @@ def _matches(group: pa.Table) -> pa.Table:
     begin = ends - n_windows - LENGTH + 1
     first_bit = np.concatenate(([0], np.cumsum(n_windows)))
     bits = np.repeat(count > 1, n_windows)
-    lead = multikey_classes(data[(begin + before)[:, None] + np.arange(LEAD)])
-    sums = prefix(BYTE_VALUES[data], BYTE_BASE)
-    whole = windows(sums, begin, ends, BYTE_BASE)
+    lead = multikey_classes(data, begin + before)
+    whole = string_hashes(data, begin, ends - begin, np.ones(len(begin), dtype=np.int64))
     order = np.lexsort((whole, n_windows, before, lead))
     sorted_rows = np.stack((lead, before, n_windows))[:, order]
     new_class = np.concatenate(([True], np.diff(sorted_rows[0]) != 0))
@@ -198,30 +210,60 @@ def _matches(group: pa.Table) -> pa.Table:
     kinds = np.bincount(class_of[new_twin])
     member = order[new_twin & (kinds[class_of] > 1)]
     if len(member):
-        n = n_windows[member]
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(begin[member], n) + within
-        offset = np.repeat(before[member], n) - within
-        window = windows(sums, at, at + LENGTH, BYTE_BASE)
-        by = np.lexsort((window, offset, np.repeat(lead[member], n)))
-        key = np.stack((np.repeat(lead[member], n), offset))[:, by]
-        equal = (np.diff(key) == 0).all(axis=0) & (window[by][1:] == window[by][:-1])
-        met = np.zeros(len(by), dtype=bool)
-        met[by[1:]] |= equal
-        met[by[:-1]] |= equal
-        bit = np.repeat(first_bit[member], n) + within
-        bits[bit[met]] = True
+        # Windows are equal only at the same offset from their lead, so a few offsets are compared at a time.
+        rounds = min(REACH, int(n_windows[member].sum()) // MOST_WINDOWS + 1)
+        edges = np.linspace(0, REACH, rounds + 1).astype(np.int64)
+        for near, far in zip(edges, edges[1:], strict=False):
+            low = np.maximum(0, before[member] - far + 1)
+            n = np.maximum(np.minimum(n_windows[member], before[member] - near + 1) - low, 0)
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low, n)
+            window = string_hashes(data, begin[member] + low, np.full(len(member), LENGTH), n)
+            offset = np.repeat(before[member], n) - within
+            by = np.lexsort((window, offset, np.repeat(lead[member], n)))
+            key = np.stack((np.repeat(lead[member], n), offset))[:, by]
+            equal = (np.diff(key) == 0).all(axis=0) & (window[by][1:] == window[by][:-1])
+            met = np.zeros(len(by), dtype=bool)
+            met[by[1:]] |= equal
+            met[by[:-1]] |= equal
+            bits[(np.repeat(first_bit[member], n) + within)[met]] = True
         # What holds for the one that stood in holds for its twins.
         stand = np.empty(size.shape[0], dtype=np.int64)
         stand[twin[new_twin]] = order[new_twin]
         own = np.empty(len(order), dtype=np.int64)
         own[order] = stand[twin]
-        within = np.arange(first_bit[-1]) - np.repeat(first_bit[:-1], n_windows)
-        bits |= bits[np.repeat(first_bit[own], n_windows) + within]
+        others = np.flatnonzero(own != np.arange(len(own)))
+        for rows_at in _batches(n_windows[others], MOST_WINDOWS):
+            i = others[rows_at]
+            n = n_windows[i]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            bits[np.repeat(first_bit[i], n) + within] |= bits[np.repeat(first_bit[own[i]], n) + within]
     counts = [int(h[1].sum()) for h in heads]
     return pa.Table.from_batches([bl.reply(rows, counts, bits)])
 
 
+def _batches(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of rows with about ``most`` in all; a larger row is one by itself."""
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - 1) // most)) + 1 if len(sizes) else []
+    edges = [0, *map(int, cuts), len(sizes)]
+    yield from (slice(x, y) for x, y in zip(edges, edges[1:], strict=False) if y > x)
+
+
+def string_hashes(data: np.ndarray, begin: np.ndarray, length: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Hashes of ``n`` strings of each row, which start at ``begin`` and the bytes after it, of ``length`` bytes each.
+
+    The bytes of some rows are taken at a time, since sums over them take forty times their space.
+    """
+    span = np.where(n > 0, length + n - 1, 0)
+    out = []
+    for rows in _batches(span, BATCH_BYTES):
+        own, count = span[rows], n[rows]
+        start = np.cumsum(own) - own
+        taken = data[np.repeat(begin[rows] - start, own) + np.arange(own.sum())]
+        first = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        out.append(windows(prefix(BYTE_VALUES[taken], BYTE_BASE), first, first + np.repeat(length[rows], count), BYTE_BASE))
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+
 def _placed(values: np.ndarray, order: np.ndarray) -> np.ndarray:
     out = np.empty_like(values)
     out[order] = values
@@ -237,8 +279,7 @@ def _splitters(blocks_: DataFrame, shared: DataFrame, key_buckets: int, ranges:
         suffixes = Suffixes(block)
         i = np.flatnonzero((bl.answers_of(rows, suffixes.keys, key_buckets) | suffixes.twice)[suffixes.key_of])
         picked = i[np.random.default_rng(1).permutation(len(i))[:SAMPLE_SUFFIXES]]
-        rows = block.data[suffixes.chosen[picked][:, None] + np.arange(LEAD)]
-        return [bl.table("lead binary", {"lead": [r.tobytes() for r in rows]})]
+        return [bl.table("lead binary", {"lead": [r.tobytes() for r in leading(block.data, suffixes.chosen[picked])]})]
 
     chosen = blocks_.join(F.broadcast(some), "block_id", "left_semi")
     answers = shared.join(F.broadcast(some), "block_id", "left_semi")
@@ -252,7 +293,7 @@ def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
     all_blocks = bl.blocks(docs, block_bytes=BLOCK_BYTES)
     buckets = bl.n_buckets(all_blocks, 0.1)
-    # Sorting a range takes about 40 bytes for each of its own, and twice as many where classes differ.
+    # Sorting a range takes a few bytes for each of its own, besides the arrays of one batch.
     ranges = bl.n_buckets(all_blocks, 16)
 
     def ask_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

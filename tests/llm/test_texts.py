@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import blanks, component, corpus, docs, sha
 
@@ -130,11 +131,45 @@ def plain_unknown(rows):
     return [(None if i == -1 else i, *more) for i, *more in plain_bytes([(-1 if i is None else i, t) for i, t in rows])]
 
 
+@pytest.mark.parametrize("most", [300, 10**6])
+def test_ranges_are_matched_in_parts(monkeypatch, most):
+    """Every window of every row, with equal surroundings and equal windows in unlike ones, in small and in large parts."""
+    rng = np.random.default_rng(7)
+    monkeypatch.setattr(suffix_dedup, "MOST_WINDOWS", most)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", most)
+    lead = [rng.integers(0, 256, suffix_dedup.LEAD).astype(np.uint8) for _ in range(3)]
+    around = [rng.integers(0, 2, 300).astype(np.uint8) for _ in range(4)]
+    rows, windows = [], []
+    for k in range(40):
+        before, n = int(rng.integers(0, 299)), int(rng.integers(1, 30))
+        n = min(n, before + 1)
+        head, tail = around[k % 4][:before], np.concatenate(around)[k % 3 :][: 399 + n - before - suffix_dedup.LEAD]
+        own = np.concatenate((head, lead[k % 3], tail))[: 399 + n]
+        if k % 7 == 6:
+            before, n, own, lead_of = *rows[-2][:3], windows[-2][0]
+        else:
+            lead_of = k % 3
+        rows.append((before, n, own))
+        windows.append((lead_of, [(lead_of, before - w, own[w : w + 400].tobytes()) for w in range(n)]))
+    payload = []
+    for part in (rows[:25], rows[25:]):
+        head = np.array([[r[0] for r in part], [r[1] for r in part], [1] * len(part)], dtype=np.int32)
+        payload.append(blocks.packed(np.int32(len(part)).tobytes() + head.tobytes() + b"".join(r[2].tobytes() for r in part)))
+    group = pa.table({"bucket": pa.array([0, 0], pa.int32()), "block_id": pa.array([1, 2], pa.int64()), "keys": pa.array(payload, pa.binary())})
+    found = {r["block_id"]: r["answer"] for r in suffix_dedup._matches(group).to_pylist()}
+    seen = Counter(w for _, own in windows for w in own)
+    for block, part in ((1, windows[:25]), (2, windows[25:])):
+        want = [seen[w] > 1 for _, own in part for w in own]
+        bits = np.unpackbits(np.frombuffer(found[block], dtype=np.uint8), count=len(want)).astype(bool) if block in found else np.zeros(len(want), bool)
+        assert bits.tolist() == want
+    assert any(c > 1 for c in seen.values()) and any(c == 1 for c in seen.values())
+
+
 def test_multikey_classes_sort_as_bytes():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 3, (500, 21)).astype(np.uint8)
     keys[::5] = keys[0]
-    found = suffix_dedup.multikey_classes(keys)
+    found = suffix_dedup.multikey_classes(keys.ravel(), np.arange(500) * 21, 21)
     order = sorted(range(500), key=lambda i: bytes(keys[i]))
     assert [found[i] for i in order] == sorted(found)
     assert len(set(found)) == len({bytes(k) for k in keys})
