@@ -10,6 +10,9 @@ from pyspark.sql.types import StructType
 
 from estate_hygiene.llm.blocks import arrow_schema
 
+#: Rows worked on at a time: the values of a batch are held once more while they are.
+ROWS = 1_000
+
 DDL = {"long": "bigint", "int": "int", "boolean": "boolean", "double": "double", "string": "string", "array<long>": "array<bigint>", "binary": "binary"}
 
 
@@ -24,11 +27,13 @@ def annotated(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
-        for batch in batches:
-            work = work or make()
-            columns = work(batch)
-            arrays = [pa.array(columns[f.name], type=f.type) for f in new]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *new.names])
+        for whole in batches:
+            for at in range(0, max(whole.num_rows, 1), ROWS):
+                batch = whole.slice(at, ROWS)
+                work = work or make()
+                columns = work(batch)
+                arrays = [pa.array(columns[f.name], type=f.type) for f in new]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *new.names])
 
     return kept.mapInArrow(run, StructType(kept.schema.fields + named.fields))
 

@@ -1,22 +1,28 @@
 """Quality classifier: a convolutional network over bytes, in numpy.
 
 A text is cut into chunks of CHUNK bytes that overlap by a filter's width, so that they cover all of it. FILTERS learned
-filters of WIDTH bytes run over each chunk at every STRIDE-th byte; of each filter the largest response in the chunk is
-kept, and the mean of these over a text's chunks gives one probability by a logistic layer.
+filters of WIDTH bytes run over each chunk at every byte; of each filter the largest response in the chunk is kept,
+and the mean of these over a text's chunks gives one probability by a logistic layer.
 
-Fit: on at most TRAIN_DOCUMENTS labelled rows, half of either label as far as there are enough, chosen by a hash of
-doc_id; from each at most TRAIN_CHUNKS chunks, spread evenly over the whole text. The share of the labels among all
-labelled rows, counted in full, corrects for the even choice. Rows whose crc32(doc_id) modulo 5 is 0 are never
-learned from. Fitting takes the same steps on every run.
+Fit: on a sample of the labelled rows, chosen by a hash of doc_id, half of either label as far as there are enough: at most
+TRAIN_DOCUMENTS rows, and no more than have TRAIN_BYTES of text between them. Their texts are learned from whole. The
+share of the labels among all labelled rows, counted in full, corrects for the even choice. Rows whose crc32(doc_id)
+modulo 5 is 0 are never learned from. Fitting takes the same steps on every run.
 
-Rows: a null text is empty, and an empty one is a chunk of padding. Several labels of a doc_id count as the lowest, null
-labels and doc_ids are passed over. Without labels of both kinds every score is the share of label 1, or 0.5 without any.
+Memory: a task holds the responses of PORTION bytes of text at a time, whatever the length of the texts, and so does the
+driver while it fits.
+
+Rows: a null text is empty, and an empty one is a chunk of padding. Several labels of a doc_id count as the lowest, and
+of several texts of one the first by its hash is learned from; null labels and doc_ids are passed over. Without labels
+of both kinds every score is the share of label 1, or 0.5 without any. Other columns are passed on; one named score or
+predicted is replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estate_hygiene.llm.annotate import annotated, texts_of
-from estate_hygiene.llm.blocks import table
+from estate_hygiene.llm.workspace import stored
 
-FILTERS, WIDTH, STRIDE, CHUNK = 32, 6, 2, 256
-TRAIN_DOCUMENTS, TRAIN_CHUNKS = 2_000, 24
+FILTERS, WIDTH, CHUNK = 32, 6, 256
+TRAIN_DOCUMENTS, TRAIN_BYTES = 2_000, 32_000_000
 EPOCHS, BATCH, RATE, DECAY = 14, 64, 0.02, 1e-4
 THRESHOLD = 0.3
 #: Bytes scored at a time in a task.
-PORTION = 500_000
-CHUNK_SCHEMA = "doc_id long, quality int, chunks binary"
+PORTION = 65_536
 SPAN = CHUNK + WIDTH
 
 
@@ -63,10 +68,9 @@ def cut(text: bytes) -> np.ndarray:
 def responses(chunks: np.ndarray, pairs: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """(chunks, places, filters), before the largest is taken."""
     two = chunks[:, :-1].astype(np.intp) * 256 + chunks[:, 1:]
-    places = CHUNK // STRIDE
-    out = np.take(pairs[0], two[:, 0 : places * STRIDE : STRIDE], axis=0)
+    out = np.take(pairs[0], two[:, :CHUNK], axis=0)
     for k in range(1, WIDTH // 2):
-        out += np.take(pairs[k], two[:, 2 * k : 2 * k + places * STRIDE : STRIDE], axis=0)
+        out += np.take(pairs[k], two[:, 2 * k : 2 * k + CHUNK], axis=0)
     out += bias
     return out
 
@@ -121,12 +125,12 @@ def _learn(network: Network, documents: list[np.ndarray], labels: np.ndarray, mo
     chunks = np.concatenate(documents)
     counts = np.array([len(d) for d in documents])
     owner = np.repeat(np.arange(len(documents)), counts)
-    places = CHUNK // STRIDE
-    out = np.zeros((len(chunks), places, FILTERS), dtype=np.float32)
-    for k in range(WIDTH):
-        out += np.take(network.taps[k], chunks[:, k : k + places * STRIDE : STRIDE], axis=0)
-    best = out.argmax(axis=1)
-    top = np.take_along_axis(out, best[:, None, :], axis=1)[:, 0, :] + network.bias
+    pairs, most = network.pairs(), max(1, PORTION // CHUNK)
+    best, top = np.zeros((len(chunks), FILTERS), dtype=np.int64), np.zeros((len(chunks), FILTERS), dtype=np.float32)
+    for at in range(0, len(chunks), most):
+        out = responses(chunks[at : at + most], pairs, network.bias)
+        best[at : at + most] = out.argmax(axis=1)
+        top[at : at + most] = np.take_along_axis(out, best[at : at + most, None, :], axis=1)[:, 0, :]
     pooled = np.maximum(top, 0)
     mean = np.zeros((len(documents), FILTERS))
     np.add.at(mean, owner, pooled / counts[owner, None])
@@ -136,7 +140,7 @@ def _learn(network: Network, documents: list[np.ndarray], labels: np.ndarray, mo
     by_taps = np.zeros(network.taps.shape)
     filters = np.broadcast_to(np.arange(FILTERS), best.shape)
     for k in range(WIDTH):
-        np.add.at(by_taps[k], (chunks[np.arange(len(chunks))[:, None], best * STRIDE + k], filters), back)
+        np.add.at(by_taps[k], (chunks[np.arange(len(chunks))[:, None], best + k], filters), back)
     for name, slope, (m, v) in zip(("taps", "bias", "weights", "offset"), (by_taps, back.sum(0), by_weight, by_offset), moments, strict=True):
         m += 0.1 * (slope - m)
         v += 0.001 * (np.square(slope) - v)
@@ -150,15 +154,17 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """At most TRAIN_CHUNKS chunks of each text, evenly spread from its start to its end."""
-    for batch in batches:
-        chunks = []
-        for text in texts_of(batch):
-            every = cut(text)
-            at = np.unique(np.linspace(0, len(every) - 1, min(TRAIN_CHUNKS, len(every))).astype(int))
-            chunks.append(every[at].tobytes())
-        yield table(CHUNK_SCHEMA, {"doc_id": batch.column("doc_id").to_pylist(), "quality": batch.column("quality").to_pylist(), "chunks": chunks})
+def _sample(rows: list, most: int) -> set[int]:
+    """doc_ids in the order of their hash, each label's in turn, as long as their texts fit in ``most`` bytes."""
+    by_label = [sorted((r["hash"], r["doc_id"], r["size"]) for r in rows if r["quality"] == q) for q in (0, 1)]
+    chosen, left = set(), most
+    for pair in zip_longest(*by_label):
+        for one in pair:
+            if one is None or one[2] > left:
+                continue
+            chosen.add(one[1])
+            left -= one[2]
+    return chosen
 
 
 def trained(documents: DataFrame, labels: DataFrame, n_documents: int = TRAIN_DOCUMENTS) -> Network:
@@ -174,12 +180,16 @@ def trained(documents: DataFrame, labels: DataFrame, n_documents: int = TRAIN_DO
     picked = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id")).limit(n_documents // 2) for q in (0, 1)]
     picked = picked[0].unionByName(picked[1])
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(picked), "doc_id").mapInArrow(_spread, CHUNK_SCHEMA).collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["chunks"])))
-    y = np.array([r["quality"] for r in rows], dtype=np.float64)
+    first = F.min(F.struct(F.xxhash64("text").alias("by"), F.coalesce("text", F.lit("")).alias("text"))).alias("first")
+    found = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "quality").agg(first)
+    found = stored(found.select("doc_id", "quality", F.encode("first.text", "UTF-8").alias("text")), "labelled")
+    sizes = found.select("doc_id", "quality", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size")).collect()
+    chosen = _sample(sizes, TRAIN_BYTES)
+    rows = sorted((r["doc_id"], r["quality"], bytes(r["text"])) for r in found.where(F.col("doc_id").isin(list(chosen))).collect())
+    y = np.array([q for _, q, _ in rows], dtype=np.float64)
     if not 0 < y.sum() < len(y):
         return blank
-    return fit([np.frombuffer(r["chunks"], dtype=np.uint8).reshape(-1, SPAN) for r in rows], y, share)
+    return fit([cut(text) for *_, text in rows], y, share)
 
 
 def scored(docs: DataFrame, network: Network) -> DataFrame:

@@ -174,6 +174,71 @@ def test_scores_do_not_depend_on_neighbours_in_a_batch():
         np.testing.assert_allclose(together[i], quality.features([t], network, network.pairs())[0], rtol=1e-5)
 
 
+def plain_features(text, network):
+    """The convolution as it is defined: every filter at every byte of every chunk."""
+    padded = text + bytes(quality.CHUNK + quality.WIDTH)
+    pooled = []
+    for start in range(0, max(len(text), 1), quality.CHUNK):
+        places = [sum(network.taps[k][padded[p + k]] for k in range(quality.WIDTH)) + network.bias for p in range(start, start + quality.CHUNK)]
+        pooled.append(np.maximum(np.max(places, axis=0), 0))
+    return np.mean(pooled, axis=0)
+
+
+def test_features_are_those_of_a_plain_convolution():
+    rng = np.random.default_rng(4)
+    network = quality.Network(rng.normal(0, 1, (quality.WIDTH, 256, quality.FILTERS)).astype(np.float32), rng.normal(0, 1, quality.FILTERS).astype(np.float32), rng.normal(0, 1, quality.FILTERS), 0.1)
+    texts = [b"", b"abc", bytes(rng.integers(1, 256, 700).astype(np.uint8)), b"x" * 256]
+    found = quality.features(texts, network, network.pairs())
+    for i, t in enumerate(texts):
+        np.testing.assert_allclose(found[i], plain_features(t, network), rtol=1e-4, atol=1e-4)
+
+
+def test_a_pattern_answers_alike_wherever_it_stands():
+    network = quality.Network(np.zeros((quality.WIDTH, 256, quality.FILTERS), np.float32), np.zeros(quality.FILTERS, np.float32), np.zeros(quality.FILTERS), 0.0)
+    for k, c in enumerate(b"defect"):
+        network.taps[k, c, 0] = 1
+    texts = [b" " * n + b"defect" + b" " * 40 for n in range(10)] + [b" " * (n + 250) + b"defect" for n in range(8)]
+    found = quality.features(texts, network, network.pairs())[:, 0]
+    assert (found[:10] == 6).all() and (found[10:] >= 3).all()
+
+
+def test_the_gradient_is_that_of_the_loss():
+    """One step of fitting moves every parameter against its slope, measured by differences."""
+    rng = np.random.default_rng(6)
+    texts, labels = [bytes(rng.integers(97, 100, 300).astype(np.uint8)) for _ in range(6)], np.array([0.0, 1, 1, 0, 1, 0])
+    made = lambda: quality.Network(rng2.normal(0, 0.3, (quality.WIDTH, 256, quality.FILTERS)).astype(np.float32), np.full(quality.FILTERS, 0.5, np.float32), rng2.normal(0, 0.5, quality.FILTERS), 0.2)
+    rng2 = np.random.default_rng(8)
+    before = made()
+    rng2 = np.random.default_rng(8)
+    after = made()
+    moments = [np.zeros((2, *np.shape(p))) for p in (after.taps, after.bias, after.weights, after.offset)]
+    quality._learn(after, [quality.cut(t) for t in texts], labels, moments, 1, 1e-3)
+
+    def loss(network):
+        p = network.probability(quality.features(texts, network, network.pairs()))
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p)) + quality.DECAY / 2 * np.sum(network.weights**2)
+
+    for f in (0, 5, 31):
+        for name in ("weights", "bias"):
+            slopes = []
+            for step in (-1e-2, 1e-2):
+                kept = getattr(before, name).copy()
+                getattr(before, name)[f] += step
+                slopes.append(loss(before))
+                setattr(before, name, kept)
+            moved = getattr(after, name)[f] - getattr(before, name)[f]
+            slope = (slopes[1] - slopes[0]) / 2e-2
+            assert abs(slope) < 1e-4 or np.sign(moved) == -np.sign(slope)
+    assert loss(after) < loss(before)
+
+
+def test_the_sample_of_labelled_rows_is_bounded_in_bytes():
+    rows = [{"doc_id": i, "quality": i % 2, "hash": i * 7 % 11, "size": 10 if i else 10_000} for i in range(11)]
+    assert quality._sample(rows, 10**6) == set(range(11)) and quality._sample(rows, 100) == set(range(1, 11))
+    few = quality._sample(rows, 40)
+    assert len(few) == 4 and {i % 2 for i in few} == {0, 1}
+
+
 def test_quality_without_labels(spark):
     labels = spark.createDataFrame([(None, 1), (3, None)], "doc_id long, quality int")
     network = quality.trained(docs(spark, [(3, "a")]), labels)
