@@ -6,43 +6,104 @@ again, until none of SEED words is left: runs of the current length are found by
 word by word. Tiles never overlap and may come in any order, so a passage whose parts were moved is covered like one that
 was not. An item leaks into a document when tiles cover at least COVERAGE of its words.
 
-The seeds of all items go to every task. Their number is measured: items beyond SEED_LIMIT seeds are judged in further
-passes, so no task holds more, whatever the size of the benchmark.
+How they meet: items are packed into lots of about LOT_BYTES, and their seeds are rows of a table. A bit filter of fixed
+size, 2**SIEVE_BITS bits however many items there are, tells which documents can share a seed; only these go on, packed
+into blocks. Blocks and lots meet by a join on the hash of a seed, where a block has one row for a seed however many of
+its documents hold it. Each pair of a block and a lot is judged once: a task holds one of each. The driver sees the
+filter's bits and the widths of seeds, never items or documents. A full filter only makes the join larger.
 
 Rows: a null or empty text has no words and leaks nothing. An item of fewer words than a seed is one seed of its own
-length, so ``shortest`` leaves items out whose words are no evidence of a leak; items without words are left out. Rows without doc_id, and repeated rows, are judged like any others; items
-without item_id are matched and count, but are not listed. Items of the same item_id are judged one by one.
+length, so ``shortest`` leaves items out whose words are no evidence of a leak; items without words are left out. Rows
+without doc_id, and repeated rows, are judged like any others; items without item_id are matched and count, but are not
+listed. Items of the same item_id are judged one by one. Of items that cover equal shares, covered_words is that of the
+longest. Without items, or without documents, nothing leaks. A column that has the name of a new one is replaced; all
+others stay, whatever they are called. A very long text is read for seeds PORTION words at a time; to be tiled, its words
+are held as numbers of eight bytes, in about ten arrays.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estate_hygiene.functions.names import free_name
+from estate_hygiene.llm import blocks as bl
 from estate_hygiene.llm.annotate import annotated
-from estate_hygiene.llm.blocks import arrow_schema
-from estate_hygiene.llm.bytehash import WORD_BASE, mix, prefix, windows
+from estate_hygiene.llm.bytehash import WORD_BASE, Words, laid_out, mix, prefix, windows
+from estate_hygiene.llm.workspace import stored
 
 SEED = 5
 COVERAGE = 0.6
-SEED_LIMIT = 2_000_000
+LOT_BYTES = 1_000_000
+SIEVE_BITS = 26
+#: Words that are hashed at a time, and the length from which a word is hashed by its digest.
+PORTION, LONG_WORD = 200_000, 1_000
 WORD = re.compile(r"[^\W_]+")
-ADDED = "n_words long, coverage double, covered_words long, item_ids array<long>"
+SEED_SCHEMA = "source long, width int, seed long"
+JUDGED_SCHEMA = "row long, coverage double, covered_words long, item_ids array<long>"
+#: Bits of one value of Spark's bitmap functions.
+BITMAP = 4_096 * 8
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def numbered(words: list[str], numbers: dict[str, int]) -> np.ndarray:
+def numbered(words: Iterable[str], numbers: dict[str, int]) -> np.ndarray:
     """Words as numbers; those of no item are all different from items' words, and 0."""
-    return np.fromiter((numbers.get(w, 0) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter((numbers.get(w, 0) for w in words), dtype=np.uint64)
+
+
+def _parts(text: str | None, overlap: int) -> Iterator[tuple[int, list[str]]]:
+    """A text's words, PORTION at a time: how many are new, and these after the last ``overlap`` ones before them."""
+    if len(text or "") <= PORTION:
+        words = words_of(text)
+        yield len(words), words
+        return
+    every, before = (m.group() for m in WORD.finditer(text.lower())), []
+    while new := list(islice(every, PORTION)):
+        yield len(new), before + new
+        before = (before + new)[-overlap:] if overlap else []
+
+
+def _joined(words: list[str]) -> bytes:
+    if words and len(max(words, key=len)) > LONG_WORD:
+        words = [w if len(w) <= LONG_WORD else hashlib.md5(w.encode()).hexdigest() for w in words]
+    return " ".join(words).encode()
+
+
+def seeds_of(texts: Iterable[str | None], widths: list[int], counts: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(number of the text, hash, width) of all runs of words of some widths; each text's words are added to ``counts``."""
+
+    def hashed(parts: list[bytes], owner: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        words = Words(*laid_out(parts))
+        sums = prefix(words.hashes(), WORD_BASE)
+        for width in widths:
+            start = np.arange(max(len(words.doc) - width + 1, 0))
+            start = start[words.doc[start] == words.doc[start + width - 1]]
+            yield np.array(owner)[words.doc[start]], windows(sums, start, start + width, WORD_BASE), width
+
+    parts, owner, size = [], [], 0
+    for k, text in enumerate(texts):
+        counts.append(0)
+        for n_new, words in _parts(text, max(widths, default=1) - 1):
+            counts[k] += n_new
+            if widths:
+                parts.append(_joined(words))
+                owner.append(k)
+                size += len(words)
+            if size >= PORTION:
+                yield from hashed(parts, owner)
+                parts, owner, size = [], [], 0
+    if parts:
+        yield from hashed(parts, owner)
 
 
 def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -125,63 +186,134 @@ class Items:
         return sorted(out)
 
 
-def _judge(sent: Broadcast, seed: int, coverage: float) -> Callable[[pa.RecordBatch], dict[str, list]]:
-    items = sent.value
-
-    def judge(batch: pa.RecordBatch) -> dict[str, list]:
-        out: dict[str, list] = {name: [] for name in arrow_schema(ADDED).names}
-        before = [batch.column(n).to_pylist() for n in ("coverage", "covered_words", "item_ids")]
-        for text, best, most, leaked in zip(batch.column("text").to_pylist(), *before, strict=True):
-            words = words_of(text)
-            doc = numbered(words, items.numbers)
-            for k in items.met(doc):
-                item = items.items[k]
-                n = sum(length for _, _, length in tiles(doc, item, min(seed, len(item))))
-                best, most = max((best, most), (n / len(item), n))
-                if n / len(item) >= coverage and items.ids[k] is not None:
-                    leaked.append(items.ids[k])
-            for name, value in (("n_words", len(words)), ("coverage", best), ("covered_words", most), ("item_ids", sorted(leaked))):
-                out[name].append(value)
-        return out
+def _chosen(lot: bl.Block, shortest: int) -> list[tuple[int | None, str]]:
+    rows = [(int(i) if k else None, t.decode()) for i, k, t in zip(lot.doc_ids, lot.known, lot.texts, strict=True)]
+    return [(i, t) for i, t in rows if len(words_of(t)) >= max(shortest, 1)]
 
-    return judge
 
+def _seed_rows(source: int, width: int, hashes: np.ndarray) -> pa.RecordBatch:
+    own = np.unique(hashes).view(np.int64)
+    columns = [np.full(len(own), source), np.full(len(own), width, dtype=np.int32), own]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=bl.arrow_schema(SEED_SCHEMA))
 
-def _lots(benchmark: DataFrame, shortest: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The items of ``shortest`` words or more in lots of at most SEED_LIMIT seeds, or one item; the driver holds one lot at a time."""
-    held, size = [], 0
-    chosen = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for row in chosen.where(F.col("text").isNotNull()).orderBy("item_id", "text").toLocalIterator():
-        n = len(words_of(row["text"]))
-        if held and size + n > SEED_LIMIT:
-            yield held
-            held, size = [], 0
-        if n >= max(shortest, 1):
-            held.append((row["item_id"], row["text"]))
-            size += n
-    if held:
-        yield held
 
+def _item_seeds(lots: DataFrame, seed: int, shortest: int) -> DataFrame:
+    """The distinct seeds of each lot, by width: an item of fewer words than a seed is one."""
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, shortest: int = 1) -> DataFrame:
-    """Rows of ``docs`` (text and any others, which stay) with n_words, coverage (the highest of any item),
-    covered_words (of that item), item_ids (those that leak, ascending) and contaminated."""
-    none = {"n_words": "0", "coverage": "0", "covered_words": "0", "item_ids": "array()"}
-    kinds = {"n_words": "bigint", "coverage": "double", "covered_words": "bigint", "item_ids": "array<bigint>"}
-    out = docs.withColumn("text", F.col("text").cast("string")).withColumns({n: F.expr(f"cast({v} as {kinds[n]})") for n, v in none.items()})
-    for lot in _lots(benchmark, shortest):
-        sent = docs.sparkSession.sparkContext.broadcast(Items(lot, seed))
-        out = _pass(out, sent, seed, coverage)
-    return out.withColumn("contaminated", F.col("coverage") >= coverage)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lot in bl.opened(batches):
+            texts = [t for _, t in _chosen(lot, shortest)]
+            own = np.array([min(seed, len(words_of(t))) for t in texts], dtype=np.int64)
+            for width in np.unique(own).tolist():
+                found = [h for _, h, _ in seeds_of([t for t, n in zip(texts, own, strict=True) if n == width], [width], [])]
+                yield _seed_rows(lot.block_id, width, np.concatenate(found))
+
+    return stored(lots.mapInArrow(run, SEED_SCHEMA), "item-seeds")
+
+
+def _sieve(item_seeds: DataFrame) -> np.ndarray:
+    """2**SIEVE_BITS bits, one set for the leading bits of each seed. Each task folds its seeds before they meet."""
+    spot = F.shiftrightunsigned("seed", 64 - SIEVE_BITS) + 1
+    chunks = item_seeds.select(F.bitmap_bucket_number(spot).alias("chunk"), F.bitmap_bit_position(spot).alias("bit"))
+    out = np.zeros((max(1 << SIEVE_BITS, BITMAP) // BITMAP, BITMAP // 8), dtype=np.uint8)
+    for row in chunks.groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+        out[row["chunk"] - 1] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out.ravel()
+
+
+def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    spot = (hashes >> np.uint64(65 - (8 * len(bits)).bit_length())).astype(np.int64)
+    return (bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
 
 
-def _pass(docs: DataFrame, sent: Broadcast, seed: int, coverage: float) -> DataFrame:
-    """One lot of items: what earlier lots found is read from the columns that are written anew."""
-    names = arrow_schema(ADDED).names
-    held = docs.withColumnsRenamed({n: f"_before_{n}" for n in names})
-    held = annotated(held, lambda: _renamed(_judge(sent, seed, coverage)), ADDED)
-    return held.drop(*[f"_before_{n}" for n in names])
+def _block_seeds(blocks_: DataFrame, widths: list[int], sent) -> DataFrame:
+    """The distinct seeds of each block that pass the sieve."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in bl.opened(batches):
+            found: dict[int, list[np.ndarray]] = {width: [] for width in widths}
+            for _, hashes, width in seeds_of((t.decode() for t in block.texts), widths, []):
+                found[width].append(np.unique(hashes[_passes(sent.value, hashes)]))
+            for width, own in found.items():
+                if own:
+                    yield _seed_rows(block.block_id, width, np.concatenate(own))
 
-def _renamed(judge: Callable[[pa.RecordBatch], dict[str, list]]) -> Callable[[pa.RecordBatch], dict[str, list]]:
-    return lambda batch: judge(batch.rename_columns([n.removeprefix("_before_") for n in batch.schema.names]))
+    return blocks_.mapInArrow(run, SEED_SCHEMA)
+
+
+def _judged(met: DataFrame, seed: int, coverage: float, shortest: int) -> DataFrame:
+    """Rows of JUDGED_SCHEMA for the documents of a block that share a seed with an item of the lot beside it."""
+    fields = bl.arrow_schema(bl.BLOCK_SCHEMA).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, items = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if last != row["lot_block_id"]:
+                    last, items = row["lot_block_id"], Items(_chosen(bl.Block({n: row[f"lot_{n}"] for n in fields}), shortest), seed)
+                yield _tiled(bl.Block(row), items, seed, coverage)
+
+    return met.mapInArrow(run, JUDGED_SCHEMA)
+
+
+def _tiled(block: bl.Block, items: Items, seed: int, coverage: float) -> pa.RecordBatch:
+    out: dict[str, list] = {name: [] for name in bl.arrow_schema(JUDGED_SCHEMA).names}
+    for row, text in zip(block.doc_ids.tolist(), block.texts, strict=True):
+        doc = numbered((m.group() for m in WORD.finditer(text.decode().lower())), items.numbers)
+        best, most, leaked = 0.0, 0, []
+        met = items.met(doc)
+        for k in met:
+            item = items.items[k]
+            n = sum(length for _, _, length in tiles(doc, item, min(seed, len(item))))
+            best, most = max((best, most), (n / len(item), n))
+            if n / len(item) >= coverage and items.ids[k] is not None:
+                leaked.append(items.ids[k])
+        if met:
+            for name, value in (("row", row), ("coverage", best), ("covered_words", most), ("item_ids", leaked)):
+                out[name].append(value)
+    return bl.table(JUDGED_SCHEMA, out)
+
+
+def with_leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, shortest: int = 1) -> DataFrame:
+    """Rows of ``docs`` (text and any others, which stay) with n_words, coverage (the highest of any item),
+    covered_words (of that item), item_ids (those that leak, ascending) and contaminated."""
+    lots = bl.blocks(benchmark.where(F.col("text").isNotNull()), "item_id", "text", LOT_BYTES)
+    item_seeds = _item_seeds(lots, seed, shortest)
+    widths = sorted(r["width"] for r in item_seeds.select("width").distinct().collect())
+    sent = docs.sparkSession.sparkContext.broadcast(_sieve(item_seeds))
+
+    plain = docs.withColumn("text", F.col("text").cast("string")).drop("n_words", "coverage", "covered_words", "item_ids", "contaminated")
+    row, maybe, found_row, found = (free_name(plain, n) for n in ("row", "maybe", "found_row", "found"))
+
+    def sift(batch: pa.RecordBatch) -> dict[str, list]:
+        counts: list[int] = []
+        meets = np.zeros(batch.num_rows, dtype=bool)
+        for owner, hashes, _ in seeds_of((x.as_py() for x in batch.column("text")), widths, counts):
+            meets[owner[_passes(sent.value, hashes)]] = True
+        return {"n_words": counts, maybe: meets.tolist()}
+
+    held = stored(annotated(plain.withColumn(row, F.monotonically_increasing_id()), lambda: sift, f"n_words long, {maybe} boolean"), "sifted")
+    blocks_ = bl.blocks(held.where(F.col(maybe)), row, "text")
+    seeds = _block_seeds(blocks_, widths, sent).select(F.col("source").alias("block_id"), "width", "seed")
+    pairs = seeds.join(item_seeds.withColumnRenamed("source", "lot_block_id"), ["width", "seed"]).select("block_id", "lot_block_id").distinct()
+    met = blocks_.join(pairs.join(lots.withColumnsRenamed({n: f"lot_{n}" for n in lots.columns}), "lot_block_id"), "block_id")
+    best = (
+        _judged(met, seed, coverage, shortest)
+        .groupBy(F.col("row").alias(found_row))
+        .agg(
+            F.struct(
+                F.max(F.struct("coverage", "covered_words")).alias("best"),
+                F.sort_array(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
+            ).alias(found)
+        )
+    )
+    # Stored, what was found has a size that Spark knows before it chooses how the documents meet it.
+    joined = held.join(stored(best, "leaks"), F.col(row) == F.col(found_row), "left")
+    return (
+        joined.withColumn("coverage", F.coalesce(F.col(found)["best"]["coverage"], F.lit(0.0)))
+        .withColumn("covered_words", F.coalesce(F.col(found)["best"]["covered_words"], F.lit(0).cast("long")))
+        .withColumn("item_ids", F.coalesce(F.col(found)["item_ids"], F.array().cast("array<bigint>")))
+        .withColumn("contaminated", F.col("coverage") >= coverage)
+        .drop(row, maybe, found_row, found)
+    )

@@ -109,9 +109,27 @@ def test_tiles_cover_as_much_as_plain_tiling():
         assert sum(n for _, _, n in decontamination.tiles(doc, item, 5)) == plain_tiles(doc.tolist(), item.tolist(), 5)
 
 
-@pytest.mark.parametrize("limit", [2_000_000, 30])
-def test_leaks(spark, monkeypatch, limit):
-    monkeypatch.setattr(decontamination, "SEED_LIMIT", limit)
+def test_seeds_do_not_depend_on_portions(monkeypatch):
+    texts = ["a b c d e f g h", None, "", "x", " ".join(f"w{k % 11}" for k in range(50)), "y" * 5_000 + " z"]
+
+    def found():
+        counts = []
+        seeds = {(int(k), w, int(h)) for owner, hashes, w in decontamination.seeds_of(texts, [1, 3, 5], counts) for k, h in zip(owner, hashes, strict=True)}
+        return seeds, counts
+
+    whole = found()
+    assert whole[1] == [8, 0, 0, 1, 50, 2]
+    assert [sum(k == doc for k, _, _ in whole[0]) for doc in range(6)] == [8 + 6 + 4, 0, 0, 1, 33, 2]
+    for portion in (7, 20):
+        monkeypatch.setattr(decontamination, "PORTION", portion)
+        assert found() == whole
+
+
+@pytest.mark.parametrize(("lot", "bits"), [(1_000_000, 26), (30, 15)])
+def test_leaks(spark, monkeypatch, lot, bits):
+    """Also in lots of one item each, with a small filter."""
+    monkeypatch.setattr(decontamination, "LOT_BYTES", lot)
+    monkeypatch.setattr(decontamination, "SIEVE_BITS", bits)
     items = [(k, " ".join(f"i{k}x{j}" for j in range(20))) for k in range(5)] + [(7, "only three words"), (8, None), (None, "one two three four five six"), (9, "")]
     w = items[0][1].split()
     rows = [
@@ -140,6 +158,57 @@ def test_short_items_drop_no_document_of_the_pipeline(spark, tmp_path):
     assert {r.doc_id: r.item_ids for r in found.collect()} == {1: [1], 2: [2], 3: [3], 4: []}
 
 
+def plain_leaks(text, items, least=5, share=0.6):
+    """(coverage, words covered, ids that leak) of a text, each item tiled by itself."""
+    doc, best, leaked = decontamination.words_of(text), (0.0, 0), []
+    for item_id, words in ((i, decontamination.words_of(t)) for i, t in items):
+        if words:
+            n = plain_tiles(doc, words, min(least, len(words)))
+            best = max(best, (n / len(words), n))
+            if n / len(words) >= share and item_id is not None:
+                leaked.append(item_id)
+    return *best, sorted(leaked)
+
+
+def test_leaks_against_plain_tiling_of_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "LOT_BYTES", 150)
+    rng = np.random.default_rng(4)
+    common = "as has been said many times before"
+    items = [(k, f"{common} " + " ".join(f"w{x}" for x in rng.integers(0, 60, int(rng.integers(3, 20))))) for k in range(30)] + [(30, "w1 w2"), (None, common)]
+    texts = []
+    for k in range(60):
+        own = items[k % 30][1].split()
+        cut = int(rng.integers(0, len(own)))
+        texts.append(" ".join([*own[cut:], "then", *(own[:cut] if k % 3 else []), f"w{k % 4} w2", "x" * 2_000, common if k % 2 else ""]))
+    found = decontamination.with_leaks(docs(spark, list(enumerate(texts))), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: (r.coverage, r.covered_words, r.item_ids) for r in found.collect()}
+    assert got == {k: plain_leaks(t, items) for k, t in enumerate(texts)}
+
+
+def test_leaks_of_many_items_meet_by_a_shuffle_in_one_pass(spark):
+    """No step holds all items: with Spark's own size check switched off, nothing is broadcast but the filter's bits."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = spark.range(20_000).selectExpr("id AS item_id", "concat_ws(' ', transform(sequence(0, 19), i -> concat('i', id, 'x', i))) AS text")
+        frame = docs(spark, [(k, " ".join(f"i{k * 700}x{j}" for j in range(3, 20))) for k in range(20)] + [(99, "nothing of any item")])
+        found = decontamination.with_leaks(frame, items)
+        assert "Broadcast" not in found._jdf.queryExecution().toString()
+        assert "MapInArrow" not in found._jdf.queryExecution().toString()
+        assert {r.doc_id: r.item_ids for r in found.collect()} == {k: [k * 700] for k in range(20)} | {99: []}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_leaks_keep_columns_of_any_name_and_read_very_long_texts(spark):
+    extra = ", row int, maybe int, found int, found_row int, _before_coverage int, covered_words int"
+    item = " ".join(f"item{j}" for j in range(12))
+    long_text = "some words before it and " * 400_000 + item + " after" * 100_000
+    frame = docs(spark, [(1, long_text, 1, 2, 3, 4, 5, 6), (2, "clean", 1, 2, 3, 4, 5, 6)], extra)
+    found = decontamination.with_leaks(frame, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    rows = found.where("row = 1 AND maybe = 2 AND found = 3 AND found_row = 4 AND _before_coverage = 5").select("doc_id", "n_words", "covered_words", "item_ids")
+    assert sorted(map(tuple, rows.collect())) == [(1, 2_100_012, 12, [7]), (2, 1, 0, [])]
+
+
 def test_no_items_and_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.with_leaks(docs(spark, [(1, "a")]), none).first().contaminated is False
