@@ -6,7 +6,9 @@ row for each task. The positions to drop are gathered for each document, at most
 is put together again from the others.
 
 Rows: a null text is one empty line. A row without doc_id keeps all its lines and counts for no other. Rows that share a
-doc_id are one document for the count; each is judged by its own text.
+doc_id are one document for the count; each is judged by its own text. Repeated rows are alike and stay alike. Columns
+named kept_text, n_lines or n_dropped are replaced; all others stay, whatever they are called. An empty table gives none.
+A very long text is one row: its lines travel as digests, and it is put together in one expression.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estate_hygiene.functions.names import free_name
 from estate_hygiene.llm.workspace import stored
 
 MIN_POINTS = 10
@@ -50,19 +53,20 @@ def drop_shared_lines(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFram
         judged.join(shared, "digest")
         .where(F.col("doc_id") != F.col("first_doc"))
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set("place").alias("dropped_places"))
-        .withColumnsRenamed({"doc_id": "_dedup_doc", "text_hash": "_dedup_text"})
+        .agg(F.collect_set("place").alias("places"))
     )
+    places_of, doc, hashed = (free_name(docs, n) for n in ("dropped_places", "dedup_doc", "dedup_text"))
+    dropped = dropped.withColumnsRenamed({"places": places_of, "doc_id": doc, "text_hash": hashed})
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    met = (F.col("doc_id").cast("long") == F.col("_dedup_doc")) & (F.xxhash64("text") == F.col("_dedup_text"))
+    met = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64("text") == F.col(hashed))
     split = F.split(text, "\n", -1)
     places = F.sequence(F.lit(0), F.size(split) - 1)
-    left = F.array_except(places, F.coalesce("dropped_places", F.array().cast("array<int>")))
+    left = F.array_except(places, F.coalesce(places_of, F.array().cast("array<int>")))
     kept = F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
     return (
         docs.join(dropped, met, "left")
-        .withColumn("kept_text", F.when(F.col("dropped_places").isNull(), text).otherwise(kept))
+        .withColumn("kept_text", F.when(F.col(places_of).isNull(), text).otherwise(kept))
         .withColumn("n_lines", F.size(split).cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("dropped_places"), F.lit(0)).cast("long"))
-        .drop("dropped_places", "_dedup_doc", "_dedup_text")
+        .withColumn("n_dropped", F.coalesce(F.size(places_of), F.lit(0)).cast("long"))
+        .drop(places_of, doc, hashed)
     )

@@ -217,6 +217,12 @@ def test_empty_table(spark, operator):
     assert operator(docs(spark, EMPTY)).collect() == []
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    frame = docs(spark, [(1, "a line that both have\nb", 1, 2, 3), (2, "a line that both have\nc", 1, 2, 3)], ", dropped_places int, dedup_doc int, _dedup_doc int")
+    found = line_dedup.drop_shared_lines(frame).where("dropped_places = 1 AND dedup_doc = 2 AND _dedup_doc = 3")
+    assert {r.doc_id: (r.kept_text, r.n_dropped) for r in found.collect()} == {1: ("a line that both have\nb", 0), 2: ("c", 1)}
+
+
 def test_line_dedup_is_native(spark):
     plan = line_dedup.drop_shared_lines(docs(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
