@@ -6,9 +6,10 @@ from a few hundred times fewer suffixes than it has bytes. Suffixes whose leadin
 64-bit hash; the others are sorted.
 
 Sort. Splitters sampled from the suffixes' leading bytes cut the order into ranges; a suffix goes to its range with the
-bytes around it. Ranges are sorted by a multikey quicksort that compares eight bytes at a time and splits only what is
-still equal. Ranges are cut between different leading bytes, so suffixes that agree in them never lie on both sides of
-a boundary. Neighbours that agree in all bytes of their windows are matches at once; where members of a class
+bytes around it. Splitters are MOST_RANGES at most, whatever the size of the table, and so is their sample on the driver;
+a table that needs more buckets has each range's suffixes dealt to several by the hash of their leading bytes. Buckets are
+sorted by a multikey quicksort that compares eight bytes at a time and splits only what is still equal. Suffixes that
+agree in their leading bytes lie in one range and one bucket, so none have to be compared across a boundary. Neighbours that agree in all bytes of their windows are matches at once; where members of a class
 differ, each window of the class is compared.
 
 Load. A block sends equal surroundings once, so a string that a third of all documents hold reaches its range once for
@@ -36,6 +37,7 @@ LENGTH, REACH, GRAM = 400, 300, 16
 LEAD = LENGTH - REACH + 1
 #: The sample of splitters: so many suffixes of a block, and blocks at least, and so many suffixes for each range.
 SAMPLE_SUFFIXES, SAMPLE_BLOCKS, SAMPLE_OF_RANGE = 512, 32, 32
+MOST_RANGES = 2_048
 #: A block's arrays take about 80 bytes for each of its own.
 BLOCK_BYTES = 1_000_000
 #: While a range is sorted: bytes that are hashed at a time, and windows that are compared at a time.
@@ -67,8 +69,8 @@ class Suffixes:
         self.keys, self.key_of, counts = np.unique(hashes, return_inverse=True, return_counts=True)
         self.twice = counts > 1
 
-    def shared(self, elsewhere: np.ndarray) -> "Surroundings":
-        return Surroundings(self, np.flatnonzero((elsewhere | self.twice)[self.key_of]))
+    def shared(self, elsewhere: np.ndarray, buckets: "Buckets") -> "Surroundings":
+        return Surroundings(self, np.flatnonzero((elsewhere | self.twice)[self.key_of]), buckets)
 
     def lead(self, i: np.ndarray) -> np.ndarray:
         """The leading bytes of some suffixes, as fixed-length strings that compare as the bytes do."""
@@ -93,10 +95,21 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(ahead[:n], behind[width - 1 : n + width - 1])
 
 
+class Buckets:
+    """Where suffixes are sorted: ranges between splitters, each dealt to ``parts`` by the hash of the leading bytes."""
+
+    def __init__(self, splitters: np.ndarray, parts: int):
+        self.splitters, self.parts = splitters, parts
+
+    def of(self, lead: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        within = (hashes % np.uint64(self.parts)).astype(np.int64)
+        return np.searchsorted(self.splitters, lead, "left") * self.parts + within
+
+
 class Surroundings:
-    """The shared suffixes of a block in order of their leading bytes, equal ones with equal windows taken together."""
+    """The shared suffixes of a block in order of their buckets, equal ones with equal windows taken together."""
 
-    def __init__(self, suffixes: Suffixes, i: np.ndarray):
+    def __init__(self, suffixes: Suffixes, i: np.ndarray, buckets: Buckets):
         self.suffixes = suffixes
         chosen, first, last = suffixes.chosen[i], suffixes.first[i], suffixes.last[i]
         whole = windows(suffixes.sums, first, last + LENGTH, BYTE_BASE)
@@ -107,39 +120,36 @@ class Surroundings:
         class_of = np.zeros(len(order), dtype=np.int64)
         class_of[order] = np.cumsum(new) - 1
         one = order[new]
-        lead = suffixes.lead(i[one])
-        by_lead = np.argsort(lead, kind="stable")
+        bucket = buckets.of(suffixes.lead(i[one]), suffixes.keys[suffixes.key_of[i[one]]])
+        by_bucket = np.argsort(bucket, kind="stable")
         rank = np.empty(len(one), dtype=np.int64)
-        rank[by_lead] = np.arange(len(one))
-        one = one[by_lead]
-        self.lead_bytes, self.i, self.class_of = lead[by_lead], i, rank[class_of]
+        rank[by_bucket] = np.arange(len(one))
+        one = one[by_bucket]
+        self.bucket, self.i, self.class_of = bucket[by_bucket], i, rank[class_of]
         self.chosen, self.first, self.last = chosen[one], first[one], last[one]
         self.count = np.bincount(self.class_of, minlength=len(one))
         self.n_windows = self.last - self.first + 1
 
-    def cut(self, splitters: np.ndarray) -> np.ndarray:
-        return np.concatenate(([0], np.searchsorted(self.lead_bytes, splitters, "right"), [len(self.chosen)]))
-
     def payload(self, a: int, b: int) -> bytes:
         data = self.suffixes.block.data
         head = np.stack((self.chosen[a:b] - self.first[a:b], self.n_windows[a:b], np.minimum(self.count[a:b], 2))).astype(np.int32)
         spans = [data[s : e + LENGTH].tobytes() for s, e in zip(self.first[a:b], self.last[a:b], strict=True)]
         return bl.packed(np.int32(b - a).tobytes() + head.tobytes() + b"".join(spans))
 
-    def questions(self, splitters: np.ndarray) -> pa.RecordBatch:
-        bounds = self.cut(splitters)
-        some = np.flatnonzero(np.diff(bounds))
+    def questions(self) -> pa.RecordBatch:
+        some, first = np.unique(self.bucket, return_index=True)
+        bounds = [*first.tolist(), len(self.bucket)]
         return bl.table(bl.QUESTION_SCHEMA, {
             "bucket": some.tolist(), "block_id": [self.suffixes.block.block_id] * len(some),
-            "keys": [self.payload(int(bounds[b]), int(bounds[b + 1])) for b in some],
+            "keys": [self.payload(a, b) for a, b in zip(bounds, bounds[1:], strict=False)],
         })
 
-    def repeated_starts(self, rows: list[dict], splitters: np.ndarray) -> np.ndarray:
+    def repeated_starts(self, rows: list[dict]) -> np.ndarray:
         """Starts of windows that occur elsewhere, by the bits that came back: one for each window of each suffix."""
-        bounds, ends = self.cut(splitters), np.concatenate(([0], np.cumsum(self.n_windows)))
+        ends = np.concatenate(([0], np.cumsum(self.n_windows)))
         bits = np.zeros(ends[-1], dtype=bool)
         for row in rows:
-            low, high = ends[bounds[row["bucket"]]], ends[bounds[row["bucket"] + 1]]
+            low, high = (ends[np.searchsorted(self.bucket, row["bucket"], side)] for side in ("left", "right"))
             bits[low:high] = np.unpackbits(np.frombuffer(row["answer"], dtype=np.uint8), count=high - low).astype(bool)
         n = self.n_windows[self.class_of]
         within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -271,7 +281,7 @@ def _placed(values: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def _splitters(blocks_: DataFrame, shared: DataFrame, key_buckets: int, ranges: int) -> np.ndarray:
-    """Cuts between ranges of about equal load, from a bounded sample of the suffixes that will be sorted."""
+    """Cuts between at most MOST_RANGES ranges of about equal load, from a sample of the suffixes that will be sorted."""
     n_sample = max(SAMPLE_BLOCKS, ranges * SAMPLE_OF_RANGE // SAMPLE_SUFFIXES)
     some = blocks_.select("block_id").orderBy(F.xxhash64("block_id")).limit(n_sample)
 
@@ -293,8 +303,9 @@ def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
     all_blocks = bl.blocks(docs, block_bytes=BLOCK_BYTES)
     buckets = bl.n_buckets(all_blocks, 0.1)
-    # Sorting a range takes a few bytes for each of its own, besides the arrays of one batch.
-    ranges = bl.n_buckets(all_blocks, 16)
+    # Sorting a bucket takes a few bytes for each of its own, besides the arrays of one batch.
+    wanted = bl.n_buckets(all_blocks, 16)
+    ranges = min(wanted, MOST_RANGES)
 
     def ask_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in bl.opened(batches):
@@ -302,14 +313,14 @@ def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
             yield bl.questions(block, keys, buckets, lambda a, b, keys=keys: keys[a:b].tobytes())
 
     shared = stored(bl.repeated(all_blocks.mapInArrow(ask_keys, bl.QUESTION_SCHEMA)), "suffixes")
-    splitters = _splitters(all_blocks, shared, buckets, ranges)
+    dealt = Buckets(_splitters(all_blocks, shared, buckets, ranges), -(-wanted // ranges))
 
     def surroundings(block: bl.Block, rows: list[dict]) -> Surroundings:
         suffixes = Suffixes(block)
-        return suffixes.shared(bl.answers_of(rows, suffixes.keys, buckets))
+        return suffixes.shared(bl.answers_of(rows, suffixes.keys, buckets), dealt)
 
     def ask_matches(block: bl.Block, rows: list[dict]) -> list[pa.RecordBatch]:
-        return [surroundings(block, rows).questions(splitters)]
+        return [surroundings(block, rows).questions()]
 
     asked = bl.with_answers(all_blocks, shared, ask_matches, bl.QUESTION_SCHEMA)
     matched = asked.groupBy("bucket").applyInArrow(_matches, bl.ANSWER_SCHEMA)
@@ -318,7 +329,7 @@ def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
     def finish(block: bl.Block, rows: list[dict]) -> list[pa.RecordBatch]:
         found = surroundings(block, [r for r in rows if r["bucket"] >= 0])
         second = [r | {"bucket": -1 - r["bucket"]} for r in rows if r["bucket"] < 0]
-        start = found.repeated_starts(second, splitters)
+        start = found.repeated_starts(second)
         gone = covered(len(block.data), start, start + LENGTH)
         edge = np.concatenate(([gone[:1].sum()], np.diff(gone.astype(np.int8)) == 1)).astype(np.int64)
         total, runs = (np.concatenate(([0], np.cumsum(x))) for x in (gone, edge))

@@ -119,7 +119,11 @@ def test_substring_of_small_blocks(spark, rows):
     assert all(sha(kept[i]) == s for i, _, _, s in plain_substring(rows))
 
 
-def test_suffixes(spark, rows, monkeypatch):
+@pytest.mark.parametrize(("most", "size"), [(2_048, 64_000_000), (3, 100_000)])
+def test_suffixes(spark, rows, monkeypatch, most, size):
+    """Also with fewer ranges than buckets are wanted, so that each is dealt to several."""
+    monkeypatch.setattr(suffix_dedup, "MOST_RANGES", most)
+    monkeypatch.setattr(blocks, "BUCKET_BYTES", size)
     every = rows + ODD + [(i + 100, t) for i, t in rows[:3]]
     found = suffix_dedup.drop_repeated_bytes(docs(spark, every))
     columns = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -131,6 +135,16 @@ def plain_unknown(rows):
     return [(None if i == -1 else i, *more) for i, *more in plain_bytes([(-1 if i is None else i, t) for i, t in rows])]
 
 
+def test_equal_leads_share_a_bucket_and_splitters_are_few():
+    rng = np.random.default_rng(2)
+    lead = np.array([bytes(x) for x in rng.integers(97, 100, (400, 4)).astype(np.uint8)], dtype=f"S{suffix_dedup.LEAD}")
+    hashes = np.array([hash(x) & 0xFFFFFFFF for x in lead], dtype=np.uint64)
+    found = suffix_dedup.Buckets(np.unique(lead)[10:60:10], 7).of(lead, hashes)
+    assert len(set(zip(lead, found, strict=True))) == len(set(lead))
+    ranges = found // 7
+    assert (np.diff(ranges[np.argsort(lead)]) >= 0).all() and set(ranges) == set(range(6))
+
+
 @pytest.mark.parametrize("most", [300, 10**6])
 def test_ranges_are_matched_in_parts(monkeypatch, most):
     """Every window of every row, with equal surroundings and equal windows in unlike ones, in small and in large parts."""
