@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from estate_hygiene.llm.blocks import arrow_schema
+from estate_hygiene.llm.workspace import give_back
 
 #: Rows worked on at a time: the values of a batch are held once more while they are.
 ROWS = 1_000
@@ -34,6 +35,8 @@ def annotated(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[
                 columns = work(batch)
                 arrays = [pa.array(columns[f.name], type=f.type) for f in new]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *new.names])
+        del work
+        give_back()
 
     return kept.mapInArrow(run, StructType(kept.schema.fields + named.fields))
 

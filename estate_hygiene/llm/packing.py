@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estate_hygiene.llm.blocks import packed, table, unpacked
-from estate_hygiene.llm.workspace import shuffle_partitions, stored
+from estate_hygiene.llm.workspace import give_back, shuffle_partitions, stored
 
 WINDOW, END = 2_048, 1
 SHARD_TOKENS = 4_000_000
@@ -111,6 +111,11 @@ def tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
+def forget_words() -> None:
+    _tokenizers.clear()
+    give_back()
+
+
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,6 +127,7 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
                     "doc_id": part.column(0).to_pylist(), "n_tokens": [len(x) for x in ids],
                     "ids": [packed(x.tobytes()) for x in ids],
                 })
+        give_back()
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(encode, TOKEN_SCHEMA)
@@ -251,6 +257,8 @@ def packed_sequences(docs: DataFrame, tokenizer_path: str | None = None) -> Data
 
         idf, sequence = sent.value[1], TaskContext.get().partitionId() << 40
         doc_ids, ids, size = [], [], 0
+        # All texts are tokenized by now: the index takes the place of the words that the worker remembers.
+        forget_words()
         for batch in batches:
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 doc_ids.append(doc_id)
@@ -261,6 +269,8 @@ def packed_sequences(docs: DataFrame, tokenizer_path: str | None = None) -> Data
                     doc_ids, ids, size = [], [], 0
         if ids:
             yield from _rows(Shard(ids, idf, mean_length), doc_ids, sequence)
+        del doc_ids, ids
+        give_back()
 
     signed = tokens.mapInArrow(sign, TOKEN_SCHEMA + ", rarest long")
     dealt = signed.repartitionByRange(shards, "rarest", "doc_id").sortWithinPartitions("rarest", "doc_id", "ids")

@@ -1,10 +1,13 @@
-"""Intermediate tables: written to the shared folder of the cluster and read back, which also cuts lineage."""
+"""Intermediate tables: written to the shared folder of the cluster and read back, which also cuts lineage. Memory of
+Python workers."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -34,3 +37,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def give_back() -> None:
+    """Hands what this process has freed back to the system. A Python worker lives on from task to task and would hold
+    the most that any of them took, beside the memory of the tasks that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
