@@ -8,6 +8,7 @@ gets more than its even share. A bucket answers each block with one bit for each
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,22 @@ QUESTION_SCHEMA = "bucket int, block_id long, keys binary"
 ANSWER_SCHEMA = "block_id long, bucket int, answer binary"
 
 
+@cache
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=3)
+
+
+@cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def packed(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return _compressor().compress(data)
 
 
 def unpacked(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _decompressor().decompress(data)
 
 
 KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "array<long>": pa.list_(pa.int64())}
