@@ -137,6 +137,15 @@ def _ids(data: bytes) -> np.ndarray:
     return np.frombuffer(unpacked(data), dtype=np.uint32)
 
 
+def counted(total: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """``total`` with one more for each distinct id of a document."""
+    most = int(ids.max())
+    if most >= len(total):
+        total = np.concatenate((total, np.zeros(most + 1 - len(total), dtype=np.int64)))
+    total[ids] += 1  # one for each distinct id, however often it stands here, so none have to be sorted
+    return total
+
+
 def _document_counts(tokens: DataFrame) -> np.ndarray:
     """How many documents hold each token id."""
 
@@ -144,10 +153,7 @@ def _document_counts(tokens: DataFrame) -> np.ndarray:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for data in batch.column("ids").to_pylist():
-                own = np.unique(_ids(data))
-                if own[-1] >= len(total):
-                    total = np.concatenate((total, np.zeros(int(own[-1]) + 1 - len(total), dtype=np.int64)))
-                total[own] += 1
+                total = counted(total, _ids(data))
         some = np.flatnonzero(total)
         yield table("token long, held long", {"token": some.tolist(), "held": total[some].tolist()})
 

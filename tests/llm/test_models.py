@@ -66,6 +66,19 @@ def test_neighbours_are_alike():
     assert sum(a % 5 == b % 5 for a, b in zip(order, order[1:], strict=False)) > 80
 
 
+def test_documents_are_counted_without_sorting_their_tokens(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    ids = [rng.integers(1, 60 + 40 * k, int(rng.integers(1, 300))).astype(np.uint32) for k in range(30)]
+    want = Counter(int(t) for x in ids for t in set(x.tolist()))
+    tokens = spark.createDataFrame([(bytearray(packing.packed(x.tobytes())),) for x in ids], "ids binary").repartition(3)
+    assert {t: n for t, n in enumerate(packing._document_counts(tokens).tolist()) if n} == want
+    monkeypatch.setattr(np, "unique", None)
+    total = np.zeros(0, dtype=np.int64)
+    for x in ids:
+        total = packing.counted(total, x)
+    assert {t: n for t, n in enumerate(total.tolist()) if n} == want
+
+
 def test_packing_checksums(spark):
     found = op2_retrieval_packing(spark, SMALL)
     assert [c for c, _ in found.dtypes] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
